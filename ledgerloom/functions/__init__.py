@@ -14,11 +14,11 @@ from .people import (
     parse_birthday,
     has_suffix,
 )
-from .names import core_tokens, first_name, last_name, name_tokens
+from .names import core_name, core_tokens, first_name, last_name, name_tokens
 from .stamps import run_stamp_of
 
 __all__ = [
-    "above_limit", "age_on", "bare_mobile", "birthday_hash", "clean_email", "core_tokens",
-    "email_domain", "first_name", "format_birthday", "has_suffix", "is_mobile", "last_name",
+    "above_limit", "age_on", "bare_mobile", "birthday_hash", "clean_email", "core_name",
+    "core_tokens", "email_domain", "first_name", "format_birthday", "has_suffix", "is_mobile", "last_name",
     "layout_of", "membership_id", "name_tokens", "parse_birthday", "run_stamp_of",
 ]

@@ -1,4 +1,8 @@
-"""Splitting a submitted name into first and last name."""
+"""Splitting a submitted name into first and last name.
+
+Each step reads its input once. A filter on the verdict is pushed below the
+projections and repeats these expressions, so they must not multiply.
+"""
 
 from __future__ import annotations
 
@@ -14,38 +18,38 @@ def name_tokens(name: Column) -> Column:
     return F.regexp_extract_all(name, F.lit(r"(?U)\S+"), F.lit(0))
 
 
-def _is_one_of(token: Column, words: Iterable[str]) -> Column:
-    # get/try_element_at give null for an empty array; null means "no such word".
-    bare = F.rtrim(F.lower(token), F.lit("."))
-    return F.coalesce(bare.isin(list(words)), F.lit(False)).cast("int")
+def _any_of(words: Iterable[str]) -> str:
+    return "(?:" + "|".join(words) + r")\.*"
 
 
-def core_tokens(
-    tokens: Column,
+def core_name(
+    name: Column,
     salutations: Iterable[str] = rules.SALUTATIONS,
     post_nominals: Iterable[str] = rules.POST_NOMINALS,
 ) -> Column:
-    """``tokens`` without one leading title and one trailing post-nominal.
+    """The name with single spaces, without one leading title and one trailing post-nominal.
 
-    The post-nominal is kept when it is the only token submitted.
+    Words match in any case and with any number of trailing dots. A post-nominal
+    needs a token before it, so one submitted alone is kept. ``''`` when no name is left.
     """
-    count = F.array_size(tokens)
-    lead = _is_one_of(F.get(tokens, F.lit(0)), salutations)
-    trail = F.when(
-        count > 1, _is_one_of(F.try_element_at(tokens, F.lit(-1)), post_nominals)
-    ).otherwise(F.lit(0))
-    return F.slice(tokens, lead + F.lit(1), F.greatest(count - lead - trail, F.lit(0)))
+    spaced = F.btrim(F.regexp_replace(name, r"(?U)\s+", " "))
+    untailed = F.regexp_replace(spaced, rf"(?i) {_any_of(post_nominals)}\z", "")
+    return F.regexp_replace(untailed, rf"(?i)\A{_any_of(salutations)}(?: |\z)", "")
+
+
+def core_tokens(core: Column) -> Column:
+    """Tokens of a core name."""
+    return F.regexp_extract_all(core, F.lit("[^ ]+"), F.lit(0))
 
 
 def first_name(core: Column) -> Column:
-    """First core token; null when nothing is left of the name."""
-    return F.get(core, F.lit(0))
+    """First token of the core name; null when there is none."""
+    return F.nullif(F.substring_index(core, " ", 1), F.lit(""))
 
 
 def last_name(core: Column) -> Column:
-    """Core tokens after the first, joined by a space.
+    """The core name after its first token.
 
     ``''`` for a single-token name, null when there is no name at all.
     """
-    rest = F.slice(core, F.lit(2), F.greatest(F.array_size(core) - 1, F.lit(0)))
-    return F.when(F.array_size(core) >= 1, F.array_join(rest, " "))
+    return F.when(core != "", F.regexp_extract(core, r"\A[^ ]+ ?(.*)\z", 1))

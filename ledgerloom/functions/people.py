@@ -12,10 +12,21 @@ from pyspark.sql import Column, functions as F
 from .. import rules
 
 
+_ISO = "yyyy-MM-dd"
+_PARTS = {"yyyy": "([0-9]{4})", "MM": "([0-9]{2})", "dd": "([0-9]{2})"}
+
+
 def _shape(layout: str) -> str:
-    """Regex for the digits and separators of a layout, e.g. ``dd-MM-yyyy``."""
-    body = layout.replace("yyyy", "[0-9]{4}").replace("MM", "[0-9]{2}").replace("dd", "[0-9]{2}")
-    return rf"\A{body}\z"
+    """Regex for a layout such as ``dd-MM-yyyy``, one group per part."""
+    for part, digits in _PARTS.items():
+        layout = layout.replace(part, digits)
+    return rf"\A{layout}\z"
+
+
+def _as_iso(layout: str) -> str:
+    """Replacement that puts the groups of ``_shape(layout)`` in ISO order."""
+    order = sorted(_PARTS, key=layout.index)
+    return "-".join(f"${order.index(part) + 1}" for part in ("yyyy", "MM", "dd"))
 
 
 def _stripped(value: Column) -> Column:
@@ -28,29 +39,38 @@ def layout_of(birthday: Column, layouts: Iterable[str] = rules.BIRTHDAY_LAYOUTS)
     return F.coalesce(*[F.when(text.rlike(_shape(l)), F.lit(l)) for l in layouts])
 
 
-def parse_birthday(birthday: Column, layouts: Iterable[str] = rules.BIRTHDAY_LAYOUTS) -> Column:
-    """Date from the first layout that fits; null for impossible or unknown dates.
-
-    The shape test in front of each parse keeps the row out of the parser's
-    exception path, which is the slow part of trying several layouts.
-    """
+def _parse(birthday: Column, layouts: Iterable[str]) -> Column:
+    # Shapes differ, so at most one rewrite applies and the text is read once. What
+    # is not in ISO form after that becomes '' and casts to null without an exception.
     text = _stripped(birthday)
-    return F.coalesce(*[F.when(text.rlike(_shape(l)), F.try_to_date(text, l)) for l in layouts])
+    if _ISO not in layouts:
+        text = F.regexp_replace(text, _shape(_ISO), "")
+    for layout in layouts:
+        if layout != _ISO:
+            text = F.regexp_replace(text, _shape(layout), _as_iso(layout))
+    return F.regexp_extract(text, _shape(_ISO), 0).try_cast("date")
+
+
+def parse_birthday(birthday: Column, layouts: Iterable[str] = rules.BIRTHDAY_LAYOUTS) -> Column:
+    """Date from the first layout that fits; null for impossible or unknown dates."""
+    layouts = tuple(layouts)
+    if len({_shape(l) for l in layouts}) == len(layouts):
+        return _parse(birthday, layouts)
+    return F.coalesce(*[_parse(birthday, (l,)) for l in layouts])
 
 
 def format_birthday(birthday_date: Column) -> Column:
     return F.date_format(birthday_date, rules.BIRTHDAY_OUT)
 
 
-def age_on(birthday_date: Column, reference: date = rules.REFERENCE_DATE) -> Column:
-    """Whole years completed on ``reference``.
+def age_on(birthday_ymd: Column, reference: date = rules.REFERENCE_DATE) -> Column:
+    """Whole years completed on ``reference``, from a ``YYYYMMDD`` birthday.
 
-    A calendar comparison of (month, day): exact on 29 February, where dividing
-    a number of months or days is not.
+    The difference of the two numbers counts a year per 10000 and falls short while
+    month and day are still to come: a calendar comparison, exact on 29 February.
     """
-    day_of_year = F.month(birthday_date) * 100 + F.dayofmonth(birthday_date)
-    still_to_come = (day_of_year > reference.month * 100 + reference.day).cast("int")
-    return (F.lit(reference.year) - F.year(birthday_date) - still_to_come).cast("int")
+    today = int(reference.strftime("%Y%m%d"))
+    return F.floor((F.lit(today) - birthday_ymd.cast("int")) / 10000).cast("int")
 
 
 def above_limit(age: Column, limit: int = rules.AGE_LIMIT) -> Column:

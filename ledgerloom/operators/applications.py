@@ -38,37 +38,29 @@ def application_rules(email_suffixes: Iterable[str] = rules.EMAIL_SUFFIXES) -> t
     The age rule passes when the birthday is unreadable: that row already fails
     ``unparseable_birthday`` and no age is known.
     """
-    unread = F.col("birthday_date").isNull()
     return (
         Rule(rules.MISSING_NAME, F.col("first_name").isNotNull()),
-        Rule(rules.UNPARSEABLE_BIRTHDAY, ~unread),
-        Rule(rules.UNDER_18, F.when(unread, F.lit(True)).otherwise(F.col("above_18"))),
+        Rule(rules.UNPARSEABLE_BIRTHDAY, F.col("birthday_date").isNotNull()),
+        Rule(rules.UNDER_18, F.coalesce("above_18", F.lit(True))),
         Rule(rules.INVALID_MOBILE, fx.is_mobile(F.col("mobile_normalised"))),
         Rule(rules.INVALID_EMAIL, fx.has_suffix(F.col("email"), tuple(email_suffixes))),
     )
 
 
 def clean(applications: DataFrame, reference: date = rules.REFERENCE_DATE) -> DataFrame:
-    """Add the derived columns; the submitted ones stay untouched.
-
-    Each stage reads the previous one's columns, so the tokenising regex and the
-    date parse run once per row.
-    """
+    """Add the derived columns; the submitted ones stay untouched."""
     return (
         applications
-        .withColumn("_tokens", fx.name_tokens(F.col("name")))
-        .withColumn("_core", fx.core_tokens(F.col("_tokens")))
+        .withColumn("_core", fx.core_name(F.col("name")))
         .withColumns({
             "first_name": fx.first_name(F.col("_core")),
             "last_name": fx.last_name(F.col("_core")),
             "birthday_date": fx.parse_birthday(F.col("birthday")),
             "mobile_normalised": fx.bare_mobile(F.col("mobile")),
         })
-        .drop("_tokens", "_core")
-        .withColumns({
-            "birthday_ymd": fx.format_birthday(F.col("birthday_date")),
-            "age": fx.age_on(F.col("birthday_date"), reference),
-        })
+        .drop("_core")
+        .withColumn("birthday_ymd", fx.format_birthday(F.col("birthday_date")))
+        .withColumn("age", fx.age_on(F.col("birthday_ymd"), reference))
         .withColumn("above_18", fx.above_limit(F.col("age")))
     )
 

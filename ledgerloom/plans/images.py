@@ -27,7 +27,8 @@ _ORDER = ("uploaded_at", "event_id")
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The events table as a stream of image events with zoned upload times."""
     given = table(spark, folder, "events").schema
-    raw = spark.readStream.schema(given).parquet(f"{folder}/events.parquet")
+    # As a glob the path may be one file or a folder of part files.
+    raw = spark.readStream.schema(given).parquet(f"{folder}/{{events}}.parquet")
     return raw.select(
         "event_id",
         F.concat_ws("-", F.lit("img"), F.col("user_id").cast("string"), F.get_json_object("props", "$.k")).alias("image_id"),

@@ -120,7 +120,7 @@ def name_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 @_q.add(duck("select app_id, array_to_string(core, '|') as core from cleaned", "cleaned"))
 def name_core(spark: SparkSession, folder: str) -> DataFrame:
-    core = fx.core_tokens(fx.name_tokens(F.col("name")))
+    core = fx.core_tokens(fx.core_name(F.col("name")))
     return applications(spark, folder).select("app_id", F.array_join(core, "|").alias("core"))
 
 

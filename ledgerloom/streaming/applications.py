@@ -12,6 +12,9 @@ from ..operators.applications import clean, successful, unsuccessful, validate
 from ..sources.batches import scan_batches
 from ..sources.sinks import write_frame
 
+#: The fixed schema of Spark's binaryFile source.
+_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
 
 def stream_applications(
     spark: SparkSession,
@@ -31,7 +34,7 @@ def stream_applications(
     """
     # The content column is never selected, so no file is loaded whole.
     source = (
-        spark.readStream.format("binaryFile").option("pathGlobFilter", rules.BATCH_GLOB)
+        spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("pathGlobFilter", rules.BATCH_GLOB)
         .option("maxFilesPerTrigger", max_files or 1_000_000)
         .load(input_folder).select("path")
     )
