@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from .. import rules
+from ..session import settled
 from .applications import Rule
-from .quantiles import exact_percentiles
+from .quantiles import exact_percentiles, percentiles_of_counts
 from .sampling import keep_first
 
 # Statuses and the percentiles of the latency report.
@@ -125,16 +126,16 @@ def latency_percentiles(events: DataFrame, groups: Sequence[str] = ("source",))
     return exact_percentiles(events, groups, "duration_ms", LATENCY_PERCENTILES)
 
 
-def _failure_rate() -> Column:
-    return F.round(F.count_if(F.col("status") == ERROR) / F.count(F.lit(1)), 6)
+def _rate() -> Column:
+    return F.round(F.col("failed") / F.col("images"), 6)
 
 
 def failure_rate_daily(events: DataFrame) -> DataFrame:
+    """Images, failed images and their ratio per day."""
     return events.groupBy("dt").agg(
         F.count(F.lit(1)).alias("images"),
         F.count_if(F.col("status") == ERROR).alias("failed"),
-        _failure_rate().alias("failure_rate"),
-    )
+    ).withColumn("failure_rate", _rate())
 
 
 def format_mix(events: DataFrame) -> DataFrame:
@@ -151,11 +152,20 @@ def daily_metrics(events: DataFrame) -> DataFrame:
     Holds no image id, so it may outlive the retention window.
     """
     groups = ["dt", "source"]
-    totals = events.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("images"),
-        F.count_if(F.col("status") == ERROR).alias("failed"),
-        _failure_rate().alias("failure_rate"),
-        F.sum("bytes_in").alias("bytes_in"),
+    # The events are read once: everything below is derived from these counts.
+    per_value = settled(
+        events.groupBy(*groups, "duration_ms").agg(
+            F.count(F.lit(1)).alias("images"),
+            F.count_if(F.col("status") == ERROR).alias("failed"),
+            F.sum("bytes_in").alias("bytes_in"),
+        )
+    )
+    totals = per_value.groupBy(*groups).agg(
+        *[F.sum(c).alias(c) for c in ("images", "failed", "bytes_in")]
+    ).withColumn("failure_rate", _rate())
+    latency = percentiles_of_counts(per_value, groups, "duration_ms", "images", LATENCY_PERCENTILES)
+    latency = latency.withColumnsRenamed({"dt": "_dt", "source": "_source"})
+    same = F.col("dt").eqNullSafe(F.col("_dt")) & F.col("source").eqNullSafe(F.col("_source"))
+    return totals.join(latency, same, "left").select(
+        *groups, "images", "failed", "failure_rate", "bytes_in", *LATENCY_PERCENTILES
     )
-    latency = exact_percentiles(events, groups, "duration_ms", LATENCY_PERCENTILES)
-    return totals.join(latency, groups, "left")

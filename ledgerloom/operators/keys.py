@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import settled
 
 #: monotonically_increasing_id keeps the row's place in its partition in the low 33 bits.
 _ROW_BITS = 33
@@ -20,18 +20,16 @@ def assign_surrogate_ids(
     The rows are range-sorted (a shuffle balanced by sampling) and keep their place
     inside their partition; one total per partition is then turned into an offset.
     Only that list of totals, one row per partition, is ever gathered. The sorted
-    rows are checkpointed first, so the places that were counted and the places
+    rows are stored first, so the places that were counted and the places
     that are numbered are the same even if an executor is lost in between.
     ``order_by`` should identify a row; equal rows get ids in no particular order.
     """
-    ensure_checkpoint_dir(rows.sparkSession)
-    placed = (
+    placed = settled(
         rows.orderBy(*order_by)
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", _ROW_BITS))
         .withColumn("_row", F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
         .drop("_place")
-        .checkpoint()
     )
     in_order = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import functions as fx, rules
+from ..session import settled
 from .applications import Rule
 from .joins import lookup_join
 
@@ -65,7 +66,7 @@ def collision_rows(accepted: DataFrame) -> DataFrame:
 
     Rows stay rows: a group may be any size, so it is never collected into a list.
     """
-    return lookup_join(accepted, id_collisions(accepted), ["membership_id"], "inner")
+    return lookup_join(accepted, settled(id_collisions(accepted)), ["membership_id"], "inner")
 
 
 def email_domain_profile(applications: DataFrame) -> DataFrame:

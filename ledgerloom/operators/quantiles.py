@@ -8,26 +8,50 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import settled
+
+#: Values per band. With whole milliseconds a band has at most this many distinct values.
+BAND_WIDTH = 1000
 
 def exact_percentiles(
     rows: DataFrame,
     groups: Sequence[str],
     value: str,
     percentages: Mapping[str, float],
-    width: float = 1000,
+    width: float = BAND_WIDTH,
 ) -> DataFrame:
     """Interpolated percentiles of ``value`` per group, exact for groups of any size.
 
     The built-in exact ``percentile`` keeps a group's distinct values in one task.
-    Here rows are first reduced to counts per (group, value), spread by value; those
-    are totalled in bands of ``width`` to find the bands that hold the wanted ranks,
-    and only these bands are ranked value by value. A window sees the bands of a
-    group, or the distinct values of one band, never the rows of a group.
+    Here rows are reduced to counts per (group, value), spread by value, and the
+    rest works on those; see ``percentiles_of_counts``.
     """
-    groups = list(groups)
     counts = (
         rows.where(F.col(value).isNotNull())
-        .groupBy(*groups, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return percentiles_of_counts(settled(counts), groups, value, "_n", percentages, width)
+
+
+def percentiles_of_counts(
+    counted: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    count: str,
+    percentages: Mapping[str, float],
+    width: float = BAND_WIDTH,
+) -> DataFrame:
+    """Percentiles from one row per (group, value) with its number of occurrences.
+
+    Counts are totalled in bands of ``width`` to find the bands that hold the wanted
+    ranks, and only these are ranked value by value. A window sees the bands of a
+    group, or the distinct values of one band, never the rows of a group. ``counted``
+    is read twice, so it should be stored or cheap.
+    """
+    groups = list(groups)
+    counts = (
+        counted.where(F.col(value).isNotNull())
+        .select(*groups, F.col(value).alias("_value"), F.col(count).alias("_n"))
         .withColumn("_band", F.floor(F.col("_value") / F.lit(width)).cast("long"))
     )
     per_group = Window.partitionBy(*groups)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import settled
 from .joins import lookup_join
 from .keys import assign_surrogate_ids
 
@@ -121,7 +122,7 @@ def touched_totals(lines: DataFrame, feed: DataFrame) -> DataFrame:
     ``lines`` is the state after the change. The touched ids are broadcast if they
     measure small, so untouched lines are dropped before any shuffle.
     """
-    touched = touched_transactions(feed)
+    touched = settled(touched_transactions(feed))
     mine = lookup_join(lines, touched, ["transaction_id"], "left_semi")
     return (
         touched.join(basket_totals(mine), "transaction_id", "left")
@@ -198,7 +199,7 @@ def monthly_revenue(transactions: DataFrame, start: str, end: str) -> DataFrame:
         transactions
         .where((F.col("transaction_ts") >= F.lit(start).cast("timestamp_ntz"))
                & (F.col("transaction_ts") < F.lit(end).cast("timestamp_ntz")))
-        .groupBy(F.date_format("transaction_ts", "yyyy-MM").alias("month"))
+        .groupBy(F.date_format(F.to_date("transaction_ts"), "yyyy-MM").alias("month"))
         .agg(F.count(F.lit(1)).alias("transactions"),
              F.sum("total_items_price").cast("decimal(22,2)").alias("revenue"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Applied only where the launcher has not set a value. Partition counts are left
 #: to AQE: it coalesces small shuffle partitions and splits skewed ones.
@@ -36,16 +36,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local-mode session without that setting gets a temporary folder; on a
     cluster a machine-local folder would be lost with its machine, so it is refused.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -57,3 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, keeping the cluster's own setting."""
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def settled(frame: DataFrame) -> DataFrame:
+    """``frame`` computed once and stored in the checkpoint folder.
+
+    For an expensive intermediate with several readers. It is stored where every
+    executor can read it, so losing executors does not bring the work back.
+    """
+    ensure_checkpoint_dir(frame.sparkSession)
+    return frame.checkpoint()

@@ -14,6 +14,9 @@ from .. import rules
 #: Files above this size are read in splits when no record spans lines.
 SPLIT_ABOVE_BYTES = 256 * 1024 * 1024
 
+#: Order of rows in the input, for frames scanned with ``positions=True``.
+POSITION = ("source_file", "_block", "_row")
+
 _HEADER_READERS = 16
 
 
@@ -88,8 +91,7 @@ def scan_batches(
     Spark binds CSV columns by position, so files are grouped by header and each
     group is read with its own; column order may differ and extra columns are
     ignored. Large files are read in parallel splits unless a quoted field holds a
-    line break. ``positions`` adds ``_block`` and ``_row``: with ``source_file``
-    they give the order of rows in the input.
+    line break. ``positions`` adds the columns of ``POSITION``.
     """
     files = list(files)
     if not files:

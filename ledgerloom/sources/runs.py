@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from .. import rules
 from ..operators.applications import clean, validate
-from .batches import discover_batches, scan_batches
+from .batches import POSITION, discover_batches, scan_batches
 from .sinks import RunSummary, write_outputs
 
 
@@ -33,6 +33,7 @@ def run(
     reference: date = rules.REFERENCE_DATE,
     ledger: str | None = None,
     fmt: str = "parquet",
+    in_order: bool = False,
 ) -> RunSummary:
     """Process the batches waiting in ``input_folder``; no batches is a success.
 
@@ -40,6 +41,7 @@ def run(
     out; it is written after the outputs, and a failed run can simply be repeated.
     Repeating a run with its own ``run_ts`` processes the same files again and
     replaces its outputs. Without a ledger every file in the folder is processed.
+    ``in_order`` writes rows in input order: files by name, rows as in the file.
     """
     run_ts = run_ts or datetime.now()
     stamp = run_ts.strftime(rules.RUN_STAMP)
@@ -50,8 +52,10 @@ def run(
     if not files:
         return RunSummary(run_ts)
 
-    validated = validate(clean(scan_batches(spark, files), reference))
-    summary = replace(write_outputs(validated, output, run_ts, fmt), files=len(files))
+    rows = scan_batches(spark, files, positions=in_order)
+    order = POSITION if in_order else ()
+    written = write_outputs(validate(clean(rows, reference)), output, run_ts, fmt, order_by=order)
+    summary = replace(written, files=len(files))
     if ledger:
         entries = spark.createDataFrame([(f, stamp) for f in files], "path string, run_ts string")
         entries.coalesce(1).write.mode("overwrite").json(f"{ledger}/run={stamp}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -64,15 +65,19 @@ def write_outputs(
     run_ts: datetime,
     fmt: str = "parquet",
     keep: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    order_by: Sequence[str] = (),
 ) -> RunSummary:
     """Write both outputs under one run stamp and count while writing.
 
     ``keep`` holds the validated rows between the two writes. Pass ``None`` when the
     batch is larger than the cluster's disks: the input is then scanned twice. Input
     rows are counted before the split and must equal the sum of the two outputs.
+    ``order_by`` sorts the outputs (a range shuffle); without it rows stay where they
+    were read.
     """
     stamp = run_ts.strftime(rules.RUN_STAMP)
-    frame = validated.persist(keep) if keep is not None else validated
+    frame = validated.orderBy(*order_by) if order_by else validated
+    frame = frame.persist(keep) if keep is not None else frame
     rows_in, accepted, rejected = (Observation() for _ in range(3))
 
     def count() -> object:

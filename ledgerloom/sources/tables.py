@@ -37,6 +37,16 @@ def latest_run(spark: SparkSession, root: str) -> DataFrame:
     return runs.where(F.col("run_ts") == newest)
 
 
+def read_in_order(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """A written Parquet folder with the columns that give its row order, and their names.
+
+    Part files are numbered in write order, so this is the order of a run written
+    with ``in_order``.
+    """
+    place = {"_file": F.col("_metadata.file_name"), "_index": F.col("_metadata.row_index")}
+    return spark.read.parquet(path).withColumns(place), list(place)
+
+
 def write_by_day(frame: DataFrame, root: str, mode: str = "overwrite") -> None:
     """Parquet in ``dt=`` folders.
 

@@ -1,0 +1,64 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+for path in (ROOT, os.path.join(ROOT, "tools")):
+    sys.path.insert(0, path)
+
+from ledgerloom.operators.applications import clean, validate  # noqa: E402
+from ledgerloom.session import build_session  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+APPLICATION = "name string, email string, birthday string, mobile string, source_file string"
+
+VALID = {"name": "Ann Lee", "email": "ann@example.com", "birthday": "1986/01/10",
+         "mobile": "40601711", "source_file": "a.csv"}
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests", "local[8]",
+        **{"spark.sql.shuffle.partitions": "8",
+           "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def applications(spark):
+    """Frame of applications from dicts; fields not given are null."""
+    names = [c.split()[0] for c in APPLICATION.split(",")]
+
+    def build(*rows):
+        return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], APPLICATION)
+
+    return build
+
+
+@pytest.fixture(scope="session")
+def cleaned(applications):
+    """Cleaned rows as dicts, in the given order."""
+
+    def build(*rows, **kwargs):
+        return [r.asDict() for r in clean(applications(*rows), **kwargs).collect()]
+
+    return build
+
+
+@pytest.fixture(scope="session")
+def validated(applications):
+    def build(*rows):
+        return [r.asDict() for r in validate(clean(applications(*rows))).collect()]
+
+    return build
+
+
+def bag(frame):
+    """Rows of a frame as a sorted list of plain tuples."""
+    return sorted((tuple(r) for r in frame.collect()), key=repr)

@@ -1,0 +1,70 @@
+"""Lookup joins give the same rows whether the side is broadcast or hot keys are split."""
+
+import pytest
+from conftest import bag
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import joins
+
+SPLIT = {"max_bytes": -1, "share": 0.05, "salts": 8}
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """3000 rows: a third under key 7, a sixth under a null key, the rest spread."""
+    n = F.col("id")
+    key = F.when(n % 3 == 0, 7).when(n % 6 == 1, F.lit(None)).otherwise(n % 400)
+    return spark.range(3000).select(key.cast("int").alias("k"), n.alias("row"))
+
+
+@pytest.fixture(scope="module")
+def side(spark):
+    return spark.range(0, 300).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("v"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_split_join_equals_plain_join(skewed, side, how):
+    plain = bag(skewed.join(side, "k", how))
+    assert bag(joins.lookup_join(skewed, side, ["k"], how, **SPLIT)) == plain
+    assert bag(joins.lookup_join(skewed, side, ["k"], how)) == plain
+    assert len(plain) > 0
+
+
+def test_large_side_is_not_broadcast(skewed, side):
+    def plan(**kwargs):
+        frame = joins.lookup_join(skewed, side.hint("merge"), ["k"], "inner", **kwargs)
+        return frame._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" in plan() and "_salt" not in plan()
+    assert "_salt" in plan(**SPLIT)
+
+
+def test_hot_rows_are_spread_and_only_hot_keys_repeat(skewed):
+    hot = joins.hot_keys(skewed, ["k"], 0.05)
+    assert bag(hot) == [(7,), (None,)]
+
+
+def test_number_of_hot_keys_is_bounded_by_the_share(spark):
+    even = spark.range(1000).select((F.col("id") % 10).alias("k"))
+    assert joins.hot_keys(even, ["k"], 0.2).count() == 0
+    assert joins.hot_keys(even, ["k"], 0.01).count() == 10
+
+
+def test_composite_keys(spark):
+    rows = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("a", None, 3), ("b", 2, 4)], "x string, y int, r int")
+    side = spark.createDataFrame([("a", 1), ("b", 3)], "x string, y int")
+    kwargs = {"max_bytes": -1, "share": 0.01, "salts": 4}
+    assert bag(joins.lookup_join(rows, side, ["x", "y"], "left_semi", **kwargs)) == [("a", 1, 1), ("a", 1, 2)]
+    assert bag(joins.lookup_join(rows, side, ["x", "y"], "left_anti", **kwargs)) == [("a", None, 3), ("b", 2, 4)]
+
+
+def test_measured_bytes_counts_text(spark):
+    short = spark.createDataFrame([("a",)] * 10, "t string")
+    long = spark.createDataFrame([("a" * 1001,)] * 10, "t string")
+    assert joins.measured_bytes(long) - joins.measured_bytes(short) == 10_000
+    assert joins.measured_bytes(short.limit(0)) == 0
+
+
+def test_join_type_is_checked(skewed, side):
+    with pytest.raises(ValueError):
+        joins.lookup_join(skewed, side, ["k"], "full")
