@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -75,11 +76,17 @@ def all_hold(checks: Sequence[Rule]) -> Column:
 
 
 def validate(cleaned: DataFrame, checks: Sequence[Rule] | None = None) -> DataFrame:
-    """Add ``is_successful``, ``rejection_reason`` and ``membership_id``; keeps every row."""
+    """Add ``is_successful``, ``rejection_reason`` and ``membership_id``; keeps every row.
+
+    The run counters are observed on the way (see ``DataFrame.observe``). That also
+    ends the reach of filter pushdown: a filter on the verdict would otherwise be moved
+    to the scan together with a second copy of every expression above, which ran
+    five times slower on 8 million rows than deciding once.
+    """
     checks = application_rules() if checks is None else checks
     flags = {f"_holds_{r.code}": r.holds() for r in checks}
     noted = [Rule(r.code, F.col(f"_holds_{r.code}")) for r in checks]
-    return (
+    verdict = (
         cleaned
         .withColumns(flags)
         .withColumns({"is_successful": all_hold(noted), "rejection_reason": failed_codes(noted)})
@@ -89,6 +96,10 @@ def validate(cleaned: DataFrame, checks: Sequence[Rule] | None = None) -> DataFr
             F.when(F.col("is_successful"), fx.membership_id(F.col("last_name"), F.col("birthday_ymd"))),
         )
     )
+    return verdict.observe(
+        f"applications-{uuid.uuid4().hex}",
+        F.count(F.lit(1)).alias("rows_in"), F.count_if("is_successful").alias("successful"),
+    )
 
 
 def rule_matrix(frame: DataFrame, checks: Sequence[Rule], keep: Sequence[str] = ()) -> DataFrame:
