@@ -32,10 +32,11 @@ EVENT_SCHEMA = StructType([
 ])
 
 #: One metadata record per processed image, in column order; ``dt`` is the partition.
-METADATA_COLUMNS = (
-    "image_id", "source", "uploaded_at", "processed_at", "duration_ms", "width", "height",
-    "format", "bytes_in", "bytes_out", "status", "error", "dt",
-)
+METADATA_COLUMNS = {
+    "image_id": "string", "source": "string", "uploaded_at": "timestamp", "processed_at": "timestamp",
+    "duration_ms": "bigint", "width": "int", "height": "int", "format": "string", "bytes_in": "bigint",
+    "bytes_out": "bigint", "status": "string", "error": "string", "dt": "date",
+}
 
 
 def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -46,6 +47,20 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def metadata_records(events: DataFrame) -> DataFrame:
+    """One record per event in the layout of the metadata table.
+
+    The end of processing and the day follow from the upload time; fields the
+    events do not carry are null.
+    """
+    took = F.make_dt_interval(secs=F.col("duration_ms") / 1000)
+    known = events.withColumns({
+        "processed_at": F.col("uploaded_at") + took, "dt": F.to_date("uploaded_at"),
+    })
+    absent = {c: F.lit(None).cast(t) for c, t in METADATA_COLUMNS.items() if c not in known.columns}
+    return known.withColumns(absent).select(*METADATA_COLUMNS)
+
+
 def event_rules(content_types: Iterable[str], max_bytes: int) -> tuple[Rule, ...]:
     """Upload rules: accepted content type, declared size within the limit."""
     return (
@@ -70,21 +85,27 @@ def dedupe_images(events: DataFrame, tie_break: Sequence[str] = ("source",)) ->
     return keep_first(events, ["image_id"], ["uploaded_at", *tie_break])
 
 
-def latest_status(events: DataFrame, order: Sequence[str] = ("uploaded_at",)) -> DataFrame:
-    """Status per image after its last event, its attempts, and when it expires.
-
-    One aggregation with map-side partials: an image with very many redeliveries
-    is one row per task before the shuffle.
-    """
+def status_rows(events: DataFrame, order: Sequence[str] = ("uploaded_at",)) -> DataFrame:
+    """``latest_status`` with ``last_at``, the time of the last event."""
     last = F.max(F.struct(*order, "status"))
     return events.groupBy("image_id").agg(
         last.getField("status").alias("status"),
         F.count(F.lit(1)).alias("attempts"),
         F.count_if(F.col("status") == ERROR).alias("failures"),
         (F.min("uploaded_at") + F.expr(f"INTERVAL {rules.RETENTION_DAYS} DAYS")).alias("expires_at"),
+        last.getField(order[0]).alias("last_at"),
     )
 
 
+def latest_status(events: DataFrame, order: Sequence[str] = ("uploaded_at",)) -> DataFrame:
+    """Status per image after its last event, its attempts, and when it expires.
+
+    One aggregation with map-side partials: an image with very many redeliveries
+    is one row per task before the shuffle.
+    """
+    return status_rows(events, order).drop("last_at")
+
+
 def routed(status: DataFrame, max_attempts: int = rules.MAX_ATTEMPTS) -> DataFrame:
     """``latest_status`` with the next step: ``done``, ``wait``, ``retry`` or ``dead_letter``."""
     route = (

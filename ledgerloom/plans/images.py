@@ -67,24 +67,29 @@ def event_landing_by_day(spark: SparkSession, folder: str) -> DataFrame:
 
 def _metadata_table(spark: SparkSession, folder: str) -> str:
     root = scratch_path(spark, "metadata")
-    tables.write_by_day(image_events(spark, folder), root)
+    tables.write_by_day(ev.metadata_records(image_events(spark, folder)), root)
     return root
 
 
 @_q.add(duck("""
-    select dt, count(*) as images, cast(sum(bytes_in) as bigint) as bytes from image_events group by dt""", "image_events"))
+    select dt, count(*) as images, cast(sum(bytes_in) as bigint) as bytes,
+      max(uploaded_at + to_milliseconds(duration_ms)) as last_processed_at
+    from image_events group by dt""", "image_events"))
 def image_metadata_by_day(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(_metadata_table(spark, folder)).groupBy("dt").agg(
-        F.count(F.lit(1)).alias("images"), F.sum("bytes_in").alias("bytes")
+        F.count(F.lit(1)).alias("images"), F.sum("bytes_in").alias("bytes"),
+        F.max("processed_at").alias("last_processed_at"),
     )
 
 
 @_q.add(duck("""
-    select event_id, image_id, source, dt from image_events
+    select image_id, source, duration_ms, format, bytes_in, status, dt from image_events
     where dt between date '2024-01-14' and date '2024-01-20'""", "image_events"))
 def recent_partition_scan(spark: SparkSession, folder: str) -> DataFrame:
     root = _metadata_table(spark, folder)
-    return tables.read_days(spark, root, "2024-01-14", "2024-01-20").select("event_id", "image_id", "source", "dt")
+    return tables.read_days(spark, root, "2024-01-14", "2024-01-20").select(
+        "image_id", "source", "duration_ms", "format", "bytes_in", "status", "dt"
+    )
 
 
 @_q.add(duck(f"""

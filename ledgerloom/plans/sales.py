@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import integrity, keys, sales, sampling
+from ..session import scratch_path
+from ..sources import tables
 from .onboarding import accepted, cleaned
 from .registry import Collected
 from .views import duck, items, lines, members, transactions
@@ -133,6 +135,18 @@ def monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
     return sales.monthly_revenue(transactions(spark, folder), "1996-01-01", "1998-01-01")
 
 
+@_q.add(duck("""
+    select strftime(transaction_ts, '%Y-%m') as month, count(*) as transactions,
+      cast(sum(total_items_price) as decimal(22,2)) as revenue
+    from transactions where strftime(transaction_ts, '%Y-%m') between '1997-03' and '1997-08'
+    group by 1""", "transactions"))
+def monthly_partition_scan(spark: SparkSession, folder: str) -> DataFrame:
+    root = scratch_path(spark, "by-month")
+    tables.write_by_month(transactions(spark, folder), root)
+    months = tables.read_months(spark, root, "1997-03", "1997-08")
+    return sales.monthly_revenue(months, "1997-03-01", "1997-09-01")
+
+
 @_q.add(duck("""
     select i.item_id, i.cost as list_price, count(*) as lines, min(l.unit_cost_at_purchase) as min_paid,
       max(l.unit_cost_at_purchase) as max_paid
@@ -231,8 +245,8 @@ _NULL_SQL = " union all ".join(
 @_q.add(duck(f"with {_MEMBER_TABLE.strip()} select * from ({_NULL_SQL}) n where violations > 0",
              "checked", "items", "transactions", "lines"))
 def not_null_violations(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _sales_tables(spark, folder)
-    return _union([integrity.null_counts(tables[t], t, c) for t, c in integrity.REQUIRED_COLUMNS.items()])
+    given = _sales_tables(spark, folder)
+    return _union([integrity.null_counts(given[t], t, c) for t, c in integrity.REQUIRED_COLUMNS.items()])
 
 
 @_q.add(duck("""
@@ -265,8 +279,8 @@ _CHECKS = " union all ".join(
 
 @_q.add(duck(f"with {_MEMBER_TABLE.strip()} {_CHECKS}", "checked", "items", "transactions", "lines"))
 def check_violations(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _sales_tables(spark, folder)
-    return _union([integrity.check_counts(tables[t], t, c) for t, c in integrity.sales_checks().items()])
+    given = _sales_tables(spark, folder)
+    return _union([integrity.check_counts(given[t], t, c) for t, c in integrity.sales_checks().items()])
 
 
 @_q.add(duck(f"""

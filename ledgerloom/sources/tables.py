@@ -47,19 +47,36 @@ def read_in_order(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]
     return spark.read.parquet(path).withColumns(place), list(place)
 
 
-def write_by_day(frame: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Parquet in ``dt=`` folders.
+def write_partitioned(frame: DataFrame, root: str, column: str, mode: str = "overwrite") -> None:
+    """Parquet in one folder per value of ``column``; a rewrite replaces only its own folders.
 
-    The rebalance hint gathers each day's rows into few files, splits a day that is
-    much larger than the others, and keeps small days from becoming many small files.
+    The rebalance hint gathers each value's rows into few files, splits a value that is
+    much larger than the others, and keeps small ones from becoming many small files.
     """
     (
-        frame.hint("rebalance", "dt").write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(root)
+        frame.hint("rebalance", column).write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root)
     )
 
 
+def write_by_day(frame: DataFrame, root: str, mode: str = "overwrite") -> None:
+    """``write_partitioned`` by ``dt``."""
+    write_partitioned(frame, root, "dt", mode)
+
+
 def read_days(spark: SparkSession, root: str, first: str, last: str | None = None) -> DataFrame:
     """Days ``first`` to ``last`` of a table written by ``write_by_day``; others are not opened."""
     table = spark.read.parquet(root).where(F.col("dt") >= F.lit(first).cast("date"))
     return table if last is None else table.where(F.col("dt") <= F.lit(last).cast("date"))
+
+
+def write_by_month(transactions: DataFrame, root: str) -> None:
+    """Transactions in ``month=YYYY-MM`` folders."""
+    month = F.date_format(F.to_date("transaction_ts"), "yyyy-MM")
+    write_partitioned(transactions.withColumn("month", month), root, "month")
+
+
+def read_months(spark: SparkSession, root: str, first: str, last: str) -> DataFrame:
+    """Months ``first`` to ``last`` (``YYYY-MM``) of ``write_by_month``; others are not opened."""
+    month = F.col("month").cast("string")
+    return spark.read.parquet(root).where((month >= first) & (month <= last))

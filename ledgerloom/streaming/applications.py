@@ -24,20 +24,25 @@ def stream_applications(
     reference: date = rules.REFERENCE_DATE,
     fmt: str = "parquet",
     max_files: int | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Process the files that arrived since the last start, each once, then stop.
 
     The stream carries file paths only; each micro-batch is read by header name as
     in a batch run (a CSV stream would bind columns by position). Outputs go to
     ``successful/batch_id=N`` and ``unsuccessful/batch_id=N``, so a micro-batch that
-    runs again replaces itself. Without new files nothing is written.
+    runs again replaces itself. Without new files nothing is written. With ``archive``
+    Spark moves finished files there, under their full path; it does so when a later
+    batch commits, and the checkpoint keeps files apart whether they moved or not.
     """
     # The content column is never selected, so no file is loaded whole.
     source = (
         spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("pathGlobFilter", rules.BATCH_GLOB)
         .option("maxFilesPerTrigger", max_files or 1_000_000)
-        .load(input_folder).select("path")
     )
+    if archive:
+        source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    source = source.load(input_folder).select("path")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         files = sorted(r["path"] for r in batch.collect())

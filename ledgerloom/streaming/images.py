@@ -6,6 +6,8 @@ Watermarks need a zoned timestamp, so ``uploaded_at`` must be ``timestamp``.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -62,14 +64,21 @@ def write_appended(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
     )
 
 
-def read_status(spark: SparkSession, root: str) -> DataFrame | None:
-    """Current status per image from the state written by ``track_status``."""
+def read_status(spark: SparkSession, root: str, since: datetime | None = None) -> DataFrame | None:
+    """Current status per image from the state written by ``track_status``.
+
+    ``since`` leaves out rows that expired before it. Batches are written in time
+    order, so Parquet statistics keep old files closed and the read stays within the
+    retention window however long the job has run.
+    """
     try:
         log = spark.read.parquet(root)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             return None
         raise
+    if since is not None:
+        log = log.where(F.col("expires_at") >= F.lit(since))
     return merge_status(log)
 
 
@@ -91,9 +100,7 @@ def track_status(events: DataFrame, root: str, checkpoint: str) -> StreamingQuer
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        rows = ev.latest_status(batch).join(
-            batch.groupBy("image_id").agg(F.max("uploaded_at").alias("last_at")), "image_id"
-        )
+        rows = ev.status_rows(batch)
         rows.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
     return _each_batch(events, process, checkpoint)
@@ -104,7 +111,10 @@ def process_new_images(events: DataFrame, state_root: str, output: str, checkpoi
     spark = events.sparkSession
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        status = read_status(spark, state_root)
+        extent = batch.agg(F.count(F.lit(1)).alias("rows"), F.min("uploaded_at").alias("first")).first()
+        if not extent["rows"]:
+            return
+        status = read_status(spark, state_root, since=extent["first"])
         todo = ev.dedupe_images(batch) if status is None else ev.skip_done(batch, status)
         write_by_day(todo, f"{output}/batch_id={batch_id}")
 

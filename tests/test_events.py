@@ -38,6 +38,15 @@ def test_messages_parse_and_bad_ones_give_nulls(spark):
     assert (rows[2].image_id, rows[2].dt) == ("b", None)
 
 
+def test_metadata_records_have_the_table_layout(spark):
+    event = spark.createDataFrame([("a", "api", _at(0), 1500, "png", 9, "DONE")],
+                                  "image_id string, source string, uploaded_at timestamp, duration_ms long, "
+                                  "format string, bytes_in long, status string")
+    row = ev.metadata_records(event).first()
+    assert list(row.asDict()) == list(ev.METADATA_COLUMNS)
+    assert (row.processed_at, row.dt, row.width) == (_at(0) + timedelta(seconds=1.5), date(2024, 1, 10), None)
+
+
 def test_event_rules(spark):
     rows = spark.createDataFrame([("image/png", 5), ("image/png", 11), ("text/html", 0), (None, None)],
                                  "content_type string, size long")
@@ -223,6 +232,22 @@ def test_idle_applications_stream_writes_nothing(spark, tmp_path):
     assert not (out / "successful").exists()
 
 
+def test_finished_files_can_be_archived(spark, tmp_path):
+    root, archive = tmp_path / "in", tmp_path / "done"
+    root.mkdir()
+
+    def start():
+        app_stream.stream_applications(
+            spark, str(root), str(tmp_path / "out"), str(tmp_path / "s"), archive=str(archive)
+        ).awaitTermination()
+        return sum(spark.read.parquet(str(tmp_path / "out" / side)).count() for side in ("successful", "unsuccessful"))
+
+    for name, text, total in [("a", BATCH_A, 3), ("b", BATCH_C, 6), ("c", BATCH_A, 9)]:
+        (root / f"{name}.csv").write_text(text)
+        assert start() == total
+    assert "a.csv" in {p.name for p in archive.rglob("*.csv")} and not (root / "a.csv").exists()
+
+
 def test_landing_by_day_appends_once(spark, tmp_path):
     root = tmp_path / "messages"
     root.mkdir()
@@ -275,6 +300,7 @@ def test_status_state_and_skipping_done_images(spark, tmp_path):
         return {r.image_id: (r.status, r.attempts, r.failures) for r in streams.read_status(spark, state).collect()}
 
     assert track() == track() == {"a": ("DONE", 2, 0), "b": ("ERROR", 2, 2)}
+    assert streams.read_status(spark, state, since=_at(24 * 30)).count() == 0
 
     work = str(tmp_path / "work")
     _drop(work, "1", [("a", "kafka", 2, "PENDING"), ("b", "kafka", 2, "PENDING"), ("b", "kafka", 3, "PENDING"), ("n", "api", 2, "PENDING")])
