@@ -22,6 +22,10 @@ def _any_of(words: Iterable[str]) -> str:
     return "(?:" + "|".join(words) + r")\.*"
 
 
+#: Whitespace that is not already a single space.
+_UNEVEN = r"(?U)\s{2,}|[^\S ]"
+
+
 def core_name(
     name: Column,
     salutations: Iterable[str] = rules.SALUTATIONS,
@@ -32,9 +36,11 @@ def core_name(
     Words match in any case and with any number of trailing dots. A post-nominal
     needs a token before it, so one submitted alone is kept. ``''`` when no name is left.
     """
-    spaced = F.btrim(F.regexp_replace(name, r"(?U)\s+", " "))
-    untailed = F.regexp_replace(spaced, rf"(?i) {_any_of(post_nominals)}\z", "")
-    return F.regexp_replace(untailed, rf"(?i)\A{_any_of(salutations)}(?: |\z)", "")
+    # Between words of ``even`` there is one space and none in front, so a space
+    # before the post-nominal means there is a token before it.
+    even = F.btrim(F.regexp_replace(name, _UNEVEN, " "))
+    extra = rf"(?i)\A{_any_of(salutations)}(?= |\z)| {_any_of(post_nominals)}\z"
+    return F.btrim(F.regexp_replace(even, extra, ""))
 
 
 def core_tokens(core: Column) -> Column:
@@ -52,4 +58,5 @@ def last_name(core: Column) -> Column:
 
     ``''`` for a single-token name, null when there is no name at all.
     """
-    return F.when(core != "", F.regexp_extract(core, r"\A[^ ]+ ?(.*)\z", 1))
+    after_first = F.length(F.substring_index(core, " ", 1)) + 2
+    return F.when(core != "", core.substr(after_first, F.length(core)))

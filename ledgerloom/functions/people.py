@@ -12,7 +12,7 @@ from pyspark.sql import Column, functions as F
 from .. import rules
 
 
-_ISO = "yyyy-MM-dd"
+_SPACE = f"[{rules.WHITESPACE}]*"
 _PARTS = {"yyyy": "([0-9]{4})", "MM": "([0-9]{2})", "dd": "([0-9]{2})"}
 
 
@@ -20,13 +20,7 @@ def _shape(layout: str) -> str:
     """Regex for a layout such as ``dd-MM-yyyy``, one group per part."""
     for part, digits in _PARTS.items():
         layout = layout.replace(part, digits)
-    return rf"\A{layout}\z"
-
-
-def _as_iso(layout: str) -> str:
-    """Replacement that puts the groups of ``_shape(layout)`` in ISO order."""
-    order = sorted(_PARTS, key=layout.index)
-    return "-".join(f"${order.index(part) + 1}" for part in ("yyyy", "MM", "dd"))
+    return layout
 
 
 def _stripped(value: Column) -> Column:
@@ -36,19 +30,20 @@ def _stripped(value: Column) -> Column:
 def layout_of(birthday: Column, layouts: Iterable[str] = rules.BIRTHDAY_LAYOUTS) -> Column:
     """Which layout the text has the shape of (null when none), valid date or not."""
     text = _stripped(birthday)
-    return F.coalesce(*[F.when(text.rlike(_shape(l)), F.lit(l)) for l in layouts])
+    return F.coalesce(*[F.when(text.rlike(rf"\A{_shape(l)}\z"), F.lit(l)) for l in layouts])
 
 
 def _parse(birthday: Column, layouts: Iterable[str]) -> Column:
-    # Shapes differ, so at most one rewrite applies and the text is read once. What
-    # is not in ISO form after that becomes '' and casts to null without an exception.
-    text = _stripped(birthday)
-    if _ISO not in layouts:
-        text = F.regexp_replace(text, _shape(_ISO), "")
-    for layout in layouts:
-        if layout != _ISO:
-            text = F.regexp_replace(text, _shape(layout), _as_iso(layout))
-    return F.regexp_extract(text, _shape(_ISO), 0).try_cast("date")
+    # One pass rewrites a text of any layout to yyyy-MM-dd: only the groups of the
+    # layout that matched hold text, so they can be strung together. Any other text
+    # becomes "--". Both are then cast without exceptions.
+    groups: dict[str, str] = {part: "" for part in _PARTS}
+    for number, layout in enumerate(layouts):
+        for place, part in enumerate(sorted(_PARTS, key=layout.index), start=1):
+            groups[part] += f"${3 * number + place}"
+    shapes = "|".join(_shape(l) for l in layouts)
+    pattern = rf"(?s)\A{_SPACE}(?:{shapes}){_SPACE}\z|\A.*\z"
+    return F.regexp_replace(birthday, pattern, "{yyyy}-{MM}-{dd}".format(**groups)).try_cast("date")
 
 
 def parse_birthday(birthday: Column, layouts: Iterable[str] = rules.BIRTHDAY_LAYOUTS) -> Column:
