@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import rules
@@ -27,14 +28,20 @@ def typed_members(accepted: DataFrame) -> DataFrame:
     )
 
 
-def latest_run(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of the newest ``run_ts=`` folder, chosen by its stamp, not by file times."""
-    runs = spark.read.parquet(root)
-    # Reads partition values only; the filter below then opens a single folder.
-    newest = runs.agg(F.max(F.col("run_ts").cast("string")).alias("stamp")).first()["stamp"]
-    if newest is None:
-        raise FileNotFoundError(f"no run below {root}")
-    return runs.where(F.col("run_ts") == newest)
+def latest_run(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """Rows of the newest ``run_ts=`` folder, chosen by its stamp, not by file times.
+
+    The stamps come from a listing that opens no file; then one folder is read.
+    """
+    try:
+        listing = spark.read.format("binaryFile").load(root)
+        newest = listing.agg(F.max(F.col("run_ts").cast("string")).alias("stamp")).first()["stamp"]
+    except AnalysisException as error:
+        raise FileNotFoundError(f"no run below {root}") from error
+    reader = spark.read.option("basePath", root)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
+    return reader.format(fmt).load(f"{root}/run_ts={newest}")
 
 
 def read_in_order(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:

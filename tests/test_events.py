@@ -277,6 +277,17 @@ def test_stream_keeps_first_deliveries_and_refuses_expired_ones(spark, tmp_path)
     assert sorted(got) == ["a", "b", "c", "d", "e"]
 
 
+def test_two_streams_converge_before_deduplication(spark, tmp_path):
+    api, kafka = str(tmp_path / "api"), str(tmp_path / "kafka")
+    _drop(api, "1", [("a", "", 0, "DONE"), ("b", "", 1, "DONE")])
+    _drop(kafka, "1", [("b", "", 2, "DONE"), ("c", "", 3, "DONE")])
+    both = ev.union_sources({"api": _event_stream(spark, api).drop("source"), "kafka": _event_stream(spark, kafka).drop("source")})
+    streams.write_appended(streams.first_deliveries(both), str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "o")).collect()
+    assert sorted(r.image_id for r in rows) == ["a", "b", "c"]
+    assert {r.image_id: r.source for r in rows if r.image_id != "b"} == {"a": "api", "c": "kafka"}
+
+
 def test_stream_hours_equal_batch_hours_once_closed(spark, tmp_path):
     root = str(tmp_path / "in")
     rows = [(f"i{n}", "api" if n % 3 else "kafka", n / 10, "DONE") for n in range(100)]

@@ -232,6 +232,12 @@ def test_rescanning_instead_of_keeping_gives_the_same_outputs(spark, folder, tmp
         assert bag(spark.read.parquet(kept.paths[name])) == bag(spark.read.parquet(again.paths[name]))
 
 
+def test_empty_frame_is_counted_without_keeping_it(spark, tmp_path):
+    frame = ap.validate(ap.clean(spark.createDataFrame([], "name string, email string, birthday string, mobile string, source_file string")))
+    summary = sinks.write_outputs(frame, str(tmp_path / "out"), RUN_TS, keep=None, order_by=["name"])
+    assert (summary.rows_in, summary.successful, summary.unsuccessful) == (0, 0, 0)
+
+
 def test_summary_is_plain_json_and_a_row(spark, folder, tmp_path):
     summary = runs.run(spark, folder(a=BATCH_A, b=BATCH_B), str(tmp_path / "out"), RUN_TS)
     payload = json.loads(json.dumps(summary.as_dict()))
@@ -247,8 +253,38 @@ def test_latest_run_goes_by_stamp(spark, folder, tmp_path):
     runs.run(spark, folder(a=BATCH_A), out, RUN_TS.replace(year=2025))
     latest = tables.latest_run(spark, f"{out}/successful")
     assert [(r.run_ts, r.first_name) for r in latest.collect()] == [(STAMP, "Sherry")]
-    plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(run_ts" in plan
+    assert all(STAMP in file for file in latest.inputFiles())
+    with pytest.raises(FileNotFoundError):
+        tables.latest_run(spark, str(tmp_path / "absent"))
+
+
+def test_latest_run_of_csv_outputs_loads_as_members(spark, folder, tmp_path):
+    out = str(tmp_path / "out")
+    runs.run(spark, folder(a=BATCH_A, b=BATCH_B), out, RUN_TS, fmt="csv")
+    members = tables.typed_members(tables.latest_run(spark, f"{out}/successful", "csv"))
+    assert sorted((r.membership_id, r.birthday, r.above_18, r.mobile) for r in members.collect()) == [
+        ("Dixon_3864b", date(1986, 1, 10), True, "40601711"),
+        ("Gonzalez_" + _hash("19730314"), date(1973, 3, 14), True, "66744895"),
+    ]
+
+
+@pytest.mark.parametrize("in_order", [False, True])
+@pytest.mark.parametrize("text, rows", [
+    ("name,email,date_of_birth,mobile_no\n", 0),
+    ("name,email,date_of_birth,mobile_no\n,,,\n", 1),
+])
+def test_run_without_accepted_rows(spark, folder, tmp_path, text, rows, in_order):
+    summary = runs.run(spark, folder(a=text), str(tmp_path / "out"), RUN_TS, in_order=in_order)
+    assert (summary.files, summary.rows_in, summary.successful, summary.unsuccessful) == (1, rows, 0, rows)
+    assert tables.latest_run(spark, str(tmp_path / "out" / "successful")).count() == 0
+
+
+@pytest.mark.parametrize("split_above", [1, 10**9])
+def test_byte_order_mark_and_windows_line_ends(spark, folder, split_above):
+    text = "\ufeff" + BATCH_A.replace("\n", "\r\n")
+    rows = _scan(spark, folder(a=text), split_above=split_above).collect()
+    assert [r.mobile for r in rows] == ["4060 1711", "737931", "71380411"]
+    assert rows[0].name == "Mr. William Dixon"
 
 
 def test_seed_from_the_newest_run_in_input_order(spark, folder, tmp_path):
