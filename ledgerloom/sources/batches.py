@@ -32,13 +32,20 @@ def _listing(spark: SparkSession, paths: str | Sequence[str], glob: str | None =
     return reader.load(paths).select("path", "length")
 
 
-def discover_batches(spark: SparkSession, folder: str, glob: str = rules.BATCH_GLOB) -> list[str]:
+def discover_batches(
+    spark: SparkSession, folder: str, glob: str = rules.BATCH_GLOB, finished: DataFrame | None = None
+) -> list[str]:
     """Batch files directly in ``folder``, by name. No files is a normal answer.
 
-    Raises ``NotADirectoryError`` when the folder does not exist.
+    Files whose ``path`` is in ``finished`` are left out by a join, so only the list
+    of waiting files comes to the driver. Raises ``NotADirectoryError`` when the
+    folder does not exist.
     """
     try:
-        found = [r["path"] for r in _listing(spark, folder, glob).collect()]
+        listing = _listing(spark, folder, glob).select("path")
+        if finished is not None:
+            listing = listing.join(finished.select("path").distinct(), "path", "left_anti")
+        found = [r["path"] for r in listing.collect()]
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise NotADirectoryError(f"no such input folder: {folder}") from error

@@ -6,7 +6,7 @@ from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import rules
 from ..operators.applications import clean, validate
@@ -14,15 +14,15 @@ from .batches import POSITION, discover_batches, scan_batches
 from .sinks import RunSummary, write_outputs
 
 
-def _recorded(spark: SparkSession, ledger: str, stamp: str) -> set[str]:
-    """Files that runs other than ``stamp`` have finished."""
+def _recorded(spark: SparkSession, ledger: str, stamp: str) -> DataFrame | None:
+    """Files that runs other than ``stamp`` have finished; ``None`` before the first run."""
     try:
         done = spark.read.schema("path string, run_ts string").json(ledger)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
-            return set()
+            return None
         raise
-    return {r["path"] for r in done.where(F.col("run_ts") != stamp).select("path").collect()}
+    return done.where(F.col("run_ts") != stamp)
 
 
 def run(
@@ -45,10 +45,8 @@ def run(
     """
     run_ts = run_ts or datetime.now()
     stamp = run_ts.strftime(rules.RUN_STAMP)
-    files = discover_batches(spark, input_folder)
-    if ledger:
-        finished = _recorded(spark, ledger, stamp)
-        files = [f for f in files if f not in finished]
+    finished = _recorded(spark, ledger, stamp) if ledger else None
+    files = discover_batches(spark, input_folder, finished=finished)
     if not files:
         return RunSummary(run_ts)
 

@@ -209,3 +209,66 @@ def test_run_stamp(spark):
     )
     got = [r[0] for r in frame.select(fx.run_stamp_of(F.col("f"))).collect()]
     assert [g.isoformat() if g else None for g in got] == ["2026-09-18T10:41:59", None, None]
+
+
+def _brute_force(name):
+    """First and last name by walking over the tokens."""
+    tokens = name.split()
+    bare = [t.lower().rstrip(".") for t in tokens]
+    start = 1 if tokens and bare[0] in rules.SALUTATIONS else 0
+    stop = len(tokens) - (1 if len(tokens) > 1 and bare[-1] in rules.POST_NOMINALS else 0)
+    core = tokens[start:max(start, stop)]
+    return (core[0], " ".join(core[1:])) if core else (None, None)
+
+
+def test_random_names_split_like_the_token_walk(spark):
+    import random
+
+    rng = random.Random(11)
+    words = ["Mr", "mr.", "MRS..", "Dr", "Prof.", "Madam", "Sir", "Mrx", "Xmr", "Ann", "Lee", "O'Hara", "É.", "李",
+             "MD", "md.", "Jr..", "III", "v", "V.", "Do", "PhD", "PhDs", "a.b", ".", "..", "Esq,"]
+    gaps = [" ", "  ", "\t", " \n ", " ", " ", "　"]
+    names = []
+    for _ in range(4000):
+        parts = [rng.choice(words) for _ in range(rng.randrange(0, 6))]
+        text = "".join(p + rng.choice(gaps) for p in parts)
+        names.append(rng.choice(["", " ", "\t"]) + (text if rng.random() < 0.5 else text.rstrip()))
+    frame = spark.createDataFrame([(n,) for n in names], "name string")
+    core = fx.core_name(F.col("name"))
+    rows = frame.select("name", fx.first_name(core).alias("f"), fx.last_name(core).alias("l")).collect()
+    wrong = [(r.name, r.f, r.l, _brute_force(r.name)) for r in rows if (r.f, r.l) != _brute_force(r.name)]
+    assert wrong == []
+
+
+def test_random_birthdays_parse_like_strptime_on_exact_shapes(spark):
+    import random
+    import re
+    from datetime import datetime
+
+    shapes = {r"\d{4}-\d\d-\d\d": "%Y-%m-%d", r"\d{4}/\d\d/\d\d": "%Y/%m/%d",
+              r"\d\d/\d\d/\d{4}": "%m/%d/%Y", r"\d\d-\d\d-\d{4}": "%d-%m-%Y"}
+
+    def expected(text):
+        for shape, layout in shapes.items():
+            if re.fullmatch(shape, text.strip()):
+                try:
+                    return datetime.strptime(text.strip(), layout).date()
+                except ValueError:
+                    return None
+        return None
+
+    rng = random.Random(4)
+    texts = ["--", "-", "1986-01-10-", "--1986-01-10", "1986-01-10 1986-01-10"]
+    for _ in range(4000):
+        parts = [f"{rng.randrange(1900, 2030)}", f"{rng.randrange(0, 14):02d}", f"{rng.randrange(0, 33):02d}"]
+        if rng.random() < 0.5:
+            rng.shuffle(parts)
+        gap = rng.choice("--//.")
+        text = gap.join(parts)
+        if rng.random() < 0.1:
+            text = text.replace("0", "", 1)
+        texts.append(rng.choice(["", " ", "\n"]) + text + rng.choice(["", "\t", "x", " "]))
+    rows = spark.createDataFrame([(t,) for t in texts], "b string").select(
+        "b", fx.parse_birthday(F.col("b")).alias("d")).collect()
+    assert [(r.b, r.d) for r in rows if r.d != expected(r.b)] == []
+    assert sum(r.d is not None for r in rows) > 500
