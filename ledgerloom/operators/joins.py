@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 #: A side is broadcast only when it was measured to be at most this large.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -44,8 +44,16 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) ->
     )
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
+def _join(
+    rows: DataFrame, side: DataFrame, keys: Sequence[str], how: str, null_safe: bool, broadcast: bool = False
+) -> DataFrame:
+    renamed = {k: f"_k_{k}" for k in keys} if null_safe else {}
+    side = side.withColumnsRenamed(renamed)
+    side = F.broadcast(side) if broadcast else side
+    if not null_safe:
+        return rows.join(side, list(keys), how)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()])
+    return rows.join(side, same, how).drop(*renamed.values())
 
 
 def _mark_hot(frame: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -62,10 +70,11 @@ def lookup_join(
     max_bytes: int = BROADCAST_BYTES,
     share: float = HOT_SHARE,
     salts: int = SALTS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join every row of ``rows`` to ``side``, which has at most one row per key.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. A side measured
+    Null keys match each other only with ``null_safe``. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. A side measured
     below ``max_bytes`` is broadcast and ``rows`` does not move. Beyond that both
     sides are shuffled, with the hot keys of ``rows`` spread over ``salts`` pieces
     and only those keys repeated on the side; cold keys are joined as they are.
@@ -74,7 +83,7 @@ def lookup_join(
         raise ValueError(f"unsupported join type: {how}")
     keys = list(keys)
     if measured_bytes(side) <= max_bytes:
-        return rows.join(F.broadcast(side), keys, how)
+        return _join(rows, side, keys, how, null_safe, broadcast=True)
 
     hot = hot_keys(rows, keys, share)
     # The salt depends on the row's own values, so a task that runs again after a
@@ -87,4 +96,4 @@ def lookup_join(
         "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
                            .otherwise(F.array(F.lit(0))))
     ).drop("_hot")
-    return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return _join(spread, repeated, [*keys, "_salt"], how, null_safe).drop("_salt")

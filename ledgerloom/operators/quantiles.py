@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import settled
+from .joins import lookup_join
+
+#: Band widths, wide to narrow. With whole milliseconds a band of 1000 has at most that many
+#: distinct values; pass more, narrower widths for values with a finer resolution.
+BAND_WIDTHS = (1000.0,)
 
-#: Values per band. With whole milliseconds a band has at most this many distinct values.
-BAND_WIDTH = 1000
 
 def exact_percentiles(
     rows: DataFrame,
     groups: Sequence[str],
     value: str,
     percentages: Mapping[str, float],
-    width: float = BAND_WIDTH,
+    widths: Sequence[float] = BAND_WIDTHS,
 ) -> DataFrame:
     """Interpolated percentiles of ``value`` per group, exact for groups of any size.
 
@@ -30,7 +33,7 @@ def exact_percentiles(
         rows.where(F.col(value).isNotNull())
         .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
     )
-    return percentiles_of_counts(settled(counts), groups, value, "_n", percentages, width)
+    return percentiles_of_counts(settled(counts), groups, value, "_n", percentages, widths)
 
 
 def percentiles_of_counts(
@@ -39,57 +42,68 @@ def percentiles_of_counts(
     value: str,
     count: str,
     percentages: Mapping[str, float],
-    width: float = BAND_WIDTH,
+    widths: Sequence[float] = BAND_WIDTHS,
 ) -> DataFrame:
     """Percentiles from one row per (group, value) with its number of occurrences.
 
-    Counts are totalled in bands of ``width`` to find the bands that hold the wanted
-    ranks, and only these are ranked value by value. A window sees the bands of a
-    group, or the distinct values of one band, never the rows of a group. ``counted``
-    is read twice, so it should be stored or cheap.
+    Counts are totalled in bands to find those that hold the wanted ranks; these are
+    cut into bands of the next width, and so on. What is left is ranked value by value.
+    A window sees the bands of one width inside one wider band, or the distinct values
+    of a narrowest band, never the rows of a group. ``counted`` is read twice per
+    width, so it should be stored or cheap.
     """
     groups = list(groups)
-    counts = (
-        counted.where(F.col(value).isNotNull())
-        .select(*groups, F.col(value).alias("_value"), F.col(count).alias("_n"))
-        .withColumn("_band", F.floor(F.col("_value") / F.lit(width)).cast("long"))
-    )
-    per_group = Window.partitionBy(*groups)
-    earlier = per_group.orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    bands = counts.groupBy(*groups, "_band").agg(F.sum("_n").alias("_in_band")).select(
-        *groups, "_band", "_in_band",
-        F.coalesce(F.sum("_in_band").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_in_band").over(per_group).alias("_total"),
-    )
 
     def rank(share: float) -> Column:
         return (F.col("_total") - 1) * F.lit(float(share))
 
-    def covers(target: Column, start: Column, size: Column) -> Column:
-        return (start <= target) & (target < start + size)
-
     def ends(share: float) -> tuple[Column, Column]:
         return F.floor(rank(share)), F.ceil(rank(share))
 
-    wanted = reduce(or_, [
-        covers(end, F.col("_before"), F.col("_in_band")) for p in percentages.values() for end in ends(p)
-    ])
-    hit = bands.where(wanted).select(
-        *[F.col(g).alias(f"_g_{g}") for g in groups], F.col("_band").alias("_hit_band"), "_before", "_total"
-    )
-    same = reduce(
-        and_, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups], F.col("_band") == F.col("_hit_band")
-    )
-    inside = Window.partitionBy(*groups, "_band").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.join(hit, same).withColumn(
-        "_start", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    def covers(target: Column, start: str, size: str) -> Column:
+        return (F.col(start) <= target) & (target < F.col(start) + F.col(size))
+
+    def running(size: str, keys: Sequence[str], by: str) -> Column:
+        earlier = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(size).over(earlier), F.lit(0))
+
+    def narrow(width: float) -> Column:
+        return F.floor(F.col("_value") / F.lit(width)).cast("long")
+
+    def cut(region: DataFrame, width: float, *place: str) -> DataFrame:
+        return region.withColumn("_narrow", narrow(width)).groupBy(*groups, "_band", *place, "_narrow").agg(
+            F.sum("_n").alias("_rows")
+        )
+
+    if not widths:
+        raise ValueError("at least one band width is needed")
+    region = counted.where(F.col(value).isNotNull()).select(
+        *groups, F.col(value).alias("_value"), F.col(count).alias("_n"), F.lit(0).cast("long").alias("_band")
     )
+    wanted = [end for share in percentages.values() for end in ends(share)]
+    # ``_before`` and ``_total``: the group's rows before a band, and in all. At first
+    # the whole group is one band.
+    bands = cut(region, widths[0]).withColumns({
+        "_before": F.lit(0).cast("long"), "_total": F.sum("_rows").over(Window.partitionBy(*groups)),
+    })
+    for level, width in enumerate(widths):
+        if level:
+            bands = cut(region, width, "_before", "_total")
+        hits = (
+            bands.withColumn("_start", F.col("_before") + running("_rows", [*groups, "_band"], "_narrow"))
+            .where(reduce(or_, [covers(end, "_start", "_rows") for end in wanted]))
+            .select(*groups, F.col("_narrow").alias("_band"), F.col("_start").alias("_before"), "_total")
+        )
+        inside = region.withColumn("_band", narrow(width)).drop("_before", "_total")
+        region = lookup_join(inside, settled(hits), [*groups, "_band"], "inner", null_safe=True)
+
+    ranked = region.withColumn("_start", F.col("_before") + running("_n", [*groups, "_band"], "_value"))
     found = ranked.groupBy(*groups).agg(
         F.max("_total").alias("_total"),
         *[
-            F.max(F.when(covers(end, F.col("_start"), F.col("_n")), F.col("_value"))).alias(f"_{side}_{name}")
-            for name, p in percentages.items()
-            for side, end in zip(("low", "high"), ends(p))
+            F.max(F.when(covers(end, "_start", "_n"), F.col("_value"))).alias(f"_{side}_{name}")
+            for name, share in percentages.items()
+            for side, end in zip(("low", "high"), ends(share))
         ],
     )
 

@@ -105,15 +105,15 @@ def _expected(values, share):
     return values[low] + (values[high] - values[low]) * (place - low)
 
 
-@pytest.mark.parametrize("width", [0.5, 10, 1000, 10**9])
-def test_exact_percentiles_equal_brute_force(spark, width):
+@pytest.mark.parametrize("widths", [(0.5,), (1000.0,), (10.0**9,), (500.0, 20.0, 1.0)])
+def test_exact_percentiles_equal_brute_force(spark, widths):
     rng = random.Random(5)
     groups = {"hot": [rng.randrange(-50, 5000) for _ in range(3000)], "one": [7], "two": [3, 4],
               "same": [9] * 500, None: [rng.randrange(100) for _ in range(40)]}
     rows = [(g, v) for g, values in groups.items() for v in values] + [("hot", None), ("empty", None)]
     frame = spark.createDataFrame(rows, "g string, v long").repartition(5)
     shares = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
-    got = {r.g: r for r in quantiles.exact_percentiles(frame, ["g"], "v", shares, width).collect()}
+    got = {r.g: r for r in quantiles.exact_percentiles(frame, ["g"], "v", shares, widths).collect()}
     assert set(got) == set(groups)
     for g, values in groups.items():
         for name, share in shares.items():
@@ -122,7 +122,12 @@ def test_exact_percentiles_equal_brute_force(spark, width):
 
 def test_percentiles_of_decimals_and_without_groups(spark):
     frame = spark.range(101).selectExpr("cast(id * 0.25 as decimal(10,2)) as v")
-    assert tuple(quantiles.exact_percentiles(frame, [], "v", {"p50": 0.5, "p99": 0.99}, 1).first()) == (12.5, 24.75)
+    assert tuple(quantiles.exact_percentiles(frame, [], "v", {"p50": 0.5, "p99": 0.99}, (4.0, 0.5)).first()) == (12.5, 24.75)
+
+
+def test_percentiles_need_a_width(spark):
+    with pytest.raises(ValueError):
+        quantiles.exact_percentiles(spark.range(3), [], "id", {"p50": 0.5}, ())
 
 
 def test_estimated_percentiles_stay_close(spark):

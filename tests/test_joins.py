@@ -30,6 +30,17 @@ def test_split_join_equals_plain_join(skewed, side, how):
     assert len(plain) > 0
 
 
+@pytest.mark.parametrize("kwargs", [{}, SPLIT])
+def test_null_keys_meet_only_when_asked(skewed, side, spark, kwargs):
+    with_null = side.unionByName(spark.createDataFrame([(None, -1)], "k int, v long"))
+    nulls = skewed.where("k is null").count()
+    plain = joins.lookup_join(skewed, with_null, ["k"], "inner", **kwargs)
+    safe = joins.lookup_join(skewed, with_null, ["k"], "inner", null_safe=True, **kwargs)
+    assert safe.columns == plain.columns
+    assert safe.where("v = -1").count() == nulls > 0 == plain.where("v = -1").count()
+    assert bag(safe.where("v >= 0")) == bag(plain)
+
+
 def test_large_side_is_not_broadcast(skewed, side):
     def plan(**kwargs):
         frame = joins.lookup_join(skewed, side.hint("merge"), ["k"], "inner", **kwargs)
