@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from ..plans.registry import Query
-from . import queries_dedup
+from . import queries_dedup, queries_layout, queries_text
 
-QUERIES: list[Query] = [*queries_dedup.QUERIES]
+QUERIES: list[Query] = [*queries_dedup.QUERIES, *queries_text.QUERIES, *queries_layout.QUERIES]

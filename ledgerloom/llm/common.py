@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,8 +31,8 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def lowered_words(text: bytes, block: int = _BLOCK) -> Iterator[list[bytes]]:
-    """Words of a text with A-Z lower-cased, in lists that cover at most about ``block`` bytes.
+def words_in_blocks(text: bytes, block: int = _BLOCK) -> Iterator[list[bytes]]:
+    """Words of a text in lists that cover at most about ``block`` bytes.
 
     A text of any length is passed through whole; only one list exists at a time.
     """
@@ -40,13 +40,25 @@ def lowered_words(text: bytes, block: int = _BLOCK) -> Iterator[list[bytes]]:
     while start < end:
         gap = _GAP.search(text, start + block) if start + block < end else None
         stop = gap.start() if gap else end
-        # bytes.lower and bytes.split know ASCII letters and the six ASCII white spaces only.
-        words = text[start:stop].lower().split()
+        words = text[start:stop].split()  # bytes.split knows the six ASCII white spaces only
         if words:
             yield words
         start = stop
 
 
+def lowered_words(text: bytes, block: int = _BLOCK) -> Iterator[list[bytes]]:
+    """The same with A-Z lower-cased; bytes.lower knows ASCII letters only."""
+    return words_in_blocks(text.lower(), block)
+
+
+def free_name(taken: Iterable[str], name: str) -> str:
+    """``name``, with underscores after it while a column is called that, upper or lower case."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def word_count(text):
     """Number of words of a text column; null counts as the empty text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
