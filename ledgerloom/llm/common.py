@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
@@ -59,6 +61,18 @@ def free_name(taken: Iterable[str], name: str) -> str:
     return name
 
 
+def add_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the ``line`` arrays of each ``term``; for rows that are partitioned by term."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        width = len(batch.column(1)[0]) if len(batch) else 0
+        lines = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, max(1, width))
+        for term, line in zip(batch.column(0).to_pylist(), lines):
+            sums[term] = sums[term] + line if term in sums else line.copy()
+    if sums:
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array(list(sums.values()), pa.list_(pa.float64()))], ["term", "line"])
+
+
 def word_count(text):
     """Number of words of a text column; null counts as the empty text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -34,6 +34,11 @@ HIGHEST_THRESHOLD = 0.5
 
 UNKNOWN = "und"
 
+#: Candidates per row that is taken, among which the least hashes are found.
+OVERSAMPLED = 8.0
+
+_HASHES = 1 << 62
+
 # Letters stay (lower-cased before), everything else in ASCII becomes one gap.
 _GAPS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 _BLOCK = 1 << 20
@@ -160,9 +165,8 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], rejected: float = REJECT
 def _featurizer(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         found = [subword_counts(t or "") for t in batch.to_pylist()]
-        hits = [np.flatnonzero(c) for c in found]
-        yield pa.array([{"buckets": h.tolist(), "counts": c[h].tolist()} for h, c in zip(hits, found)],
-                       pa.struct([("buckets", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))]))
+        # Buckets, then how often each occurs, as 32-bit numbers.
+        yield pa.array([np.concatenate([h, c[h]]).astype("<i4").tobytes() for c in found for h in [np.flatnonzero(c)]], pa.binary())
 
 
 _featurizer.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
@@ -172,26 +176,32 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", per_langu
     """A model of the rows of ``labelled`` that have a text with letters and a language.
 
     At most ``per_language`` rows of each language are taken, those with the least hash of their
-    text; repeats of one text count once. The hash is over texts, so the sample does not depend on order or partitions.
-    Their subword counts, not their texts, come to the driver: at most BUCKETS numbers a row.
+    text; repeats of one text count once. The hash is over texts, so the sample does not depend on
+    order or partitions. Only hashes below a bound that leaves OVERSAMPLED times that many rows of
+    a language are ranked, so no task ranks a whole language. Subword counts, not texts, come to the
+    driver: at most BUCKETS numbers a row.
     """
     usable = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")
-    ).withColumn("hash", F.xxhash64("text", F.lit(SEED)))
+    ).withColumn("hash", F.xxhash64("text", F.lit(SEED)).bitwiseAND(F.lit(_HASHES - 1)))
+    bounds = usable.groupBy("lang").agg(
+        F.least(F.lit(1.0), OVERSAMPLED * F.lit(float(per_language)) / F.count(F.lit(1))).alias("share")
+    ).select("lang", (F.col("share") * F.lit(float(_HASHES))).alias("bound"))
     least = Window.partitionBy("lang").orderBy("hash")
     # Of equal texts one hash is left; the rank is cut in each task before the shuffle.
     chosen = (
-        usable.select("lang", "hash").distinct()
+        usable.select("lang", "hash").join(F.broadcast(bounds), "lang").where("hash <= bound").select("lang", "hash").distinct()
         .withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= per_language)
         .groupBy("lang").agg(F.max("hash").alias("last"))
     )
     sample = usable.join(F.broadcast(chosen), "lang").where("hash <= last")  # one row per language
-    features = F.arrow_udf(_featurizer, "struct<buckets:array<bigint>,counts:array<bigint>>")
+    features = F.arrow_udf(_featurizer, "binary")
     rows = sample.groupBy("lang", "hash").agg(F.min("text").alias("text")).select(
         "lang", "hash", features("text").alias("f")
     ).collect()
     rows = sorted(rows, key=lambda r: (r["lang"], r["hash"]))
-    return fit([(r["lang"], np.array(r["f"]["buckets"], np.int64), np.array(r["f"]["counts"], np.float64)) for r in rows])
+    numbers = [np.frombuffer(r["f"], "<i4").reshape(2, -1) for r in rows]
+    return fit([(r["lang"], n[0].astype(np.int64), n[1].astype(np.float64)) for r, n in zip(rows, numbers)])
 
 
 def _predictor(model):

@@ -46,7 +46,8 @@ def source_targets(
         .withColumn("all", F.lit(float(share)) * F.sum("source_size").over(everywhere))
         .withColumn("level", (F.col("all") - F.coalesce(F.sum("cap").over(earlier), F.lit(0.0)))
                     / F.sum("weight").over(onward))
-        .withColumn("level", F.min(F.when(F.col("level") <= F.col("stop"), F.struct("stop", "level"))).over(everywhere))
+        .withColumn("number", F.row_number().over(by_stop))
+        .withColumn("level", F.min(F.when(F.col("level") <= F.col("stop"), F.struct("number", "level"))).over(everywhere))
         .select("source", "source_size",
                 F.least(F.col("cap"), F.col("weight") * F.col("level.level")).alias("target"))
     )
@@ -125,6 +126,57 @@ def order_cuts(drawn: DataFrame) -> DataFrame:
     )
 
 
+def _place(doc_id: Column, liked: Column, seed: int) -> Column:
+    """Place in the order: random odds divided by inclusion odds, from 0 to 1, as a whole number."""
+    draw = _draw(doc_id, seed)
+    odds = F.col("chance") / (F.lit(1.0) - F.col("chance")) * liked
+    rank = F.when(F.col("chance") > 0, draw / (F.lit(1.0) - draw) / odds).otherwise(F.lit(0.0))
+    return F.floor(rank / (F.lit(1.0) + rank) * F.lit(float(1 << _PLACE_BITS))).cast("long")
+
+
+def _liked(preference: str | None) -> Column:
+    if preference is None:
+        return F.lit(1.0)
+    value = F.col(preference).cast("double")
+    return F.when(value > 0, value).otherwise(F.lit(1.0))
+
+
+def mixing_plan(
+    sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED
+) -> DataFrame:
+    """One row per source: what is certain, the chance of one more copy, and where the sample ends.
+
+    ``sizes``: stored rows of (doc_id, source, size, liked). Columns: source, source_size, target,
+    certain, chance, need, cut.
+    """
+    targets = stored(
+        source_targets(sizes, weights, share, most)
+        .withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
+        .withColumn("certain", F.floor("rate"))
+        .withColumn("chance", F.col("rate") - F.col("certain"))
+        .withColumn("need", F.when(F.col("chance") > 0, F.col("target") - F.col("certain") * F.col("source_size"))
+                    .otherwise(F.lit(0.0))).drop("rate"), "mix-targets"
+    )
+    drawn = lookup_join(sizes, targets, ["source"], "left", null_safe=True).withColumn(
+        "place", _place(F.col("doc_id"), F.col("liked"), seed)
+    )
+    cuts = stored(order_cuts(stored(drawn.select("source", "need", "size", "place"), "mix-drawn")), "mix-cuts")
+    # Both sides have one row per source.
+    return targets.alias("t").join(cuts.alias("c"), F.col("t.source").eqNullSafe(F.col("c.source")), "left").select("t.*", "c.cut")
+
+
+def _copies(place: Column) -> Column:
+    extra = F.when(F.col("need") > 0, (place <= F.col("cut")).cast("int"))
+    return (F.col("certain") + F.coalesce(extra, F.lit(0))).cast("int")
+
+
+def _sizes(docs: DataFrame, doc_id: str, text: str, source: str, preference: str | None) -> DataFrame:
+    return stored(docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
+        _liked(preference).alias("liked"),
+    ), "mix-sizes")
+
+
 def mixed(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED,
@@ -142,46 +194,33 @@ def mixed(
     Draws depend on the id and the seed, so reruns agree; rows that repeat an id are included
     together. An empty table gives no rows. Sizes are in words.
     """
-    liked = F.col(preference).cast("double") if preference else F.lit(1.0)
-    liked = F.when(liked > 0, liked).otherwise(F.lit(1.0))
-    sizes = stored(
-        docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-                    word_count(F.col(text)).alias("size"), liked.alias("liked")), "mix-sizes"
-    )
-    targets = (
-        source_targets(sizes, weights, share, most)
-        .withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
-        .withColumn("certain", F.floor("rate"))
-        .withColumn("chance", F.col("rate") - F.col("certain"))
-        .withColumn("need", F.when(F.col("chance") > 0, F.col("target") - F.col("certain") * F.col("source_size"))
-                    .otherwise(F.lit(0.0)))
-    )
-    draw = _draw(F.col("doc_id"), seed)
-    odds = F.col("chance") / (F.lit(1.0) - F.col("chance")) * F.col("liked")
-    rank = F.when(F.col("chance") > 0, draw / (F.lit(1.0) - draw) / odds).otherwise(F.lit(0.0))
-    drawn = stored(
-        lookup_join(sizes, stored(targets, "mix-targets"), ["source"], "left", null_safe=True)
-        .withColumn("rank", rank)
-        .withColumn("place", F.floor(F.col("rank") / (F.lit(1.0) + F.col("rank")) * F.lit(float(1 << _PLACE_BITS))).cast("long"))
-        .drop("rank", "rate", "chance", "liked"), "mix-drawn"
-    )
-    cuts = stored(order_cuts(drawn), "mix-cuts")
-    extra = F.when(F.col("need") > 0, (F.col("place") <= F.col("cut")).cast("int"))
-    copies = (F.col("certain") + F.coalesce(extra, F.lit(0))).cast("int")
-    return (
-        lookup_join(drawn, cuts, ["source"], "left", null_safe=True)
-        .withColumn("copies", copies)
-        .select("doc_id", "source", "size", "source_size", "target", "copies",
-                (F.col("copies") * F.col("size")).cast("long").alias("taken"))
-    )
+    sizes = _sizes(docs, doc_id, text, source, preference)
+    plan = stored(mixing_plan(sizes, weights, share, most, seed), "mix-plan")
+    return lookup_join(sizes, plan, ["source"], "left", null_safe=True).withColumn(
+        "copies", _copies(_place(F.col("doc_id"), F.col("liked"), seed))
+    ).select("doc_id", "source", "size", "source_size", "target", "copies",
+             (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
-def repeated(docs: DataFrame, copies: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Rows of ``docs``, each as often as ``copies`` (doc_id, copies; one row per id) says.
+def mixture(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+    weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED,
+    preference: str | None = None,
+) -> DataFrame:
+    """Rows of ``docs``, each as often as ``mixed`` says; the columns stay as they are.
 
-    Ids that are not in ``copies``, or have 0 copies there, are left out; a null id is an id.
+    What a row gets depends on the row and on the plan of its source, so whole documents are
+    not joined with documents: only the plan, one row per source, is. Sources without words get
+    no target, so their documents are left out.
     """
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    how_many = copies.select(F.col("doc_id").alias("mix_id"), F.col("copies").alias("mix_copies")).where("copies > 0")
-    met = whole.join(how_many, F.col(f"row.{doc_id}").eqNullSafe(F.col("mix_id")))
-    return met.select("row", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("copy")).select("row.*")
+    sizes = _sizes(docs, doc_id, text, source, preference)
+    plan = stored(mixing_plan(sizes, weights, share, most, seed), "mix-plan")
+    whole = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("mix_row"), F.col(source).alias("source"), _liked(preference).alias("liked")
+    )
+    copies = _copies(_place(F.col(f"mix_row.{doc_id}"), F.col("liked"), seed))
+    return (
+        lookup_join(whole, plan, ["source"], "inner", null_safe=True)
+        .withColumn("mix_copies", copies).where("mix_copies > 0")
+        .select("mix_row", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("mix_copy")).select("mix_row.*")
+    )

@@ -22,13 +22,13 @@ sources as (
 ),
 caps as (select *, 2.0::double * source_size as cap, 2.0::double * source_size / weight as stop from sources),
 levels as (
-  select *, (1.5::double * sum(source_size) over ()
+  select *, row_number() over (order by stop, source nulls last) as number, (1.5::double * sum(source_size) over ()
       - coalesce(sum(cap) over (order by stop, source nulls last rows between unbounded preceding and 1 preceding), 0))
     / sum(weight) over (order by stop, source nulls last rows between current row and unbounded following) as level
   from caps
 ),
 targets as (
-  select source, source_size, least(cap, weight * (select arg_min(level, stop) from levels where level <= stop)) as target from levels
+  select source, source_size, least(cap, weight * (select arg_min(level, number) from levels where level <= stop)) as target from levels
 ),
 rates as (
   select *, floor(rate) as certain, rate - floor(rate) as chance from (

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Collected
 from ..session import scratch_path
-from . import langid, secret_scan as ss, tokens
+from . import langid, preferences as pf, secret_scan as ss, tokens
 from .common import fold, table
 
 _QUERIES = Collected()
@@ -23,6 +23,49 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digests(spark, path)
 
 
+def _completion_sql(side: str) -> str:
+    return f"""
+  select pair_id, string_agg(rendered, '' order by turn, role, text) as body,
+    string_agg((start + head) || ':' || (start + length(rendered) - 1), ',' order by turn, role, text)
+      filter (role = '{pf.TRAINED_ROLE}') as mask
+  from (select *, coalesce(sum(length(rendered)) over (partition by pair_id order by turn, role, text
+          rows between unbounded preceding and 1 preceding), 0)::bigint as start
+        from turns where {side} and not common)
+  group by pair_id"""
+
+
+_PREFERENCE_SQL = f"""
+with distinct_turns as (
+  select conv_id // 2 as pair_id, coalesce(turn, -9223372036854775808) as turn, coalesce(role, '') as role,
+    coalesce(text, '') as text, bool_or(conv_id % 2 = 0) as good, bool_or(conv_id % 2 <> 0) as bad
+  from conversations group by all
+),
+ends as (select pair_id, min(turn) filter (not (good and bad)) as first from distinct_turns group by pair_id),
+turns as (
+  select d.*, (first is null or turn < first) as common,
+    '{pf.OPEN}' || role || '{pf.CLOSE}' || chr(10) || replace(text, '{pf.OPEN}', '< |') || '{pf.END}' || chr(10) as rendered,
+    length('{pf.OPEN}' || role || '{pf.CLOSE}') + 1 as head
+  from distinct_turns d join ends using (pair_id)
+),
+chosen as ({_completion_sql('good')}),
+rejected as ({_completion_sql('bad')}),
+prompts as (select pair_id, count(*) as n, string_agg(rendered, '' order by turn, role, text) as prompt from turns where common group by pair_id)
+select pair_id, coalesce(p.n, 0)::int as n_common, coalesce(p.prompt, '') as prompt, coalesce(c.body, '') as chosen,
+  coalesce(r.body, '') as rejected, coalesce(c.mask, '') as chosen_mask, coalesce(r.mask, '') as rejected_mask
+from ends left join prompts p using (pair_id) left join chosen c using (pair_id) left join rejected r using (pair_id)
+"""
+
+
+@_QUERIES.add(_PREFERENCE_SQL)
+def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k (preferred) and 2k + 1 (not) are a pair."""
+    turns = table(spark, sf_dir, "conversations").select(
+        F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.col("conv_id") % 2 == 0).alias("chosen"), "turn", "role", "text"
+    )
+    found = pf.preference_records(turns)
+    return found.withColumns({c: pf.mask_text(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
+
+
 def _spans_sql(pattern: str, kind: str, number: int, keep: str = "true", group: int = 0) -> str:
     """Spans of one pattern: lengths between and inside the matches, summed up to each match."""
     return f"""

@@ -176,6 +176,7 @@ def with_secrets(
     allowed: Sequence[str] = ALLOWED, window: int = WINDOW,
 ) -> DataFrame:
     """``docs`` with ``name``: an array of (start, number, end, kind), ordered by start and kind.
+    A column of that name is replaced.
 
     Base kinds are pattern matches, leftmost and non-overlapping per kind. Further spans come
     from candidate strings (maximal runs of the widest class, ``window`` characters or more, that

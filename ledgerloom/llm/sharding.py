@@ -36,7 +36,7 @@ def _histogram(rows: DataFrame, probes: np.ndarray) -> tuple[np.ndarray, np.ndar
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, number = np.zeros(len(probes) + 1, np.int64), np.zeros(len(probes) + 1, np.int64)
         for batch in batches:
-            gap = np.searchsorted(probes, batch.column(0).to_numpy(), side="right")
+            gap = np.searchsorted(probes, batch.column(0).to_numpy(), side="left")
             np.add.at(size, gap, batch.column(1).to_numpy())
             number += np.bincount(gap, minlength=len(probes) + 1)
         hit = np.flatnonzero(number)

@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.joins import lookup_join
 from .common import lowered_words, stored
 from .components import components
 
@@ -153,6 +154,21 @@ def fingerprint_links(prints: DataFrame, distance: int = MAX_DISTANCE, piece: in
     return cells.select("members").mapInArrow(_linker(distance), "a long, b long")
 
 
+def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, distance: int) -> DataFrame:
+    """(doc_id, row_key, fp, root, component_id), one row per row of ``docs``."""
+    marked = stored(docs.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("row_key"),
+        with_fingerprints(docs, text, words).alias("fp"),
+    ), "simhash")
+    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    roots = components(fingerprint_links(distinct.select("fp"), distance))
+    named = distinct.join(roots, distinct.fp == roots.node, "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.join(named.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
     distance: int = MAX_DISTANCE,
@@ -165,14 +181,30 @@ def near_duplicates(
     are returned as often as they occur. A null id never becomes a component's name unless
     all its members have none; then the name is null. An empty table gives no rows.
     """
-    marked = stored(
-        docs.select(F.col(doc_id).alias("doc_id"), with_fingerprints(docs, text, words).alias("fp")), "simhash"
-    )
-    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = components(fingerprint_links(distinct.select("fp"), distance))
-    named = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+    return _grouped(docs, doc_id, text, words, distance).select("doc_id", "fp", "component_id")
+
+
+def one_of_each_group(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
+    distance: int = MAX_DISTANCE,
+) -> DataFrame:
+    """Rows of ``docs`` without their near duplicates: of each component the row with the least id stays.
+
+    A null id stays only where its component has no other. Rows that repeat both id and text
+    are near duplicates of each other too, so one of them stays.
+    """
+    found = stored(_grouped(docs, doc_id, text, words, distance).select("doc_id", "row_key", "root"), "simhash-groups")
+    first = found.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key"))).alias("best")
+    ).select("root", F.col("best.row_key").alias("kept"))
+    gone = found.join(first, "root").where("row_key <> kept").select("row_key").distinct()
+    again = found.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row_key")
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.xxhash64(F.col(doc_id), F.col(text)).alias("row_key")
     )
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = named.join(least, "root").select("fp", "component_id")
-    return marked.join(names, "fp").select("doc_id", "fp", "component_id")
+    left = lookup_join(rows, stored(gone, "simhash-gone"), ["row_key"], "left_anti")
+    again = stored(again, "simhash-again")
+    # Only rows that repeat are moved to drop their repeats.
+    once = lookup_join(left, again, ["row_key"], "left_anti")
+    repeats = lookup_join(left, again, ["row_key"], "left_semi").dropDuplicates(["row_key"])
+    return once.union(repeats).select("doc.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -26,31 +27,89 @@ REMEMBERED_WORDS = 300_000
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"
 
 
-class WordEncoder:
-    """Ids of whole texts, encoding each distinct word once.
+#: The normalizer and pre-tokenizer under which a text's ids are its words' ids.
+WORD_WISE = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
 
-    For tokenizers that never join characters across ASCII white space and drop it, such as
-    ``word_bpe_49k.json``: there a text's ids are its words' ids, one after the other.
+_CLOSING = b".,;:!?"
+#: Letters below this are their own NFC form and have one lower-case form in any Unicode version.
+_PLAIN = "\u0250"
+
+
+def _byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones
+    themselves, the others 256, 257, ... in order."""
+    kept = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: b if b in kept else next(others) for b in range(256)}
+
+
+class TextEncoder:
+    """Ids of whole texts as little-endian unsigned 32-bit numbers.
+
+    A tokenizer with the settings of ``WORD_WISE`` drops white space and never joins characters
+    across it, so each distinct word is encoded once and a text is put together from its words.
+    A plain word, letters with closing punctuation after them, is two pre-tokens whose normal form
+    is known; it goes straight to the tokenizer's model. Other tokenizers get the whole text.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already use every core
         from tokenizers import Tokenizer
 
-        self._encode = Tokenizer.from_file(path).encode_batch_fast
+        self._tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        self._by_word = all(settings[k] == v for k, v in WORD_WISE.items())
+        self._split = self._tokenizer.model.tokenize
+        self._letters = _byte_letters()
         self._known: dict[bytes, bytes] = {}
+        self._stems: dict[str, bytes] = {}
         self._remembered = remembered
 
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, "<u4").tobytes() for f in found]
+
+    def _learn(self, words: list[bytes]) -> None:
+        known, stems, other = self._known, self._stems, []
+        for word in words:
+            stem = word.rstrip(_CLOSING)
+            letters = stem.decode()
+            if not letters or max(letters) >= _PLAIN or not (letters := letters.lower()).isalpha():
+                other.append(word)
+                continue
+            ids = stems.get(letters)
+            if ids is None:
+                spelt = letters.encode().decode("latin-1").translate(self._letters)
+                ids = stems[letters] = np.array([t.id for t in self._split(spelt)], "<u4").tobytes()
+            if len(stem) < len(word):
+                tail = word[len(stem):]
+                if tail not in known:
+                    known[tail] = self._whole([tail.decode()])[0]
+                ids += known[tail]
+            known[word] = ids
+        known.update(zip(other, self._whole([w.decode() for w in other])))
+
     def encode(self, text: bytes) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
+        if not self._by_word:
+            return self._whole([text.decode()])[0]
         known, parts = self._known, []
         for words in words_in_blocks(text):
             if len(known) > self._remembered:
                 known.clear()
-            new = list(set(words).difference(known))
+                self._stems.clear()
+            new = set(words).difference(known)
             if new:
-                for word, found in zip(new, self._encode([w.decode() for w in new], add_special_tokens=False)):
-                    known[word] = np.array(found.ids, "<u4").tobytes()
+                self._learn(list(new))
             parts.extend(map(known.__getitem__, words))
         return b"".join(parts)
 
@@ -59,7 +118,7 @@ def _encoder(path: str, end_id: int, remembered: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start = WordEncoder(path, remembered), 0
+        encoder, start = TextEncoder(path, remembered), 0
         part = TaskContext.get().partitionId()
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())

@@ -1,0 +1,75 @@
+"""Registered queries against their SQL, and the pipeline stage by stage."""
+
+import duckdb
+import pytest
+from conftest import SF
+from parity import bag
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from corpus import awkward, none
+from ledgerloom.llm import decontam, langid, mixing, simhash
+from ledgerloom.llm.catalog import QUERIES
+from ledgerloom.llm.common import table
+
+TABLES = "documents embeddings pages benchmark labels conversations".split()
+
+
+def test_registered():
+    names = [q.name for q in QUERIES]
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert {*names, "pipeline"} <= set(driver.queries())
+
+
+@pytest.mark.parametrize("name", [q.name for q in QUERIES if q.sql])
+@pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.01"])
+def test_query_agrees_with_sql(spark, name, folder):
+    duck = duckdb.connect()
+    for t in TABLES:
+        duck.execute(f"create view {t} as select * from '{folder}/{t}.parquet'")
+    query = next(q for q in QUERIES if q.name == name)
+    frame = query.run(spark, folder)
+    theirs = duck.execute(query.sql)
+    columns = [c[0] for c in theirs.description]
+    assert sorted(columns) == sorted(frame.columns)
+    assert bag(frame.columns, [tuple(r) for r in frame.collect()]) == bag(columns, theirs.fetchall())
+
+
+def test_stages(spark):
+    docs = table(spark, SF, "documents")
+    kept, names = docs, [n for n, _ in corpus_pipeline.STAGES]
+    for name, stage in corpus_pipeline.STAGES:
+        before = {r.doc_id: r.text for r in kept.collect()}
+        after = corpus_pipeline.stored(stage(spark, kept, SF), "stage")
+        rows = after.collect()
+        assert {(r.doc_id, r.text) for r in rows} <= set(before.items())
+        left = {r.doc_id for r in rows}
+        if name != names[-1]:
+            assert after.columns == docs.columns
+        if name == "language ID":
+            assert len(left) >= 0.99 * len(before)
+        if name == "SimHash near-dedup":
+            groups = simhash.near_duplicates(kept).collect()
+            assert left == {r.component_id for r in groups} and len(rows) == len(left) < len(before)
+        if name == "benchmark decontamination":
+            hits = decontam.benchmark_hits(kept, table(spark, SF, "benchmark")).collect()
+            assert left == set(before) - {r.doc_id for r in hits} and hits
+        if name == "mixing sources":
+            copies = {r.doc_id: r.copies for r in mixing.mixed(kept).collect()}
+            assert sorted(r.doc_id for r in rows) == sorted(i for i, n in copies.items() for _ in range(n))
+        if name == "sharding":
+            assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in kept.collect())
+            assert {r.shard for r in rows} <= set(range(24))
+        kept = after
+    final = sorted((r.doc_id, r.shard, r.slot) for r in corpus_pipeline.run(spark, SF).collect())
+    assert final == sorted((r.doc_id, r.shard, r.slot) for r in rows)
+
+
+def test_stages_with_awkward_rows(spark):
+    for docs in (awkward(spark), none(spark)):
+        kept = docs
+        for name, stage in corpus_pipeline.STAGES:
+            kept = corpus_pipeline.stored(stage(spark, kept, SF), "stage")
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert kept.columns == docs.columns
+    assert corpus_pipeline.STAGES[1][1](spark, awkward(spark), SF).count() == 9
