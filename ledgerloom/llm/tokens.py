@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +46,14 @@ _CLOSING = b".,;:!?"
 _PLAIN = "\u0250"
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 def _byte_letters() -> dict[int, int]:
     """The character that stands for each byte in byte-level vocabularies: printable ones
     themselves, the others 256, 257, ... in order."""
@@ -71,49 +81,50 @@ class TextEncoder:
         self._by_word = all(settings[k] == v for k, v in WORD_WISE.items())
         self._split = self._tokenizer.model.tokenize
         self._letters = _byte_letters()
-        self._known: dict[bytes, bytes] = {}
+        self._known = _Remembered(self._word)
         self._stems: dict[str, bytes] = {}
         self._remembered = remembered
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
-
-    def _learn(self, words: list[bytes]) -> None:
-        known, stems, other = self._known, self._stems, []
-        for word in words:
-            stem = word.rstrip(_CLOSING)
-            letters = stem.decode()
-            if not letters or max(letters) >= _PLAIN or not (letters := letters.lower()).isalpha():
-                other.append(word)
-                continue
-            ids = stems.get(letters)
-            if ids is None:
-                spelt = letters.encode().decode("latin-1").translate(self._letters)
-                ids = stems[letters] = np.array([t.id for t in self._split(spelt)], "<u4").tobytes()
-            if len(stem) < len(word):
-                tail = word[len(stem):]
-                if tail not in known:
-                    known[tail] = self._whole([tail.decode()])[0]
-                ids += known[tail]
-            known[word] = ids
-        known.update(zip(other, self._whole([w.decode() for w in other])))
+    def _whole(self, text: str) -> bytes:
+        found = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return _packed(found[0].ids)
+
+    def _word(self, word: bytes) -> bytes:
+        stem = word.rstrip(_CLOSING)
+        plain = stem.isascii()
+        letters = stem.decode()
+        if not letters or not (plain or max(letters) < _PLAIN) or not (letters := letters.lower()).isalpha():
+            return self._whole(word.decode())
+        ids = self._stems.get(letters)
+        if ids is None:
+            # ASCII letters stand for themselves.
+            spelt = letters if plain else letters.encode().decode("latin-1").translate(self._letters)
+            ids = self._stems[letters] = _packed([t.id for t in self._split(spelt)])
+        return ids + self._known[word[len(stem):]] if len(stem) < len(word) else ids
 
     def encode(self, text: bytes) -> bytes:
         if not self._by_word:
-            return self._whole([text.decode()])[0]
+            return self._whole(text.decode())
         known, parts = self._known, []
         for words in words_in_blocks(text):
             if len(known) > self._remembered:
                 known.clear()
                 self._stems.clear()
-            new = set(words).difference(known)
-            if new:
-                self._learn(list(new))
             parts.extend(map(known.__getitem__, words))
         return b"".join(parts)
 
 
+class _Remembered(dict):
+    """Words with their ids; a word that is missing is looked up once."""
+
+    def __init__(self, look_up) -> None:
+        self._look_up = look_up
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self._look_up(word)
+        return ids
+
+
 def _encoder(path: str, end_id: int, remembered: int):
     end = np.array([end_id], "<u4").tobytes()
 
