@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 import zlib
 from collections.abc import Iterator, Sequence
@@ -23,7 +24,7 @@ CLASS_ROUNDS = 3
 #: the last few bytes as context; they count each word once and serve words of any kind. The
 #: others have all bytes of the token; they count the most frequent words only, as many as
 #: their tables hold without too many collisions.
-TABLE_BITS = (18, 19, 20, 21, 21)
+TABLE_BITS = (17, 18, 20, 20, 20)
 PREDICTORS = len(TABLE_BITS)
 SHORT = 3
 SLOTS_PER_WORD = 32
@@ -33,7 +34,7 @@ SLOTS_PER_WORD = 32
 GATES = 16 * 4 * 4
 
 #: Words with their counts that every task holds; rarer words are looked up by a join.
-HEAD_WORDS = 1 << 20
+HEAD_WORDS = 1 << 19
 
 #: Words a task keeps numbered before it starts anew.
 REMEMBERED_WORDS = 200_000
@@ -50,6 +51,9 @@ _LESSON, _CHUNK = 1024, 4096
 
 #: Occurrences of one word that are learned from at once.
 _LOT = 64
+
+#: Lessons between two looks at the curvature.
+_CURVES = 4
 _SLICE = 1 << 16
 _STARTS_AT = np.concatenate([[0], np.cumsum([1 << b for b in TABLE_BITS])]).astype(np.uint32)
 _SLOTS = int(_STARTS_AT[-1])
@@ -187,19 +191,64 @@ def _hash(value: np.ndarray, salt: int) -> np.ndarray:
     return mixed * np.uint32(0xC2B2AE35)
 
 
+@dataclass(frozen=True)
+class ByteCode:
+    """Binary decisions that spell a byte: the node passed and the bit taken at each, by byte."""
+
+    nodes: np.ndarray
+    bits: np.ndarray
+    lengths: np.ndarray
+
+
+def byte_code(counts: np.ndarray) -> ByteCode:
+    """Code of least average length for bytes that occur ``counts`` times; every byte has one.
+
+    Half as many decisions as with eight bits a byte, so half the work.
+    """
+    heap = [(int(c) + 1, b) for b, c in enumerate(counts)]
+    heapq.heapify(heap)
+    children: dict[int, tuple[int, int]] = {}
+    while len(heap) > 1:
+        (n, left), (m, right) = heapq.heappop(heap), heapq.heappop(heap)
+        children[256 + len(children)] = (left, right)
+        heapq.heappush(heap, (n + m, 255 + len(children)))
+    paths: dict[int, list[tuple[int, int]]] = {heap[0][1]: []}
+    for node in sorted(children, reverse=True):
+        for bit, child in enumerate(children[node]):
+            paths[child] = [*paths[node], (node - 256, bit)]
+    lengths = np.array([len(paths[b]) for b in range(256)])
+    nodes, bits = (np.zeros((256, lengths.max()), t) for t in (np.uint32, np.uint8))
+    for byte in range(256):
+        for at, (node, bit) in enumerate(paths[byte]):
+            nodes[byte, at], bits[byte, at] = node, bit
+    return ByteCode(nodes, bits, lengths)
+
+
+def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(256, np.int64)
+    for batch in batches:
+        words = batch.column(0).cast(pa.binary()).to_pylist()
+        counts += np.bincount(np.frombuffer(b" ".join(words) + b" ", np.uint8), minlength=256)
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(counts)], ["byte", "n"])
+
+
 @dataclass
 class Spelling:
-    """All bits of some tokens: table slots (predictor, byte, bit), bits (byte, bit), nodes, first byte of each token."""
+    """All decisions of some tokens, one after the other.
+
+    ``slots`` (predictor, decision) are places in the tables; ``bits`` and ``nodes`` are what was
+    decided where; ``owner`` is the number of the token and ``first`` each token's first decision.
+    """
 
     slots: np.ndarray
     bits: np.ndarray
     nodes: np.ndarray
+    owner: np.ndarray
     first: np.ndarray
-    lengths: np.ndarray
 
 
-def spell(words: Sequence[bytes], classes: np.ndarray) -> Spelling:
-    """Bits of words and their closing space, with the slots their contexts hash to.
+def spell(words: Sequence[bytes], classes: np.ndarray, code: ByteCode) -> Spelling:
+    """Decisions for words and their closing space, with the slots their contexts hash to.
 
     The five contexts of a byte lie inside its token: two, three and four bytes before it, each
     with the kind of text, all bytes before it, and these with the kind of text.
@@ -218,7 +267,7 @@ def spell(words: Sequence[bytes], classes: np.ndarray) -> Spelling:
         return moved
 
     one, two, three, four = (before(d) for d in (1, 2, 3, 4))
-    kind = classes.astype(np.uint32)[owner]
+    kind = np.asarray(classes).astype(np.uint32)[owner]
     couple = one | two << np.uint32(8)
     triple = couple | three << np.uint32(16)
     powers = np.cumprod(np.full(int(lengths.max()), 0x01000193, np.uint32), dtype=np.uint32)
@@ -230,15 +279,18 @@ def spell(words: Sequence[bytes], classes: np.ndarray) -> Spelling:
         _hash((triple | four << np.uint32(24)) * np.uint32(CLASSES + 1) + kind, 3),
         _hash(prefix, 4), _hash(prefix * np.uint32(CLASSES + 1) + kind, 5),
     )
-    steps = np.arange(8, dtype=np.uint32)
-    nodes = (byte | np.uint32(256))[:, None] >> (np.uint32(8) - steps)
-    bits = (byte[:, None] >> (np.uint32(7) - steps)) & np.uint32(1)
+    decisions = code.lengths[data]
+    start = np.cumsum(decisions) - decisions
+    place = np.repeat(np.arange(len(data)), decisions)
+    step = np.arange(len(place)) - start[place]
+    letter = data[place]
+    nodes, bits = code.nodes[letter, step], code.bits[letter, step]
     spread = nodes * np.uint32(0x9E3779B1)
     slots = np.stack([
-        (((context[:, None] ^ spread) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - size)) + start
-        for context, size, start in zip(contexts, TABLE_BITS, _STARTS_AT)
+        (((context[place] ^ spread) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - size)) + begin
+        for context, size, begin in zip(contexts, TABLE_BITS, _STARTS_AT)
     ])
-    return Spelling(slots, bits, nodes, first, lengths)
+    return Spelling(slots, bits, nodes, owner[place], start[first])
 
 
 def _words_of(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
@@ -255,25 +307,28 @@ def _chunks(size: int, *columns: Sequence):
         yield [c[at:at + size] for c in columns]
 
 
-def _fill_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bit counts of one partition, as slices of the tables: places and counts of what is not zero."""
-    tables = np.zeros(2 * _SLOTS, np.int64)
-    for batch in batches:
-        for words, classes, counts, frequent in _chunks(_CHUNK, *_words_of(batch)):
-            spelt = spell(words, classes)
-            places = spelt.slots * np.uint32(2) + spelt.bits
-            np.add.at(tables, places[:SHORT].ravel(), 1)
-            own = np.repeat(frequent, spelt.lengths)
-            weight = np.repeat(np.repeat(counts, spelt.lengths)[own], 8)
-            for predictor in range(SHORT, PREDICTORS):
-                np.add.at(tables, places[predictor][own].ravel(), weight)
-    for number in range(0, len(tables), _SLICE):
-        part = tables[number:number + _SLICE]
-        hit = np.flatnonzero(part)
-        if len(hit):
-            yield pa.RecordBatch.from_arrays([
-                pa.array([number // _SLICE], pa.int32()), pa.array([zlib.compress(hit.astype("<u4").tobytes() + part[hit].tobytes(), 1)])
-            ], ["slice", "data"])
+def _table_filler(code: ByteCode):
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bit counts of one partition, as slices of the tables: places and counts of what is not zero."""
+        tables = np.zeros(2 * _SLOTS, np.int64)
+        for batch in batches:
+            for words, classes, counts, frequent in _chunks(_CHUNK, *_words_of(batch)):
+                spelt = spell(words, classes, code)
+                places = spelt.slots * np.uint32(2) + spelt.bits
+                np.add.at(tables, places[:SHORT].ravel(), 1)
+                own = np.flatnonzero(frequent[spelt.owner])
+                weight = counts[spelt.owner[own]]
+                for predictor in range(SHORT, PREDICTORS):
+                    np.add.at(tables, places[predictor][own], weight)
+        for number in range(0, len(tables), _SLICE):
+            part = tables[number:number + _SLICE]
+            hit = np.flatnonzero(part)
+            if len(hit):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([number // _SLICE], pa.int32()), pa.array([zlib.compress(hit.astype("<u4").tobytes() + part[hit].tobytes(), 1)])
+                ], ["slice", "data"])
+
+    return fill
 
 
 def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,13 +343,13 @@ def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)])], ["slice", "data"])
 
 
-def bit_tables(words: DataFrame) -> np.ndarray:
+def bit_tables(words: DataFrame, code: ByteCode) -> np.ndarray:
     """Counts of zeros and ones per slot, over all tokens of ``words``.
 
     Each partition adds up its own tables and sends slices; tasks add slices. The result has
     two numbers per slot at any size of the corpus.
     """
-    parts = words.mapInArrow(_fill_tables, "slice int, data binary").repartition("slice")
+    parts = words.mapInArrow(_table_filler(code), "slice int, data binary").repartition("slice")
     tables = np.zeros((-(-2 * _SLOTS // _SLICE), _SLICE), np.float32)
     for row in parts.mapInArrow(_add_slices, "slice int, data binary").toLocalIterator():
         tables[row["slice"]] = np.frombuffer(zlib.decompress(row["data"]), "<i8")
@@ -303,56 +358,61 @@ def bit_tables(words: DataFrame) -> np.ndarray:
 
 def _stretch(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of a one, and the power of two up to which the context was seen."""
-    odds = np.log((ones + 0.4) / (zeros + 0.4)).astype(np.float32)
-    seen = np.minimum(np.log2(zeros + ones + 1.0), 15).astype(np.uint8)
+    odds, seen = np.zeros(len(ones), np.float16), np.zeros(len(ones), np.uint8)
+    for at in range(0, len(ones), _SLICE):  # in slices, for small temporary arrays
+        z, o = zeros[at:at + _SLICE], ones[at:at + _SLICE]
+        odds[at:at + _SLICE] = np.log((np.maximum(o, 0) + 0.4) / (np.maximum(z, 0) + 0.4))
+        seen[at:at + _SLICE] = np.minimum(np.log2(np.maximum(z + o, 0) + 1.0), 15)
     return odds, seen
 
 
 def _weighted(weights: np.ndarray, odds: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Mixed log odds, and the gate of each bit."""
     gates = (seen[4].astype(np.int32) * 4 + np.minimum(seen[3] >> 1, 3)) * 4 + np.minimum(seen[2] >> 1, 3)
-    return np.clip(sum(weights[i][gates] * o for i, o in enumerate(odds)), -_SUREST, _SUREST), gates
+    mixed = sum(weights[i][gates] * o.astype(np.float32) for i, o in enumerate(odds))
+    return np.clip(mixed, -_SUREST, _SUREST), gates
 
 
 def _refined_place(nodes: np.ndarray, z: np.ndarray) -> np.ndarray:
-    return nodes.astype(np.int64) * _REFINED + np.rint((np.clip(z, -8, 8) + 8) * 2).astype(np.int64)
+    return nodes.astype(np.int32) * _REFINED + np.rint((np.clip(z, -8, 8) + 8) * 2).astype(np.int32)
 
 
 def start_weights() -> np.ndarray:
     return np.full((PREDICTORS, GATES), 0.3, np.float32)
 
 
-def _mixer(tables):
+def _mixer(sent, code: ByteCode):
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        odds, seen, odds_without, seen_without = tables.value
-        weights, total, chunk = start_weights(), 0.0, 0
-        weights, refined = weights.astype(np.float64), np.zeros((2, 256 * _REFINED))
+        odds, seen = sent.value
+        weights, total, lesson = start_weights().astype(np.float64), 0.0, 0
+        refined, curves = np.zeros((2, 256 * _REFINED)), None
         for batch in batches:
             lots = (batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_numpy(), batch.column(2).to_numpy(),
                     batch.column(3).to_numpy(zero_copy_only=False))
             for words, classes, counts, frequent in _chunks(_LESSON, *lots):
-                spelt = spell(words, classes)
-                weight = np.repeat(counts, spelt.lengths).astype(np.float64)[:, None]
+                spelt = spell(words, classes, code)
+                weight = counts[spelt.owner].astype(np.float64)
                 # A token must not vouch for itself: where it was counted, one such bit is taken out.
                 places = spelt.slots * np.uint32(2) + spelt.bits
-                inputs, often = odds_without[places], seen_without[places]
-                other = ~np.repeat(frequent, spelt.lengths)
-                rare = spelt.slots[SHORT:, other]
-                inputs[SHORT:, other], often[SHORT:, other] = odds[rare], seen[rare]
-                z, gates = _weighted(weights, inputs, often)
+                other = ~frequent[spelt.owner]
+                for predictor in range(SHORT, PREDICTORS):
+                    places[predictor] = np.where(other, spelt.slots[predictor] + np.uint32(2 * _SLOTS), places[predictor])
+                inputs = odds[places].astype(np.float32)
+                z, gates = _weighted(weights, inputs, seen[places])
                 mixed = 1 / (1 + np.exp(-z))
-                error, spread = (spelt.bits - mixed) * weight, mixed * (1 - mixed) * weight
-                gates, rate = gates.ravel(), _RATE / (1 + chunk / _COOLING)
-                for own, value in zip(weights, inputs):
-                    slope = np.bincount(gates, (error * value).ravel(), GATES)
-                    curve = np.bincount(gates, (spread * value * value).ravel(), GATES) + _CAUTION
-                    own += np.clip(rate * slope / curve, -_STRIDE, _STRIDE)
-                chunk += 1
-                bins = _refined_place(spelt.nodes, z).ravel()
-                mass = np.broadcast_to(weight, z.shape).ravel()
-                refined[0] += np.bincount(bins, mass, refined.shape[1])
-                refined[1] += np.bincount(bins, mass * spelt.bits.ravel(), refined.shape[1])
-                total += float(weight.sum())
+                error = (spelt.bits - mixed) * weight
+                if curves is None or lesson % _CURVES == 0:
+                    spread = mixed * (1 - mixed) * weight
+                    fresh = np.stack([np.bincount(gates, spread * value * value, GATES) for value in inputs])
+                    curves = fresh if curves is None else 0.5 * curves + 0.5 * fresh
+                rate = _RATE / (1 + lesson / _COOLING)
+                for own, value, curve in zip(weights, inputs, curves):
+                    own += np.clip(rate * np.bincount(gates, error * value, GATES) / (curve + _CAUTION), -_STRIDE, _STRIDE)
+                bins = _refined_place(spelt.nodes, z)
+                refined[0] += np.bincount(bins, weight, refined.shape[1])
+                refined[1] += np.bincount(bins, weight * spelt.bits, refined.shape[1])
+                total += float(counts.sum())
+                lesson += 1
         if total:
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(weights.size + refined.shape[1])),
@@ -365,21 +425,24 @@ def _mixer(tables):
 
 @dataclass(frozen=True)
 class MixingModel:
+    code: ByteCode
     odds: np.ndarray
     seen: np.ndarray
     weights: np.ndarray
     refined: np.ndarray
 
+    def chances(self, spelt: Spelling) -> np.ndarray:
+        """Probability of each decision that was taken."""
+        z, _ = _weighted(self.weights, self.odds[spelt.slots], self.seen[spelt.slots])
+        one = 0.5 / (1 + np.exp(-z)) + 0.5 * self.refined[_refined_place(spelt.nodes, z)]
+        return np.clip(np.where(spelt.bits == 1, one, 1 - one), 1e-6, 1)
+
     def costs(self, words: Sequence[bytes], classes: np.ndarray) -> np.ndarray:
         """log10 of the probability of each token after its class."""
         out = np.zeros(len(words))
         for at in range(0, len(words), _CHUNK):
-            spelt = spell(words[at:at + _CHUNK], classes[at:at + _CHUNK])
-            z, _ = _weighted(self.weights, self.odds[spelt.slots], self.seen[spelt.slots])
-            mixed = 1 / (1 + np.exp(-z))
-            chance = 0.5 * mixed + 0.5 * self.refined[_refined_place(spelt.nodes, z)]
-            chance = np.clip(np.where(spelt.bits == 1, chance, 1 - chance), 1e-6, 1)
-            out[at:at + _CHUNK] = np.add.reduceat(np.log10(chance).sum(1), spelt.first)
+            spelt = spell(words[at:at + _CHUNK], classes[at:at + _CHUNK], self.code)
+            out[at:at + _CHUNK] = np.add.reduceat(np.log10(self.chances(spelt)), spelt.first)
         return out
 
 
@@ -395,12 +458,24 @@ def fit(words: DataFrame) -> MixingModel:
     context = words.sparkSession.sparkContext
     total = sum((F.col(f"n{c}") for c in range(CLASSES)), F.lit(0))
     words = words.withColumn("frequent", total >= least_count(words.select(total.alias("n")), (1 << TABLE_BITS[-1]) // SLOTS_PER_WORD))
-    counts = bit_tables(words)
+    letters_ = words.select("word").mapInArrow(_count_bytes, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
+    seen_bytes = np.zeros(256, np.int64)
+    for row in letters_:
+        seen_bytes[row["byte"]] = row["n"]
+    code = byte_code(seen_bytes)
+    counts = bit_tables(words, code)
     zeros, ones = counts[:, 0], counts[:, 1]
     odds, seen = _stretch(zeros, ones)
-    without = [_stretch(np.maximum(zeros - 1, 0), ones), _stretch(zeros, np.maximum(ones - 1, 0))]
-    odds_without, seen_without = (np.stack([w[k] for w in without], -1).ravel() for k in (0, 1))
-    sent = context.broadcast((odds, seen, odds_without, seen_without))  # fixed size: 15 bytes a slot
+    # Per slot: without a zero, without a one; then all slots as they are. 9 bytes a slot.
+    all_odds, all_seen = np.zeros(3 * len(odds), np.float16), np.zeros(3 * len(odds), np.uint8)
+    all_odds[2 * len(odds):], all_seen[2 * len(odds):] = odds, seen
+    for bit in (0, 1):
+        counts[:, bit] -= 1
+        all_odds[bit:2 * len(odds):2], all_seen[bit:2 * len(odds):2] = _stretch(zeros, ones)
+        counts[:, bit] += 1
+    del counts, zeros, ones
+    sent = context.broadcast((all_odds, all_seen))
+    del all_odds, all_seen
     kinds = F.posexplode(F.array(*[F.col(f"n{c}") for c in range(CLASSES)])).alias("kind", "n")
     lots = (
         words.select("word", kinds, "frequent").where("n > 0")
@@ -409,19 +484,19 @@ def fit(words: DataFrame) -> MixingModel:
         .withColumn("order", F.xxhash64("word", "kind", "lot"))
         .repartition("order").sortWithinPartitions("order").select("word", "kind", "n", "frequent")
     )
-    learned = lots.mapInArrow(_mixer(sent), "cell long, value double, weight double").groupBy("cell").agg(
+    learned = lots.mapInArrow(_mixer(sent, code), "cell long, value double, weight double").groupBy("cell").agg(
         F.sum("value").alias("value"), F.sum("weight").alias("weight")
     ).collect()
-    sent.unpersist()
+    sent.destroy()
     size = GATES * PREDICTORS
     values, mass = np.zeros(size + 256 * _REFINED), np.zeros(size + 256 * _REFINED)
     for row in learned:
         values[row["cell"]], mass[row["cell"]] = row["value"], row["weight"]
     averaged = values[:size] / np.maximum(mass[:size], 1e-300)
     weights = np.where(mass[:size] > 0, averaged, start_weights().ravel()).astype(np.float32).reshape(PREDICTORS, GATES)
-    expected = np.tile(1 / (1 + np.exp(-(np.arange(_REFINED) / 2 - 8))), 256)
+    expected = np.tile(1 / (1 + np.exp(8 - np.arange(_REFINED) / 2)), 256)
     refined = (values[size:] + 8 * expected) / (mass[size:] + 8)
-    return MixingModel(odds, seen, weights, refined)
+    return MixingModel(code, odds, seen, weights, refined.astype(np.float32))
 
 
 def _word_hash(word: bytes) -> int:
@@ -431,8 +506,8 @@ def _word_hash(word: bytes) -> int:
 def _scorer(sent, centres: np.ndarray, complete: bool):
     """complete: the head has every training word, so other words were never seen."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, head, *parts = sent.value
-        model = MixingModel(*parts)
+        hashes, head, code, *parts = sent.value
+        model = MixingModel(ByteCode(*code), *parts)
         vocabulary, known = Vocabulary(), 0
         cost = np.zeros((0, CLASSES))
         logs, seen = np.zeros(0), np.zeros(0, np.int8)
@@ -506,7 +581,7 @@ def scored(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text: s
     Tokens are words with A-Z lower-cased, then one end. ``score`` is log10 of the probability of
     the kind of text, one of CLASSES, and of the tokens, each spelt in bits up to its closing
     space; ``bits_per_byte`` divides its bits by the bytes spelt. ``base_score`` comes from add-one counts of tokens.
-    A null or empty text is the end alone. With nothing to learn from, every bit costs one bit
+    A null or empty text is the end alone. With nothing to learn from, every decision costs one bit
     and the base score is 0. Rows that repeat are scored each. Long texts are read block by block.
 
     Counts of the ``head_words`` most frequent words travel to the tasks; the others are
@@ -517,7 +592,8 @@ def scored(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text: s
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words")).first()
     model = fit(words.select(*_TEXT))
     hashes, head, least = _head(words, head_words)
-    sent = docs.sparkSession.sparkContext.broadcast((hashes, head, model.odds, model.seen, model.weights, model.refined))
+    code = (model.code.nodes, model.code.bits, model.code.lengths)
+    sent = docs.sparkSession.sparkContext.broadcast((hashes, head, code, model.odds, model.seen, model.weights, model.refined))
     found = stored(
         docs.select(F.col(doc_id).alias("doc_id"), F.col(held_out).alias("held_out"), F.col(text).alias("text"))
         .mapInArrow(_scorer(sent, centres, complete=len(hashes) == total["words"]),
