@@ -50,13 +50,13 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
 def metadata_records(events: DataFrame) -> DataFrame:
     """One record per event in the layout of the metadata table.
 
-    The end of processing and the day follow from the upload time; fields the
-    events do not carry are null.
+    An end of processing that is not given follows from the upload time and the
+    duration, the day from the upload time; fields the events do not carry are null.
     """
-    took = F.make_dt_interval(secs=F.col("duration_ms") / 1000)
-    known = events.withColumns({
-        "processed_at": F.col("uploaded_at") + took, "dt": F.to_date("uploaded_at"),
-    })
+    ended = F.col("uploaded_at") + F.make_dt_interval(secs=F.col("duration_ms") / 1000)
+    if "processed_at" in events.columns:
+        ended = F.coalesce("processed_at", ended)
+    known = events.withColumns({"processed_at": ended, "dt": F.to_date("uploaded_at")})
     absent = {c: F.lit(None).cast(t) for c, t in METADATA_COLUMNS.items() if c not in known.columns}
     return known.withColumns(absent).select(*METADATA_COLUMNS)
 
@@ -85,9 +85,15 @@ def dedupe_images(events: DataFrame, tie_break: Sequence[str] = ("source",)) ->
     return keep_first(events, ["image_id"], ["uploaded_at", *tie_break])
 
 
+def status_rank() -> Column:
+    """Which status wins among events of the same time: a finished image stays finished."""
+    status = F.col("status")
+    return F.when(status == DONE, 3).when(status == ERROR, 2).when(status == PENDING, 1).otherwise(0)
+
+
 def status_rows(events: DataFrame, order: Sequence[str] = ("uploaded_at",)) -> DataFrame:
     """``latest_status`` with ``last_at``, the time of the last event."""
-    last = F.max(F.struct(*order, "status"))
+    last = F.max(F.struct(*order, status_rank().alias("rank"), "status"))
     return events.groupBy("image_id").agg(
         last.getField("status").alias("status"),
         F.count(F.lit(1)).alias("attempts"),
@@ -100,7 +106,7 @@ def status_rows(events: DataFrame, order: Sequence[str] = ("uploaded_at",)) -> D
 def latest_status(events: DataFrame, order: Sequence[str] = ("uploaded_at",)) -> DataFrame:
     """Status per image after its last event, its attempts, and when it expires.
 
-    One aggregation with map-side partials: an image with very many redeliveries
+    Events that ``order`` leaves equal are decided by ``status_rank``. One aggregation with map-side partials: an image with very many redeliveries
     is one row per task before the shuffle.
     """
     return status_rows(events, order).drop("last_at")

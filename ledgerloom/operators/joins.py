@@ -12,34 +12,45 @@ from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import settled
+
 #: A side is broadcast only when it was measured to be at most this large.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-#: A key is hot when it holds more than this share of the rows, so there can be
-#: at most 1 / HOT_SHARE hot keys: that bounds every list of hot keys.
+#: A key is hot when it holds more than this share of the rows, or more rows than one task
+#: should get, whichever is less. That bounds the list of hot keys by the rows of the table.
 HOT_SHARE = 0.001
+HOT_ROWS = 5_000_000
 
 #: Pieces a hot key is split into.
 SALTS = 64
 
+#: Equal rows of a hot key that stay together.
+_EQUAL_ROWS = 4096
+
 _ROW_OVERHEAD = 64
 _VARIABLE_WIDTH = ("string", "binary")
+_NESTED = ("array", "map", "struct")
 
 
 def measured_bytes(side: DataFrame) -> int:
     """Size of ``side`` from one distributed aggregate over its rows."""
     texts = [F.octet_length(F.col(n)) for n, t in side.dtypes if t in _VARIABLE_WIDTH]
+    # Arrays, maps and structs are as wide as what they hold.
+    texts += [F.octet_length(F.to_json(F.struct(F.col(n)))) for n, t in side.dtypes if t.startswith(_NESTED)]
     fixed = _ROW_OVERHEAD + 16 * len(side.columns)
     per_row = reduce(lambda a, b: a + b, [F.coalesce(t, F.lit(0)) for t in texts], F.lit(fixed))
     return side.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys (null included) holding more than ``share`` of the rows."""
+def hot_keys(
+    rows: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, most: int = HOT_ROWS
+) -> DataFrame:
+    """Keys (null included) holding more than ``share`` of the rows, or more than ``most`` rows."""
     total = rows.count()
     return (
         rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > F.lit(total * share))
+        .where(F.col("_n") > F.lit(min(total * share, float(most))))
         .select(*keys)
     )
 
@@ -76,8 +87,8 @@ def lookup_join(
 
     Null keys match each other only with ``null_safe``. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. A side measured
     below ``max_bytes`` is broadcast and ``rows`` does not move. Beyond that both
-    sides are shuffled, with the hot keys of ``rows`` spread over ``salts`` pieces
-    and only those keys repeated on the side; cold keys are joined as they are.
+    sides are shuffled: rows with cold keys are joined as they are, rows with hot keys are
+    spread over ``salts`` pieces and only those keys repeated on the side.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
@@ -85,15 +96,25 @@ def lookup_join(
     if measured_bytes(side) <= max_bytes:
         return _join(rows, side, keys, how, null_safe, broadcast=True)
 
-    hot = hot_keys(rows, keys, share)
-    # The salt depends on the row's own values, so a task that runs again after a
-    # lost executor sends each row to the same place.
-    piece = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int")
-    spread = _mark_hot(rows, hot, keys).withColumn(
-        "_salt", F.when(F.col("_hot"), piece).otherwise(F.lit(0))
-    ).drop("_hot")
-    repeated = _mark_hot(side, hot, keys).withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                           .otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
-    return _join(spread, repeated, [*keys, "_salt"], how, null_safe).drop("_salt")
+    hot = settled(hot_keys(rows, keys, share))
+    if hot.isEmpty():
+        return _join(rows, side, keys, how, null_safe)
+    marked = _mark_hot(rows, hot, keys)
+    cold = _join(marked.where("_hot is null").drop("_hot"), side, keys, how, null_safe)
+
+    # Equal rows travel as one row with a number, dealt out in lots; the piece of a lot depends
+    # on its values only, so a task that runs again sends it to the same place.
+    lots = (
+        marked.where("_hot").drop("_hot").groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / _EQUAL_ROWS))))
+        .withColumn("_n", F.least(F.lit(_EQUAL_ROWS).cast("long"), F.col("_n") - F.col("_lot") * _EQUAL_ROWS).cast("int"))
+        .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns], "_lot"), F.lit(salts)).cast("int"))
+        .drop("_lot")
+    )
+    repeated = (
+        _mark_hot(side, hot, keys).where("_hot").drop("_hot")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    )
+    spread = _join(lots, repeated, [*keys, "_salt"], how, null_safe)
+    again = spread.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    return cold.unionByName(again.select(*cold.columns))

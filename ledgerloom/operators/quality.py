@@ -136,6 +136,15 @@ def shared_applicants(accepted: DataFrame, rejected: DataFrame, keys: Sequence[s
     )
 
 
+def shared_within(validated: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``shared_applicants`` of the two halves of one frame, which is read once."""
+    return (
+        validated.groupBy(*keys)
+        .agg(F.count_if("is_successful").alias("accepted_rows"), F.count_if(~F.col("is_successful")).alias("rejected_rows"))
+        .where("accepted_rows > 0 AND rejected_rows > 0")
+    )
+
+
 def replay_difference(first: DataFrame, second: DataFrame) -> DataFrame:
     """Distinct rows that occur more often in one run than in the other.
 

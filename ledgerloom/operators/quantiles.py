@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
@@ -11,9 +12,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import settled
 from .joins import lookup_join
 
-#: Band widths, wide to narrow. With whole milliseconds a band of 1000 has at most that many
-#: distinct values; pass more, narrower widths for values with a finer resolution.
-BAND_WIDTHS = (1000.0,)
+#: Bands that one band is cut into; no window sees more of them.
+BANDS = 1024
+
+
+def band_widths(counted: DataFrame, value: str) -> list[float]:
+    """Widths, wide to narrow, from the values: their range cut by BANDS, again and again.
+
+    As many levels as give each distinct value a band of its own if they lie evenly, so
+    a narrowest band has about BANDS values at most, whatever the range.
+    """
+    seen = counted.agg(
+        F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"), F.count(value).alias("n")
+    ).first()
+    extent = (seen["high"] or 0.0) - (seen["low"] or 0.0)
+    levels = max(1, math.ceil(math.log(max(2, seen["n"]), BANDS)))
+    return [max(extent, 1.0) / BANDS ** k for k in range(1, levels + 1)]
 
 
 def exact_percentiles(
@@ -21,7 +35,7 @@ def exact_percentiles(
     groups: Sequence[str],
     value: str,
     percentages: Mapping[str, float],
-    widths: Sequence[float] = BAND_WIDTHS,
+    widths: Sequence[float] | None = None,
 ) -> DataFrame:
     """Interpolated percentiles of ``value`` per group, exact for groups of any size.
 
@@ -42,15 +56,15 @@ def percentiles_of_counts(
     value: str,
     count: str,
     percentages: Mapping[str, float],
-    widths: Sequence[float] = BAND_WIDTHS,
+    widths: Sequence[float] | None = None,
 ) -> DataFrame:
     """Percentiles from one row per (group, value) with its number of occurrences.
 
     Counts are totalled in bands to find those that hold the wanted ranks; these are
     cut into bands of the next width, and so on. What is left is ranked value by value.
     A window sees the bands of one width inside one wider band, or the distinct values
-    of a narrowest band, never the rows of a group. ``counted`` is read twice per
-    width, so it should be stored or cheap.
+    of a narrowest band, never the rows of a group. ``widths`` follow
+    from the values unless given. ``counted`` is read twice per width, so it should be stored or cheap.
     """
     groups = list(groups)
 
@@ -75,6 +89,7 @@ def percentiles_of_counts(
             F.sum("_n").alias("_rows")
         )
 
+    widths = band_widths(counted, value) if widths is None else list(widths)
     if not widths:
         raise ValueError("at least one band width is needed")
     region = counted.where(F.col(value).isNotNull()).select(

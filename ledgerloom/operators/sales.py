@@ -138,7 +138,8 @@ def refresh_touched_totals(transactions: DataFrame, lines: DataFrame, feed: Data
     def pick(new: str, old: str, kind: str) -> Column:
         return F.when(F.col("_touched"), F.col(new)).otherwise(F.col(old)).cast(kind)
 
-    return transactions.join(delta, "transaction_id", "left").withColumns({
+    # A small delta is broadcast, so headers that are not touched do not move.
+    return lookup_join(transactions, settled(delta), ["transaction_id"], "left").withColumns({
         "total_items_price": pick("price", "total_items_price", "decimal(22,2)"),
         "total_items_weight": pick("weight", "total_items_weight", "decimal(22,3)"),
     }).drop("price", "weight", "_touched")
@@ -263,8 +264,8 @@ def remap_members(transactions: DataFrame, renamed: DataFrame) -> DataFrame:
 
 
 def manufacturer_dimension(items: DataFrame) -> DataFrame:
-    """One row per manufacturer name with a surrogate id, in name order from 1."""
-    names = items.select("manufacturer_name").distinct()
+    """One row per manufacturer name with a surrogate id, in name order from 1; no name is no manufacturer."""
+    names = items.where(F.col("manufacturer_name").isNotNull()).select("manufacturer_name").distinct()
     return assign_surrogate_ids(names, ["manufacturer_name"], "manufacturer_id")
 
 

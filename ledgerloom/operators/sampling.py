@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import settled
+from .joins import lookup_join
+
 
 def first_rows(rows: DataFrame, n: int, position: Sequence[str]) -> DataFrame:
     """The first ``n`` rows in ``position`` order: a per-task top-n, then one merge of those."""
@@ -25,10 +28,13 @@ def keep_first(rows: DataFrame, keys: Sequence[str], position: Sequence[str]) ->
 def dropped_duplicates(rows: DataFrame, keys: Sequence[str], position: Sequence[str]) -> DataFrame:
     """The rows ``keep_first`` leaves out.
 
-    An anti-join on ``position``, which is unique per row: a key held by a third
-    of the rows is spread evenly, where ranking whole groups would not be.
+    Only rows whose key occurs more than once are looked at any further. They are
+    matched on ``position``, which is unique per row: a key held by a third of the rows
+    is spread evenly, where ranking whole groups would not be.
     """
-    return rows.join(keep_first(rows, keys, position).select(*position), list(position), "left_anti")
+    repeated = settled(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys))
+    again = lookup_join(rows, repeated, keys, "left_semi", null_safe=True)
+    return again.join(keep_first(again, keys, position).select(*position), list(position), "left_anti")
 
 
 def seed_members(accepted: DataFrame, position: Sequence[str], n: int) -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import events as ev, quantiles, retention
+from ..operators.joins import lookup_join
 from ..operators.applications import rule_matrix
-from ..session import scratch_path
+from ..session import scratch_path, settled
 from ..sources import tables
 from ..streaming import images as streams
 from .registry import Collected
@@ -21,14 +25,14 @@ _CUTOFF = datetime(2024, 1, 20, 12, 0, 0)
 _CONTENT_TYPES = ("image/jpeg", "image/png", "image/webp")
 _MAX_BYTES = 64 * 1024
 
-_ORDER = ("uploaded_at", "event_id")
+_ORDER = ("uploaded_at",)
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+def _event_stream(spark: SparkSession, folder: str, **options: object) -> DataFrame:
     """The events table as a stream of image events with zoned upload times."""
     given = table(spark, folder, "events").schema
     # As a glob the path may be one file or a folder of part files.
-    raw = spark.readStream.schema(given).parquet(f"{folder}/{{events}}.parquet")
+    raw = spark.readStream.options(**options).schema(given).parquet(f"{folder}/{{events}}.parquet")
     return raw.select(
         "event_id",
         F.concat_ws("-", F.lit("img"), F.col("user_id").cast("string"), F.get_json_object("props", "$.k")).alias("image_id"),
@@ -122,10 +126,13 @@ def dedupe_images(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Of events at the same time a finished image stays finished, and an error comes before waiting.
+_RANK = "case status when 'DONE' then 3 when 'ERROR' then 2 else 1 end"
+
 _STATUS = """
-    select image_id, arg_max(status, (uploaded_at, event_id)) as status, count(*) as attempts,
+    select image_id, arg_max(status, (uploaded_at, {rank})) as status, count(*) as attempts,
       count(*) filter (status = 'ERROR') as failures, min(uploaded_at) + interval 7 days as expires_at
-    from image_events group by image_id"""
+    from image_events group by image_id""".format(rank=_RANK)
 
 
 @_q.add(duck(_STATUS, "image_events"))
@@ -146,10 +153,10 @@ def event_routes(spark: SparkSession, folder: str) -> DataFrame:
     return ev.routed(ev.latest_status(image_events(spark, folder), _ORDER)).select("image_id", "attempts", "route")
 
 
-@_q.add(duck("""
+@_q.add(duck(f"""
     with done as (
       select image_id from image_events where uploaded_at < timestamp '2024-01-20 12:00:00' group by image_id
-      having arg_max(status, (uploaded_at, event_id)) = 'DONE')
+      having arg_max(status, (uploaded_at, {_RANK})) = 'DONE')
     select event_id, image_id, uploaded_at from (
       select * from image_events where uploaded_at >= timestamp '2024-01-20 12:00:00'
       qualify row_number() over (partition by image_id order by uploaded_at, source, event_id) = 1)
@@ -184,22 +191,30 @@ def stream_uploads_per_hour(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{root}/counts").withColumn("hour_start", F.col("hour_start").cast("timestamp_ntz"))
 
 
-@_q.add(duck("select count(distinct image_id) as images from image_events", "image_events"))
+@_q.add(duck("select distinct image_id from image_events", "image_events"))
 def stream_first_deliveries(spark: SparkSession, folder: str) -> DataFrame:
-    """Deduplicated in a stream over a window longer than the table, then counted."""
+    """Images passed on by the stream, at its window of seven days.
+
+    The watermark moves between micro-batches only. The table is one, so no event is late
+    and no state is dropped while it runs: each image passes exactly once.
+    """
     root = scratch_path(spark, "deliveries")
-    once = streams.first_deliveries(_event_stream(spark, folder), "60 days")
+    once = streams.first_deliveries(_event_stream(spark, folder))
     streams.write_appended(once, f"{root}/images", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/images").agg(F.count(F.lit(1)).alias("images"))
+    return spark.read.parquet(f"{root}/images").select("image_id")
 
 
-@_q.add(duck("""
-    select image_id, arg_max(status, (uploaded_at, status)) as status, cast(count(*) as bigint) as attempts,
-      cast(count(*) filter (status = 'ERROR') as bigint) as failures from image_events group by image_id""", "image_events"))
+@_q.add(duck(f"select * from ({_STATUS}) s where expires_at >= timestamp '{_CUTOFF}'", "image_events"))
 def stream_image_status(spark: SparkSession, folder: str) -> DataFrame:
+    """The index after five micro-batches and two snapshots: images not expired at the cut-off."""
     root = scratch_path(spark, "status")
-    streams.track_status(_event_stream(spark, folder), f"{root}/state", f"{root}/checkpoint").awaitTermination()
-    return streams.read_status(spark, f"{root}/state").select("image_id", "status", "attempts", "failures")
+    given = table(spark, folder, "events")
+    given.repartitionByRange(5, "ts").write.parquet(f"{root}/events.parquet")
+    events = _event_stream(spark, root, maxFilesPerTrigger=1)
+    streams.track_status(events, f"{root}/state", f"{root}/checkpoint", compact_every=2).awaitTermination()
+    since = F.lit(_CUTOFF.isoformat(sep=" ")).cast("timestamp_ntz")
+    status = streams.read_status(spark, f"{root}/state", since=since.cast("timestamp"))
+    return status.drop("last_at").withColumn("expires_at", F.col("expires_at").cast("timestamp_ntz"))
 
 
 _PERCENTILES = ", ".join(
@@ -216,11 +231,22 @@ def latency_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(ev.latency_percentiles(image_events(spark, folder)))
 
 
-@_q.add()
+@_q.add(duck(f"select source, {_PERCENTILES}, true as within_bound from image_events group by source", "image_events"))
 def latency_percentiles_estimate(spark: SparkSession, folder: str) -> DataFrame:
-    return quantiles.estimated_percentiles(
-        image_events(spark, folder), ["source"], "duration_ms", ev.LATENCY_PERCENTILES
+    """The exact values, and whether each estimate's rank is as near as the sketch promises."""
+    rows, accuracy = image_events(spark, folder).where("duration_ms is not null"), 10000
+    estimates = quantiles.estimated_percentiles(rows, ["source"], "duration_ms", ev.LATENCY_PERCENTILES, accuracy)
+    named = estimates.withColumnsRenamed({n: f"est_{n}" for n in ev.LATENCY_PERCENTILES})
+    total, near = F.count(F.lit(1)), []
+    for name, share in ev.LATENCY_PERCENTILES.items():
+        slack = total / accuracy + 1
+        near.append((F.count_if(F.col("duration_ms") < F.col(f"est_{name}")) <= share * total + slack)
+                    & (F.count_if(F.col("duration_ms") <= F.col(f"est_{name}")) >= share * total - slack))
+    ranked = lookup_join(rows, named, ["source"], "inner", null_safe=True).groupBy("source").agg(
+        reduce(and_, near).alias("within_bound")
     )
+    exact = _rounded(ev.latency_percentiles(rows))
+    return lookup_join(exact, ranked, ["source"], "inner", null_safe=True)
 
 
 @_q.add(duck("""
@@ -269,3 +295,17 @@ def retention_kept(spark: SparkSession, folder: str) -> DataFrame:
       from image_events group by dt) d""", "image_events"))
 def retention_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return retention.manifest(image_events(spark, folder), _CUTOFF)
+
+
+@_q.add(duck(f"""
+    select dt, count(*) as objects, count(*) filter (uploaded_at < {_LIMIT}) as objects_older_than_7d
+    from image_events where uploaded_at >= {_LIMIT} or uploaded_at is null group by dt""", "image_events"))
+def retention_after_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """What a swept table holds, per day: nothing older than the limit, and everything else."""
+    name = f"swept_{uuid.uuid4().hex}"
+    image_events(spark, folder).select("event_id", "uploaded_at", "dt").write.partitionBy("dt").saveAsTable(name)
+    try:
+        retention.sweep_table(spark, name, _CUTOFF)
+        return settled(retention.manifest(spark.table(name), _CUTOFF).drop("action"))
+    finally:
+        spark.sql(f"DROP TABLE {name}")

@@ -31,7 +31,7 @@ def validated(spark: SparkSession, folder: str, reference: date = rules.REFERENC
 
 def accepted(spark: SparkSession, folder: str) -> DataFrame:
     """Accepted rows with their place in the input."""
-    return validated(spark, folder).where("is_successful").select(
+    return ap.decided(validated(spark, folder)).where("is_successful").select(
         "membership_id", "first_name", "last_name", "email", F.col("birthday_ymd").alias("birthday"),
         "above_18", F.col("mobile_normalised").alias("mobile"), "source_file", "app_id",
     )
@@ -64,6 +64,40 @@ def ingest_applications(spark: SparkSession, folder: str) -> DataFrame:
     return batches.scan_batches(spark, files).select("name", "email", "birthday", "mobile")
 
 
+# What line-by-line reading would lose or tear: a blank row, a carriage return inside a
+# name, a line break inside a name. Each file also holds all applications of one batch.
+_AWKWARD = {"batch_0.csv": "   ,,,\n", "batch_1.csv": "Bob\rHorn,b@x.com,1990-01-01,11111111\n",
+            "batch_2.csv": '"Cy\nDee",c@x.com,1991-01-01,22222222\n'}
+
+
+def _awkward_folder(spark: SparkSession, folder: str) -> str:
+    """One file per batch, with an awkward row in the middle."""
+    rows = applications(spark, folder)
+    root = scratch_path(spark, "awkward")
+    cell = [F.coalesce(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+            for c in (F.col("name"), F.col("email"), F.col("birthday"), F.col("mobile"))]
+    header = ",".join(rules.SOURCE_COLUMNS)
+    for n, (file, awkward) in enumerate(_AWKWARD.items()):
+        body = rows.where(F.col("source_file") == file).select(F.concat_ws(",", *cell).alias("value"))
+        line = spark.createDataFrame([(awkward.rstrip("\n"),)], "value string")
+        # The header is one line per part file: every part is a batch of its own.
+        parts = body.union(line).coalesce(1)
+        parts = parts.select(F.when(F.monotonically_increasing_id() == 0, F.concat(F.lit(header + "\n"), "value")).otherwise(F.col("value")))
+        parts.write.option("lineSep", "\n").text(f"{root}/{n}")
+    return root
+
+
+@_q.add(duck("""
+    select name, email, birthday, mobile from applications
+    union all values ('   ', null, null, null), ('Bob' || chr(13) || 'Horn', 'b@x.com', '1990-01-01', '11111111'),
+      ('Cy' || chr(10) || 'Dee', 'c@x.com', '1991-01-01', '22222222')""", "applications"))
+def ingest_awkward_rows(spark: SparkSession, folder: str) -> DataFrame:
+    root = _awkward_folder(spark, folder)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(root)
+    files = [r["path"] for r in listed.select("path").collect()]
+    return batches.scan_batches(spark, files).select("name", "email", "birthday", "mobile")
+
+
 @_q.add(duck("select app_id, name, email, source_file from applications", "applications"))
 def batch_union(spark: SparkSession, folder: str) -> DataFrame:
     rows = applications(spark, folder)
@@ -81,13 +115,33 @@ def stream_applications(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{out}/successful").drop("batch_id")
 
 
+@_q.add(duck("""
+    select name, email, birthday_raw, mobile_raw, first_name, last_name, birthday, age, above_18, rejection_reason
+    from rejected""", "rejected"))
+def stream_rejected_applications(spark: SparkSession, folder: str) -> DataFrame:
+    out = scratch_path(spark, "stream-rejected")
+    start_applications(spark, _csv_folder(spark, folder), out, f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/unsuccessful").drop("batch_id", "source_file")
+
+
+@_q.add(duck("""
+    select count(*) as rows_read, count(*) filter (is_successful) as rows_successful,
+      count(*) filter (not is_successful) as rows_unsuccessful from validated""", "validated"))
+def stream_run_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Audit rows of a stream that takes two files at a time, added up."""
+    out = scratch_path(spark, "stream-records")
+    start_applications(spark, _csv_folder(spark, folder), out, f"{out}/checkpoint", max_files=2).awaitTermination()
+    counts = ("rows_read", "rows_successful", "rows_unsuccessful")
+    return sinks.read_records(spark, out).agg(*[F.sum(c).alias(c) for c in counts])
+
+
 @_q.add(duck("""
     select membership_id, first_name, last_name, email, birthday, above_18, mobile from accepted""", "accepted"))
 def latest_run_slice(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "runs")
     for run_ts, reference in zip(_RUNS, (date(2021, 1, 1), rules.REFERENCE_DATE)):
         sinks.write_outputs(validated(spark, folder, reference), out, run_ts)
-    return tables.latest_run(spark, f"{out}/successful").drop("run_ts")
+    return tables.latest_run(spark, out).drop("run_ts")
 
 
 @_q.add("""
@@ -213,11 +267,42 @@ def unsuccessful_applications(spark: SparkSession, folder: str) -> DataFrame:
     return ap.unsuccessful(validated(spark, folder))
 
 
-@_q.add(duck("""
-    select name, email, birthday_raw, mobile_raw, rejection_reason as stored_reason,
-      rejection_reason as recomputed_reason, source_file from rejected where rejection_reason = ''""", "rejected"))
+# Stored outputs as if someone had edited them: some reasons, ids, mobiles and birthdays.
+_EDITED_REASON = "case when mobile_raw like '%1' then 'edited' else rejection_reason end"
+_EDITED = {
+    "membership_id": "case when last_name = 'Lee' then concat(membership_id, 'x') else membership_id end",
+    "mobile": "case when mobile like '%7' then substring(mobile, 2) else mobile end",
+    "birthday": "case when mobile like '%30' then concat(birthday, '0') when mobile like '%31' then '20100101' else birthday end",
+    "email": "case when mobile like '%4' then concat(email, '.org') else email end",
+}
+
+
+@_q.add(duck(f"""
+    select name, email, birthday_raw, mobile_raw, {_EDITED_REASON} as stored_reason,
+      rejection_reason as recomputed_reason, source_file
+    from rejected where rejection_reason <> {_EDITED_REASON}""", "rejected"))
 def verdict_recheck(spark: SparkSession, folder: str) -> DataFrame:
-    return ap.recheck_rejections(ap.unsuccessful(validated(spark, folder)))
+    stored = ap.unsuccessful(validated(spark, folder)).withColumn("rejection_reason", F.expr(_EDITED_REASON))
+    return ap.recheck_rejections(stored)
+
+
+@_q.add(duck(f"""
+    with edited as (
+      select {', '.join(f"{e} as {c}" for c, e in _EDITED.items())}, first_name, last_name, above_18, app_id from accepted),
+    dated as (
+      select *, case when regexp_full_match(birthday, '[0-9]{{8}}') then try_strptime(birthday, '%Y%m%d') end as born from edited),
+    judged as (
+      select app_id, membership_id, concat_ws(';',
+        case when born is null then 'birthday_layout' end,
+        case when not coalesce(born <= date '2003-01-01' and above_18, false) then 'above_18' end,
+        case when not regexp_full_match(mobile, '[0-9]{{8}}') then 'mobile' end,
+        case when not (lower(trim(email)) like '%.com' or lower(trim(email)) like '%.net') then 'email' end,
+        case when membership_id <> concat(last_name, '_', substring(sha256(birthday), 1, 5)) then 'membership_id' end) as broken
+      from dated)
+    select * from judged where broken <> ''""", "accepted"))
+def accepted_recheck(spark: SparkSession, folder: str) -> DataFrame:
+    stored = accepted(spark, folder).withColumns({c: F.expr(e) for c, e in _EDITED.items()})
+    return ap.recheck_accepted(stored).select("app_id", "membership_id", "broken")
 
 
 _LATER = """
@@ -299,9 +384,18 @@ def email_domain_profile(spark: SparkSession, folder: str) -> DataFrame:
     return quality.email_domain_profile(applications(spark, folder))
 
 
-@_q.add()
+@_q.add(duck("""
+    select count(*) as emails, count(distinct split_part(lower(trim(email)), '@', -1)) as distinct_domains,
+      true as within_bound
+    from applications where email like '%@%'""", "applications"))
 def email_domain_estimate(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.email_domain_estimate(applications(spark, folder))
+    """The exact number, and whether the sketch is within three standard errors of it."""
+    rows, error = applications(spark, folder), 0.02
+    estimate = quality.email_domain_estimate(rows, error).select(F.col("distinct_domains").alias("estimate"), "emails")
+    off = F.abs(F.col("estimate") - F.col("distinct_domains"))
+    return quality.email_domain_profile(rows).join(estimate, "emails").select(
+        "emails", "distinct_domains", (off <= F.greatest(F.lit(1), 3 * error * F.col("distinct_domains"))).alias("within_bound")
+    )
 
 
 @_q.add(duck("""
@@ -323,36 +417,83 @@ def birthday_format_profile(spark: SparkSession, folder: str) -> DataFrame:
 # ---- Outputs against each other ---------------------------------------------------
 
 
+# A tenth of the applicants hand in a second form with a mobile that is refused.
 _OVERLAP = """
+    with refused as (
+      select first_name, last_name, email from rejected union all
+      select first_name, last_name, email from checked where app_id % 10 = 0)
     select {keys}, a.n as accepted_rows, r.n as rejected_rows
     from (select {keys}, count(*) as n from accepted group by all) a
-    join (select {keys} , count(*) as n from rejected group by all) r using ({keys})"""
+    join (select {keys}, count(*) as n from refused group by all) r using ({keys})"""
+
+
+def _with_second_forms(spark: SparkSession, folder: str) -> DataFrame:
+    forms = applications(spark, folder)
+    return ap.validate(ap.clean(forms.union(forms.where("app_id % 10 = 0").withColumn("mobile", F.lit("1")).select(*forms.columns))))
 
 
-@_q.add(duck(_OVERLAP.format(keys="first_name, last_name"), "accepted", "rejected"))
+@_q.add(duck(_OVERLAP.format(keys="first_name, last_name, email"), "checked", "accepted", "rejected"))
 def output_overlap(spark: SparkSession, folder: str) -> DataFrame:
-    rows = validated(spark, folder)
-    return quality.shared_applicants(ap.successful(rows), ap.unsuccessful(rows), ["first_name", "last_name"])
+    return quality.shared_within(_with_second_forms(spark, folder), ["first_name", "last_name", "email"])
 
 
-@_q.add(duck(_OVERLAP.format(keys="email"), "accepted", "rejected"))
+@_q.add(duck(_OVERLAP.format(keys="email"), "checked", "accepted", "rejected"))
 def output_overlap_by_email(spark: SparkSession, folder: str) -> DataFrame:
-    rows = validated(spark, folder)
+    rows = _with_second_forms(spark, folder)
     return quality.shared_applicants(ap.successful(rows), ap.unsuccessful(rows), ["email"])
 
 
-@_q.add(duck("""
-    select app_id, rejection_reason, 'first' as only_in, 1::bigint as copies from validated where false""", "validated"))
-def replay_diff(spark: SparkSession, folder: str) -> DataFrame:
-    first, second = (validated(spark, folder).select("app_id", "rejection_reason") for _ in range(2))
+def _two_runs(spark: SparkSession, folder: str) -> tuple[sinks.Written, sinks.Written]:
+    """Two written runs; before the second, the e-mails of one batch were lost."""
+    out, rows = scratch_path(spark, "replay"), applications(spark, folder)
+    lost = rows.withColumn("email", F.expr("case when source_file <> 'batch_1.csv' then email end"))
+    first, second = (
+        sinks.write_outputs(ap.validate(ap.clean(frame)), out, run_ts) for frame, run_ts in zip((rows, lost), _RUNS)
+    )
+    return first, second
+
+
+def _replayed(spark: SparkSession, folder: str, side: str) -> DataFrame:
+    first, second = (spark.read.parquet(run.folders[side]) for run in _two_runs(spark, folder))
     return quality.replay_difference(first, second)
 
 
+_BALANCE = """
+    select {columns}, case when sum(v) > 0 then 'first' else 'second' end as only_in, abs(sum(v))::bigint as copies
+    from votes group by {columns} having sum(v) <> 0"""
+_ACCEPTED = "membership_id, first_name, last_name, email, birthday, above_18, mobile"
+_REJECTED = ("name, email, birthday_raw, mobile_raw, first_name, last_name, birthday, age, above_18, rejection_reason, "
+             "source_file")
+
+
+@_q.add(duck(f"""
+    with votes as (
+      select *, 1 as v from accepted union all select *, -1 from accepted where source_file <> 'batch_1.csv')
+    {_BALANCE.format(columns=_ACCEPTED)}""", "accepted"))
+def replay_diff(spark: SparkSession, folder: str) -> DataFrame:
+    return _replayed(spark, folder, "successful")
+
+
+@_q.add(duck(f"""
+    with votes as (
+      select {_REJECTED}, 1 as v from rejected
+      union all select {_REJECTED}, -1 from rejected where source_file <> 'batch_1.csv'
+      union all select name, null, birthday, mobile, first_name, last_name, birthday_ymd, age, above_18,
+        concat_ws(';', case when f_name then 'missing_name' end, case when f_birthday then 'unparseable_birthday' end,
+          case when f_age then 'under_18' end, case when f_mobile then 'invalid_mobile' end, 'invalid_email'),
+        source_file, -1
+      from checked where source_file = 'batch_1.csv')
+    {_BALANCE.format(columns=_REJECTED)}""", "rejected"))
+def replay_diff_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    return _replayed(spark, folder, "unsuccessful")
+
+
 @_q.add(duck(_LATER + """
     select app_id, rejection_reason, 'first' as only_in, 1::bigint as copies
     from later where rejection_reason <> later_reason
     union all select app_id, later_reason, 'second', 1 from later where rejection_reason <> later_reason""", "validated"))
 def replay_diff_later_reference(spark: SparkSession, folder: str) -> DataFrame:
+    """Which verdicts another reference date changes."""
     first = validated(spark, folder).select("app_id", "rejection_reason")
     second = validated(spark, folder, date(2023, 1, 1)).select("app_id", "rejection_reason")
     return quality.replay_difference(first, second)
@@ -370,9 +511,14 @@ def first_n_members(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.first_rows(accepted(spark, folder), rules.MEMBER_SEED_ROWS, _POSITION)
 
 
-@_q.add(duck(f"select * from {_SEEDED} s", "accepted"))
+# The first 50 rows share no id; these many do.
+_MORE = 400
+_FIRST_MORE, _SEEDED_MORE = (t.replace("limit 50", f"limit {_MORE}") for t in (_FIRST_50, _SEEDED))
+
+
+@_q.add(duck(f"select * from {_SEEDED_MORE} s", "accepted"))
 def dedupe_first_members(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.seed_members(accepted(spark, folder), _POSITION, rules.MEMBER_SEED_ROWS)
+    return sampling.seed_members(accepted(spark, folder), _POSITION, _MORE)
 
 
 @_q.add(duck("""
@@ -390,25 +536,27 @@ def dedupe_dropped_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_q.add(duck(f"""
-    with source as (select membership_id, row_number() over (order by source_file, app_id) as place from {_FIRST_50} f),
-    loaded as (select membership_id, row_number() over (order by source_file, app_id) as place from {_SEEDED} s)
+    with source as (select membership_id, row_number() over (order by source_file, app_id) as place from {_FIRST_MORE} f),
+    loaded as (select membership_id, row_number() over (order by source_file, app_id) as place from {_SEEDED_MORE} s)
     select place, s.membership_id is not null as in_first, l.membership_id is not null as in_second
     from source s full join loaded l using (place)
     where s.membership_id is distinct from l.membership_id""", "accepted"))
 def members_match_source(spark: SparkSession, folder: str) -> DataFrame:
     rows = accepted(spark, folder)
-    # At most MEMBER_SEED_ROWS rows reach this window.
+    # At most _MORE rows reach this window.
     place = F.row_number().over(Window.orderBy(*_POSITION)).cast("long").alias("place")
-    source = sampling.first_rows(rows, rules.MEMBER_SEED_ROWS, _POSITION).select(place, "membership_id")
-    loaded = sampling.seed_members(rows, _POSITION, rules.MEMBER_SEED_ROWS).select(place, "membership_id")
+    source = sampling.first_rows(rows, _MORE, _POSITION).select(place, "membership_id")
+    loaded = sampling.seed_members(rows, _POSITION, _MORE).select(place, "membership_id")
     return sampling.position_differences(source, loaded, "place")
 
 
 @_q.add(duck("""
-    select app_id, birthday_date, above_18 from checked
-    where birthday_date is not null and above_18 <> (birthday_date <= date '2003-01-01')""", "checked"))
+    select app_id, birthday_date, not above_18 as above_18 from checked
+    where birthday_date is not null and app_id % 17 = 0""", "checked"))
 def above_18_consistency(spark: SparkSession, folder: str) -> DataFrame:
-    rows = cleaned(spark, folder)
+    """With the flag of every 17th row turned round."""
+    flag = F.when(F.col("app_id") % 17 == 0, ~F.col("above_18")).otherwise(F.col("above_18"))
+    rows = cleaned(spark, folder).withColumn("above_18", flag)
     return rows.where(
         F.col("above_18") != (F.col("birthday_date") <= integrity.latest_adult_birthday())
     ).select("app_id", "birthday_date", "above_18")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -39,13 +41,29 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
+def clean_scratch(spark: SparkSession, older_than_hours: float) -> int:
+    """Remove what ``scratch_path`` gave out and nobody wrote to for so long; returns how many folders.
+
+    Whoever runs the jobs owns the scratch folder. A frame may still read from a folder
+    after the function that wrote it returned, so nothing is removed on the way; choose
+    an age above that of the longest job.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/ledgerloom")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return 0
+    limit = (time.time() - older_than_hours * 3600) * 1000
+    old = [e.getPath() for e in files.listStatus(path) if e.getModificationTime() < limit]
+    return sum(bool(files.delete(p, True)) for p in old)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is ever reused or overwritten."""
     return f"{shared_folder(spark)}/ledgerloom/{label}-{uuid.uuid4().hex}"

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,14 +12,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import rules
 
-#: Files above this size are read in splits when no record spans lines.
-SPLIT_ABOVE_BYTES = 256 * 1024 * 1024
-
 #: Order of rows in the input, for frames scanned with ``positions=True``.
 POSITION = ("source_file", "_block", "_row")
 
-_HEADER_READERS = 16
-
 
 class MissingColumns(ValueError):
     """A batch file lacks a required column."""
@@ -63,64 +59,79 @@ def _csv(spark: SparkSession, multi_line: bool):
     )
 
 
-def _headers(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """Header of each file. Reads first records only, several files at a time."""
-    with ThreadPoolExecutor(_HEADER_READERS) as pool:
-        columns = pool.map(lambda f: tuple(_csv(spark, True).csv(f).columns), files)
-        return dict(zip(files, columns))
+def _layouts(spark: SparkSession, files: Sequence[str]) -> list[tuple[str, str | None, bool]]:
+    """(file, first line, whole_lines) of every file, from one text scan of all of them.
+
+    ``whole_lines`` tells that Spark's line-by-line CSV reading, which can be split among
+    tasks, gives the records of the file. That holds when no record spans lines (then no line
+    has an odd number of quotes), no line consists of blanks only (it is a row, which
+    line-by-line reading would skip), and no carriage return stands inside a line (it belongs
+    to a field). Only what a file holds decides, never its size. One row per file is gathered.
+    """
+    line = F.regexp_replace("value", "\\r$", "")
+    quotes = F.length(line) - F.length(F.translate(line, '"', ""))
+    odd = (quotes % 2 == 1) | line.rlike("^[\\x00-\\x20]+$") | F.contains(line, F.lit("\r"))
+    # Inside a task rows come in reading order, so the least id marks the first line of a file.
+    first = F.min(F.when((F.col("start") == 0) & (F.col("line") != ""), F.struct("id", "line")))
+    scanned = (
+        spark.read.option("lineSep", "\n").text(list(files))
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                F.monotonically_increasing_id().alias("id"), line.alias("line"), odd.alias("odd"))
+        .groupBy("file").agg(first.getField("line").alias("first"), F.bool_or("odd").alias("odd"))
+    )
+    # The metadata column is an encoded URI; ``path`` can be read again as it is.
+    listed = spark.read.format("binaryFile").load(list(files)).select("path", F.col("_metadata.file_path").alias("file"))
+    found = listed.join(scanned, "file", "left").select("path", "first", (~F.coalesce("odd", F.lit(False))).alias("whole"))
+    return sorted((r["path"], r["first"], r["whole"]) for r in found.collect())
 
 
-def _whole_line_files(spark: SparkSession, files: Sequence[str]) -> set[str]:
-    """Those of ``files`` in which no record spans lines, so that they may be split.
+def _header(spark: SparkSession, file: str, first: str | None) -> tuple[str, ...]:
+    """Column names of a file, empty and repeated ones made distinct by their place.
 
-    A record with a line break has a line with an odd number of quotes. One text
-    scan counts such lines per file; any hit keeps that file in one piece.
+    A name with a line break needs a look at more than the first line.
     """
-    if not files:
-        return set()
-    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
-    counted = (
-        spark.read.text(list(files)).select(F.col("_metadata.file_path").alias("path"), quotes.alias("q"))
-        .groupBy("path").agg(F.count_if(F.col("q") % 2 == 1).alias("odd"))
-    )
-    return {r["path"] for r in counted.where("odd = 0").select("path").collect()}
+    if first is None:
+        return ()
+    if first.count('"') % 2:
+        return tuple(_csv(spark, True).csv(file).columns)
+    names = next(csv.reader([first]), [])
+    seen = Counter(n.lower() for n in names)
+    return tuple(n if n and seen[n.lower()] == 1 else f"{n or '_c'}{i}" for i, n in enumerate(names))
 
 
 def scan_batches(
     spark: SparkSession,
     files: Iterable[str],
     columns: Mapping[str, str] = rules.SOURCE_COLUMNS,
-    split_above: int = SPLIT_ABOVE_BYTES,
     positions: bool = False,
 ) -> DataFrame:
     """All rows of the files as text, columns by header name, with ``source_file``.
 
     Spark binds CSV columns by position, so files are grouped by header and each
     group is read with its own; column order may differ and extra columns are
-    ignored. Large files are read in parallel splits unless a quoted field holds a
-    line break. ``positions`` adds the columns of ``POSITION``.
+    ignored. Files whose records are lines are read in parallel splits, the others
+    by one task each; see ``_layouts``. ``positions`` adds the columns of ``POSITION``.
     """
     files = list(files)
     if not files:
         raise ValueError("no batch files given")
-    headers = _headers(spark, files)
-    for file, header in headers.items():
+    layouts: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for file, first, whole in _layouts(spark, files):
+        header = _header(spark, file, first)
         missing = [c for c in columns if c not in header]
         if missing:
             raise MissingColumns(
                 f"{file}: missing column(s) {', '.join(missing)}; found {', '.join(sorted(header)) or 'none'}"
             )
-    sizes = {r["path"]: r["length"] for r in _listing(spark, files).collect()}
-    large = [f for f in files if sizes.get(f, 0) > split_above]
-    splittable = _whole_line_files(spark, large)
-
-    layouts: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for file in files:
-        layouts.setdefault((headers[file], file not in splittable), []).append(file)
+        layouts.setdefault((header, not whole), []).append(file)
 
     def read(header: tuple[str, ...], multi_line: bool, group: list[str]) -> DataFrame:
         schema = StructType([StructField(c, StringType()) for c in header])
         raw = _csv(spark, multi_line).schema(schema).csv(group)
+        if multi_line:
+            # With mixed line ends the carriage return of some lines stays in the last field.
+            end = F.regexp_replace(F.col(f"`{header[-1]}`"), "\\r$", "")
+            raw = raw.withColumn(header[-1], F.nullif(end, F.lit("")))
         picked = [F.col(f"`{source}`").alias(target) for source, target in columns.items()]
         place = [
             F.col("_metadata.file_block_start").alias("_block"),

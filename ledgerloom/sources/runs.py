@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import rules
 from ..operators.applications import clean, validate
 from .batches import POSITION, discover_batches, scan_batches
-from .sinks import RunSummary, write_outputs
+from .sinks import Written, write_outputs
 
 
 def _recorded(spark: SparkSession, ledger: str, stamp: str) -> DataFrame | None:
@@ -34,7 +33,7 @@ def run(
     ledger: str | None = None,
     fmt: str = "parquet",
     in_order: bool = False,
-) -> RunSummary:
+) -> Written:
     """Process the batches waiting in ``input_folder``; no batches is a success.
 
     ``ledger`` is a folder recording finished files, so the next run leaves them
@@ -48,13 +47,14 @@ def run(
     finished = _recorded(spark, ledger, stamp) if ledger else None
     files = discover_batches(spark, input_folder, finished=finished)
     if not files:
-        return RunSummary(run_ts)
+        return Written("", dict.fromkeys(("read", "successful", "unsuccessful"), 0), {})
 
     rows = scan_batches(spark, files, positions=in_order)
     order = POSITION if in_order else ()
-    written = write_outputs(validate(clean(rows, reference)), output, run_ts, fmt, order_by=order)
-    summary = replace(written, files=len(files))
+    written = write_outputs(
+        validate(clean(rows, reference)), output, run_ts, fmt, order_by=order, files=len(files)
+    )
     if ledger:
         entries = spark.createDataFrame([(f, stamp) for f in files], "path string, run_ts string")
         entries.coalesce(1).write.mode("overwrite").json(f"{ledger}/run={stamp}")
-    return summary
+    return written

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import rules
+from .sinks import read_records
 
 
 def _or_fail(value: Column, source: Column, kind: str, what: str) -> Column:
@@ -28,20 +29,20 @@ def typed_members(accepted: DataFrame) -> DataFrame:
     )
 
 
-def latest_run(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    """Rows of the newest ``run_ts=`` folder, chosen by its stamp, not by file times.
+def latest_run(spark: SparkSession, output: str, side: str = "successful", fmt: str = "parquet") -> DataFrame:
+    """Rows of one output of the newest finished run, chosen by its stamp, not by file times.
 
-    The stamps come from a listing that opens no file; then one folder is read.
+    Stamps come from the run records, one small file per run, which are written last; a
+    run that failed half-way has none. Then one folder is read.
     """
     try:
-        listing = spark.read.format("binaryFile").load(root)
-        newest = listing.agg(F.max(F.col("run_ts").cast("string")).alias("stamp")).first()["stamp"]
+        newest = read_records(spark, output).agg(F.max(F.col("run_ts").cast("string")).alias("stamp")).first()["stamp"]
     except AnalysisException as error:
-        raise FileNotFoundError(f"no run below {root}") from error
-    reader = spark.read.option("basePath", root)
+        raise FileNotFoundError(f"no finished run below {output}") from error
+    reader = spark.read.option("basePath", f"{output}/{side}")
     if fmt == "csv":
         reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
-    return reader.format(fmt).load(f"{root}/run_ts={newest}")
+    return reader.format(fmt).load(f"{output}/{side}/run_ts={newest}")
 
 
 def read_in_order(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
@@ -54,21 +55,24 @@ def read_in_order(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]
     return spark.read.parquet(path).withColumns(place), list(place)
 
 
-def write_partitioned(frame: DataFrame, root: str, column: str, mode: str = "overwrite") -> None:
-    """Parquet in one folder per value of ``column``; a rewrite replaces only its own folders.
+def write_partitioned(
+    frame: DataFrame, root: str, column: str, mode: str = "overwrite", replace_all: bool = False
+) -> None:
+    """Parquet in one folder per value of ``column``; a rewrite replaces only its own folders,
+    or all of them with ``replace_all``.
 
     The rebalance hint gathers each value's rows into few files, splits a value that is
     much larger than the others, and keeps small ones from becoming many small files.
     """
     (
         frame.hint("rebalance", column).write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root)
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic").partitionBy(column).parquet(root)
     )
 
 
-def write_by_day(frame: DataFrame, root: str, mode: str = "overwrite") -> None:
+def write_by_day(frame: DataFrame, root: str, mode: str = "overwrite", replace_all: bool = False) -> None:
     """``write_partitioned`` by ``dt``."""
-    write_partitioned(frame, root, "dt", mode)
+    write_partitioned(frame, root, "dt", mode, replace_all)
 
 
 def read_days(spark: SparkSession, root: str, first: str, last: str | None = None) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import rules
-from ..operators.applications import clean, successful, unsuccessful, validate
+from ..operators.applications import clean, validate
 from ..sources.batches import scan_batches
-from ..sources.sinks import write_frame
+from ..sources.sinks import write_outputs
 
 #: The fixed schema of Spark's binaryFile source.
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -38,8 +38,9 @@ def stream_applications(
     # The content column is never selected, so no file is loaded whole.
     source = (
         spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("pathGlobFilter", rules.BATCH_GLOB)
-        .option("maxFilesPerTrigger", max_files or 1_000_000)
     )
+    if max_files:
+        source = source.option("maxFilesPerTrigger", max_files)
     if archive:
         source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     source = source.load(input_folder).select("path")
@@ -49,8 +50,7 @@ def stream_applications(
         if not files:
             return
         validated = validate(clean(scan_batches(spark, files), reference))
-        write_frame(successful(validated), f"{output}/successful/batch_id={batch_id}", fmt)
-        write_frame(unsuccessful(validated), f"{output}/unsuccessful/batch_id={batch_id}", fmt)
+        write_outputs(validated, output, f"batch_id={batch_id}", fmt, files=len(files))
 
     return (
         source.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

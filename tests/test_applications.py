@@ -140,3 +140,14 @@ def test_reference_date_changes_the_verdict(applications):
     for reference, reason in [(date(2022, 1, 1), "under_18"), (date(2023, 1, 1), ""), (date(2022, 6, 15), "")]:
         got = ap.validate(ap.clean(frame, reference)).first()["rejection_reason"]
         assert got == reason
+
+
+def test_a_filter_after_validation_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "forms")
+    columns = "name string, email string, birthday string, mobile string, source_file string"
+    spark.createDataFrame([("Ann Lee", "a@x.com", "1990-01-01", "11111111", "f")], columns).write.parquet(path)
+    checked = ap.validate(ap.clean(spark.read.parquet(path)))
+    plan = checked.where("mobile = '11111111'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(mobile,11111111)" in plan
+    split = ap.successful(checked)._jdf.queryExecution().executedPlan().toString()
+    assert split.count("sha2(") == 1 and "CollectMetrics" in split

@@ -2,7 +2,7 @@
 
 import json
 import random
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from conftest import bag
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import events as ev, quantiles, retention
 from ledgerloom.operators.applications import rule_matrix
+from ledgerloom.sources import tables
 from ledgerloom.streaming import applications as app_stream, images as streams
 from test_sources import BATCH_A, BATCH_C
 
@@ -47,6 +48,21 @@ def test_metadata_records_have_the_table_layout(spark):
     assert (row.processed_at, row.dt, row.width) == (_at(0) + timedelta(seconds=1.5), date(2024, 1, 10), None)
 
 
+def test_a_given_end_of_processing_stays(spark):
+    event = spark.createDataFrame([(_at(0), _at(9), 1000), (_at(0), None, 1000)],
+                                  "uploaded_at timestamp, processed_at timestamp, duration_ms long")
+    event = event.withColumns({c: F.lit(None).cast("string") for c in ("image_id", "source", "status")})
+    assert [r.processed_at for r in ev.metadata_records(event).collect()] == [_at(9), _at(0) + timedelta(seconds=1)]
+
+
+def test_events_of_one_time_go_by_status_rank(spark, events):
+    rows = events(("a", "api", 1, "PENDING"), ("a", "api", 1, "DONE"), ("a", "api", 1, "ERROR"),
+                  ("b", "api", 1, "PENDING"), ("b", "api", 1, "ERROR"))
+    assert {r.image_id: r.status for r in ev.latest_status(rows).collect()} == {"a": "DONE", "b": "ERROR"}
+    folded = streams.merge_status(ev.status_rows(rows.where("status = 'PENDING'")).union(ev.status_rows(rows.where("status <> 'PENDING'"))))
+    assert {r.image_id: r.status for r in folded.collect()} == {"a": "DONE", "b": "ERROR"}
+
+
 def test_event_rules(spark):
     rows = spark.createDataFrame([("image/png", 5), ("image/png", 11), ("text/html", 0), (None, None)],
                                  "content_type string, size long")
@@ -105,7 +121,7 @@ def _expected(values, share):
     return values[low] + (values[high] - values[low]) * (place - low)
 
 
-@pytest.mark.parametrize("widths", [(0.5,), (1000.0,), (10.0**9,), (500.0, 20.0, 1.0)])
+@pytest.mark.parametrize("widths", [None, (0.5,), (1000.0,), (10.0**9,), (500.0, 20.0, 1.0)])
 def test_exact_percentiles_equal_brute_force(spark, widths):
     rng = random.Random(5)
     groups = {"hot": [rng.randrange(-50, 5000) for _ in range(3000)], "one": [7], "two": [3, 4],
@@ -171,7 +187,7 @@ def test_manifest(uploads):
     ]
 
 
-def test_sweep_drops_whole_days_only(spark, uploads):
+def test_sweep_leaves_nothing_older_than_the_limit(spark, uploads):
     spark.sql("DROP TABLE IF EXISTS image_metadata")
     uploads.where("dt is not null").write.partitionBy("dt").saveAsTable("image_metadata")
     swept = retention.sweep_table(spark, "image_metadata", CUTOFF)
@@ -179,11 +195,25 @@ def test_sweep_drops_whole_days_only(spark, uploads):
         (date(2024, 1, 12), 1, "drop"), (date(2024, 1, 13), 1, "rewrite")
     }
     left = spark.table("image_metadata")
-    assert sorted(r.image_id for r in left.collect()) == ["1", "2", "3"]
-    assert retention.manifest(left, CUTOFF).where("action = 'drop'").count() == 0
+    assert sorted(r.image_id for r in left.collect()) == ["2", "3"]
+    assert retention.manifest(left, CUTOFF).where("action <> 'keep'").count() == 0
+    assert retention.sweep_table(spark, "image_metadata", CUTOFF).count() == 0
+    plan = retention.manifest(retention.due_days(left, CUTOFF), CUTOFF)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-14" in plan
     spark.sql("DROP TABLE image_metadata")
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_cut_off_keeps_zone_and_microseconds(spark, kind):
+    stamps = ["2024-01-13 02:00:00", "2024-01-13 01:59:59.999999", "2024-01-13 02:00:00.000001"]
+    rows = spark.createDataFrame([(s,) for s in stamps], "s string").select(F.col("s").cast(kind).alias("uploaded_at"), "s")
+    zone = timezone(timedelta(hours=8))
+    old = retention.expired(rows, datetime(2024, 1, 20, 10, tzinfo=zone))
+    assert [r.s for r in old.collect()] == stamps[1:2]
+    late = retention.expired(rows, datetime(2024, 1, 20, 10, 0, 0, 1, tzinfo=zone))
+    assert sorted(r.s for r in late.collect()) == sorted(stamps[:2])
+
+
 def test_retention_bound_reaches_the_scan(spark, uploads, tmp_path):
     root = str(tmp_path / "u")
     uploads.write.parquet(root)
@@ -327,6 +357,37 @@ def test_status_state_and_skipping_done_images(spark, tmp_path):
     ]
 
 
+def test_images_expire_by_all_that_is_known_about_them(spark, tmp_path):
+    root, state = str(tmp_path / "in"), str(tmp_path / "state")
+    _drop(root, "1", [("a", "api", 0, "ERROR"), ("b", "api", 0, "DONE")])
+    _drop(root, "2", [("a", "api", 24 * 5, "ERROR")])
+    streams.track_status(_event_stream(spark, root), state, str(tmp_path / "c")).awaitTermination()
+    assert streams.read_status(spark, state, since=_at(24 * 8)).count() == 0
+    row = {r.image_id: r for r in streams.read_status(spark, state, since=_at(24 * 6)).collect()}["a"]
+    assert (row.attempts, row.failures, row.expires_at) == (2, 2, _at(24 * 7))
+
+
+def test_snapshots_replace_old_micro_batches(spark, tmp_path):
+    root, state = str(tmp_path / "in"), str(tmp_path / "state")
+    rows = [(f"i{n % 7}", "api", n, "DONE" if n % 3 else "ERROR") for n in range(44)]
+    for part in range(11):
+        _drop(root, f"{part:02d}", rows[part * 4:part * 4 + 4])
+    streams.track_status(_event_stream(spark, root), state, str(tmp_path / "c"), compact_every=3).awaitTermination()
+    names = sorted(p.name for p in (tmp_path / "state").iterdir())
+    assert names == ["batch_id=10", "batch_id=6", "batch_id=7", "batch_id=8", "batch_id=9", "snapshot=5", "snapshot=8"]
+    whole = ev.status_rows(spark.read.schema(EVENT).json(root))
+    columns = ["image_id", "status", "attempts", "failures", "expires_at", "last_at"]
+    assert bag(streams.read_status(spark, state).select(columns)) == bag(whole.select(columns))
+
+
+def test_a_repeated_micro_batch_keeps_no_old_days(spark, tmp_path):
+    out = str(tmp_path / "o")
+    both = spark.createDataFrame([("p", _at(0)), ("q", _at(48))], "image_id string, uploaded_at timestamp").withColumn("dt", F.to_date("uploaded_at"))
+    tables.write_by_day(both, out, replace_all=True)
+    tables.write_by_day(both.where("image_id = 'p'"), out, replace_all=True)
+    assert [r.image_id for r in spark.read.parquet(out).collect()] == ["p"]
+
+
 def test_kafka_source_needs_its_package(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         streams.kafka_messages(spark, "localhost:9092")

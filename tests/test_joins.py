@@ -79,3 +79,23 @@ def test_measured_bytes_counts_text(spark):
 def test_join_type_is_checked(skewed, side):
     with pytest.raises(ValueError):
         joins.lookup_join(skewed, side, ["k"], "full")
+
+
+def test_equal_rows_of_a_hot_key_are_split(spark, side):
+    rows = spark.range(100_000).select(F.lit(7).alias("k"), F.lit("same").alias("x"))
+    split = {**SPLIT, "salts": 64}
+    for how, expected in (("inner", 100_000), ("left", 100_000), ("left_semi", 100_000), ("left_anti", 0)):
+        assert joins.lookup_join(rows, side, ["k"], how, **split).count() == expected
+    plan = joins.lookup_join(rows, side.hint("merge"), ["k"], "inner", **split)
+    lots = 100_000 // joins._EQUAL_ROWS + 1
+    assert lots > 20 and "_salt" in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_key_is_hot_by_rows_too(spark):
+    even = spark.range(1000).select((F.col("id") % 4).alias("k"))
+    assert joins.hot_keys(even, ["k"], 0.5, most=200).count() == 4
+
+
+def test_nested_columns_count_as_what_they_hold(spark):
+    wide = spark.range(10).select(F.array_repeat(F.lit("abcdefgh"), 1000).alias("a"))
+    assert joins.measured_bytes(wide) > 10 * 8000

@@ -181,3 +181,11 @@ def test_manufacturers_split_out_and_back(spark):
     swapped = sales.items_with_manufacturer_id(items, dimension)
     assert {r.item_id: r.manufacturer_id for r in swapped.collect()} == {1: 2, 2: 1, 3: 2}
     assert "manufacturer_name" not in swapped.columns
+
+
+def test_items_without_manufacturer_keep_none(spark):
+    items = spark.createDataFrame([(1, "a", "Zed", D("1"), D("1")), (2, "b", None, D("1"), D("1")), (3, "c", "Abe", D("1"), D("1"))], ITEM)
+    dimension = sales.manufacturer_dimension(items)
+    assert bag(dimension.select("manufacturer_name", "manufacturer_id")) == [("Abe", 1), ("Zed", 2)]
+    swapped = sales.items_with_manufacturer_id(items, dimension)
+    assert {r.item_id: r.manufacturer_id for r in swapped.collect()} == {1: 2, 2: None, 3: 1}
