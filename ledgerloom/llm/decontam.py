@@ -22,7 +22,11 @@ RANK = 64
 SEED = 5
 
 #: Cosine in the latent space from which a passage is compared word by word.
-COSINE = 0.4
+COSINE = 0.6
+
+#: Mass of the items' passages in the matrix, in that of all documents' passages: the rank must
+#: tell the items apart, not the common words of the documents.
+ITEM_MASS = 20.0
 
 #: Longest common subsequence, as a share of the item's words: from the first on it is a copy,
 #: from the second on a paraphrase, provided the answer is there too.
@@ -38,6 +42,7 @@ BENCHMARK_BYTES = 8 << 20
 _PUNCTUATION = bytes(0x20 if b < 0x80 and not chr(b).isalnum() else b for b in range(256))
 _OCCURRENCES = 200_000
 _PAIRS = 1 << 22
+_PIECE = 32
 _SENTENCE = re.compile(r"[.?!;\n]+")
 _ANSWER = re.compile(r"(?i)\banswer\s*[:=]")
 
@@ -125,15 +130,38 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarr
         at = stop
 
 
-def _sums(features: np.ndarray, block: np.ndarray, blocks: int) -> np.ndarray:
-    """Sums of consecutive rows with the same block; ``block`` ascends."""
-    out = np.zeros((blocks, features.shape[1]), features.dtype)
-    if len(block):
-        starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        out[block[starts]] = np.add.reduceat(features, starts, axis=0)
+def _sums(table: np.ndarray, rows: np.ndarray, block: np.ndarray, blocks: int) -> np.ndarray:
+    """Sums of ``table[rows]`` over equal values of ``block``, which ascends.
+
+    Adds the first rows of all blocks, then the second ones, and so on: a few whole-array steps
+    where the longest block is short.
+    """
+    counts = np.bincount(block, minlength=blocks)
+    start = np.cumsum(counts) - counts
+    order = np.argsort(-counts, kind="stable")
+    falling, begin = -counts[order], start[order]
+    sums = np.zeros((blocks, table.shape[1]), table.dtype)
+    for place in range(int(counts.max(initial=0))):
+        still = int(np.searchsorted(falling, -place, side="left"))
+        sums[:still] += table[rows[begin[:still] + place]]
+    out = np.empty_like(sums)
+    out[order] = sums
     return out
 
 
+def _add_by_term(total: np.ndarray, vectors: np.ndarray, rows: np.ndarray, terms: np.ndarray) -> None:
+    """Adds ``vectors[rows]`` to the lines of ``total`` named by ``terms``."""
+    order = np.argsort(terms.astype(np.int16) if len(total) < 1 << 15 else terms, kind="stable")
+    ordered = terms[order]
+    if not len(ordered):
+        return
+    fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    inside = np.arange(len(ordered)) - np.maximum.accumulate(np.where(fresh, np.arange(len(ordered)), 0))
+    piece = inside % _PIECE == 0
+    sums = _sums(vectors, rows[order], np.cumsum(piece) - 1, int(piece.sum()))
+    np.add.at(total, ordered[piece], sums)
+
+
 def _passages(sums: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Passage vectors: a block and the next one of the same document. Also: is there a passage at the block?"""
     last = np.zeros(len(sums), bool)
@@ -168,18 +196,14 @@ def _sketcher(weights: np.ndarray, test: np.ndarray):
         for batch in batches:
             for _, block, terms, blocks in _slices(batch):
                 n = int(blocks.sum())
-                image, there = _passages(_sums(table[terms], block, n), blocks)
-                length, _ = _passages(_sums(square[terms], block, n), blocks)
+                image, there = _passages(_sums(table, terms, block, n), blocks)
+                length, _ = _passages(_sums(square, terms, block, n), blocks)
                 image *= there[:, None] / np.maximum(length, 1e-12)
                 # An occurrence lies in the passage that starts at its block and in the one before.
                 behind = np.zeros_like(image)
                 behind[1:] = image[:-1]
                 behind[np.cumsum(blocks) - blocks] = 0
-                order = np.argsort(terms, kind="stable")
-                ordered = terms[order]
-                if len(ordered):
-                    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-                    total[ordered[starts]] += np.add.reduceat((image + behind)[block[order]], starts, axis=0)
+                _add_by_term(total, image + behind, block, terms)
         hit = np.flatnonzero(total.any(1))
         lines = (total * weights[:, None])[hit]
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(list(lines), pa.list_(pa.float64()))], ["term", "line"])
@@ -203,7 +227,7 @@ def latent_space(found: DataFrame, items: Items, documents: int, rank: int = RAN
     """Term weights, and the latent basis times these weights (terms x rank).
 
     Inverse document frequencies count all documents. The matrix of TF-IDF passages A (all
-    documents' and, weighted to the same mass, the items') is never gathered: every partition
+    documents' and, ITEM_MASS times as heavy, the items') is never gathered: every partition
     adds up A'(A test) for a random ``test`` of ``rank`` columns, tasks add the lines of a term, and
     the leading right singular vectors follow from that one sketch (Nystrom). Terms are those of
     the items: others cannot bring a passage nearer to an item.
@@ -224,7 +248,7 @@ def latent_space(found: DataFrame, items: Items, documents: int, rank: int = RAN
     for row in lines.mapInArrow(add_lines, "term long, line array<double>").collect():
         sketch[row["term"]] = row["line"]
     rows, _ = _item_rows(items, weights, size)
-    mass = max(1.0, passages / max(1, len(rows)))
+    mass = ITEM_MASS * max(1.0, passages / max(1, len(rows)))
     for some, values in rows:
         np.add.at(sketch, some, mass * values[:, None] * (values @ test[some]))
     shift = 1e-9 * np.linalg.norm(sketch) + 1e-12
@@ -263,7 +287,7 @@ def _searcher(items: Items, table: np.ndarray, targets: np.ndarray, owner: np.nd
             out = []
             all_places, all_terms = batch.column("places"), batch.column("terms")
             for rows, block, terms, blocks in _slices(batch):
-                vectors, there = _passages(_sums(small[terms], block, int(blocks.sum())), blocks)
+                vectors, there = _passages(_sums(small, terms, block, int(blocks.sum())), blocks)
                 norms = np.linalg.norm(vectors, axis=1)
                 usable = np.flatnonzero(there & (norms > 1e-9))
                 first = np.cumsum(blocks) - blocks

@@ -64,6 +64,22 @@ def test_given_documents(spark):
     assert {r.doc_id for r in left.collect()} == set(texts) - {d for d, _ in found} and left.schema == docs.schema
 
 
+def test_sums():
+    rng = np.random.default_rng(1)
+    table_, rows = rng.normal(size=(50, 3)), rng.integers(0, 50, 400)
+    block = np.sort(rng.integers(0, 90, 400))
+    expected = np.zeros((95, 3))
+    np.add.at(expected, block, table_[rows])
+    assert np.allclose(dc._sums(table_, rows, block, 95), expected)
+    total, by_term = np.zeros((7, 3)), np.zeros((7, 3))
+    terms = rng.integers(0, 5, 400)
+    dc._add_by_term(total, table_, rows, terms)
+    np.add.at(by_term, terms, table_[rows])
+    assert np.allclose(total, by_term)
+    empty = np.zeros(0, np.int64)
+    assert dc._sums(table_, empty, empty, 2).sum() == 0
+
+
 def test_common_order():
     rng = random.Random(3)
     for _ in range(200):
@@ -102,7 +118,7 @@ def test_the_sketch_finds_the_leading_space(planted, spark):
             if mass:
                 passages.append(v / mass)
     own, _ = dc._item_rows(some, weights, 0)
-    scale = np.sqrt(max(1.0, len(passages) / len(own)))
+    scale = np.sqrt(dc.ITEM_MASS * max(1.0, len(passages) / len(own)))
     for words, values in own:
         v = np.zeros(len(some.terms))
         np.add.at(v, words, values)
