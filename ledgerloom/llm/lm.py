@@ -18,7 +18,7 @@ from .common import add_lines, lowered_words, stored
 
 #: Kinds of texts, told apart by their letters; one is spelt out before a text.
 CLASSES = 8
-CLASS_ROUNDS = 3
+CLASS_ROUNDS = 2
 
 #: Each predictor has 2 ** bits slots, whatever the size of the corpus. The first SHORT have
 #: the last few bytes as context; they count each word once and serve words of any kind. The
@@ -36,7 +36,8 @@ GATES = 16 * 4 * 4
 #: Words with their counts that every task holds; rarer words are looked up by a join.
 HEAD_WORDS = 1 << 19
 
-#: Words a task keeps numbered before it starts anew.
+#: Words a task keeps numbered before it starts anew, when it counts and when it scores.
+COUNTED_WORDS = 400_000
 REMEMBERED_WORDS = 200_000
 
 #: Steps of the mixer: share of a Newton step per weight, chunks until it is halved, the
@@ -61,6 +62,9 @@ _REFINED = 33
 _LETTERS = 512
 _STARTS = 64
 _BLOCK = 1 << 20
+
+#: Documents scored at once.
+_DOCUMENTS = 500
 _TEXT = ["word"] + [f"n{c}" for c in range(CLASSES)]
 WORD_SCHEMA = ", ".join(["word string"] + [f"n{c} long" for c in range(CLASSES)])
 
@@ -170,7 +174,7 @@ def _word_counter(centres: np.ndarray):
                 raw = text.as_py() or b""
                 held.append((_tokens(vocabulary, raw), text_class(raw, centres)))
                 size += len(held[-1][0])
-                if len(vocabulary.words) > REMEMBERED_WORDS or size > 8_000_000:
+                if len(vocabulary.words) > COUNTED_WORDS or size > 8_000_000:
                     yield flush()
                     vocabulary, held, size = Vocabulary(), [], 0
         if held:
@@ -512,7 +516,7 @@ def _scorer(sent, centres: np.ndarray, complete: bool):
         cost = np.zeros((0, CLASSES))
         logs, seen = np.zeros(0), np.zeros(0, np.int8)
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in (whole.slice(at, _DOCUMENTS) for whole in batches for at in range(0, whole.num_rows, _DOCUMENTS)):
             if known > REMEMBERED_WORDS:
                 vocabulary, known = Vocabulary(), 0
                 cost, logs, seen = np.zeros((0, CLASSES)), np.zeros(0), np.zeros(0, np.int8)
@@ -531,14 +535,18 @@ def _scorer(sent, centres: np.ndarray, complete: bool):
 
             pairs = [tokens * CLASSES + text_class(t, centres) for tokens, t in zip(docs, raw)]
             flat = cost.reshape(-1)
-            wanted = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+            wanted = np.unique(np.concatenate(pairs))
             wanted = wanted[np.isnan(flat[wanted])]
             flat[wanted] = model.costs([vocabulary.words[w] for w in wanted // CLASSES], wanted % CLASSES)
             sizes = np.array([len(w) + 1 for w in vocabulary.words], np.int64)
-            rest = []
-            for tokens in docs:
-                left, times = np.unique(tokens[seen[tokens] < 0], return_counts=True)
-                rest.append([{"word": vocabulary.words[w].decode(), "n": int(n)} for w, n in zip(left, times)])
+            left = [np.unique(tokens[seen[tokens] < 0], return_counts=True) for tokens in docs]
+            rest = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum([len(w) for w, _ in left])]).astype(np.int32)),
+                pa.StructArray.from_arrays([
+                    pa.array([vocabulary.words[w] for words, _ in left for w in words], pa.binary()).cast(pa.string()),
+                    pa.array(np.concatenate([n for _, n in left]).astype(np.int64)),
+                ], ["word", "n"]),
+            )
             yield pa.RecordBatch.from_arrays([
                 pa.array(row + np.arange(len(docs))),
                 batch.column("doc_id"), batch.column("held_out"),
@@ -547,7 +555,7 @@ def _scorer(sent, centres: np.ndarray, complete: bool):
                 pa.array([int(sizes[t].sum()) for t in docs], pa.int64()),
                 pa.array([float(logs[t].sum()) for t in docs], pa.float64()),
                 pa.array([float(flat[p].sum()) - math.log10(CLASSES) for p in pairs], pa.float64()),
-                pa.array(rest, pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))),
+                rest,
             ], ["row", "doc_id", "held_out", "n_tokens", "known", "bytes", "logs", "score", "rest"])
             row += len(docs)
 
