@@ -14,11 +14,23 @@ from ..session import scratch_path
 #: ASCII white space; everything else belongs to words.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 _BLOCK = 1 << 20
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Batches of rows sent to Python hold at most so many rows and about so many bytes.
+
+    Texts may be long, and the default counts ten thousand of them at a time.
+    """
+    for key, most in _BATCHES.items():
+        spark.conf.set(key, most)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -28,6 +40,7 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     Cuts the lineage: what is read afterwards does not depend on executors that
     computed it. Compressed columns take less room there than a checkpoint.
     """
+    bound_batches(frame.sparkSession)
     path = scratch_path(frame.sparkSession, label)
     frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
