@@ -105,8 +105,8 @@ def letters(text: bytes) -> np.ndarray:
 
 
 def text_class(text: bytes, centres: np.ndarray) -> int:
-    """The nearest centre; texts without pairs of bytes are of the first kind."""
-    return int(np.argmax(centres @ letters(text))) if len(centres) else 0
+    """The nearest centre; texts without words are of the first kind."""
+    return int(np.argmax(centres @ letters(text))) if text and not text.isspace() else 0
 
 
 def _class_sums(centres: np.ndarray):

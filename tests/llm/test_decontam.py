@@ -22,7 +22,7 @@ def planted(spark):
     def prose(n):
         return " ".join(rng.choice(words) + rng.choice(["", "", "", ",", "."]) for _ in range(n))
 
-    items = [(i, prose(rng.randint(18, 90)) + ". Answer: " + prose(5)) for i in range(12)]
+    items = [(i, prose(rng.randint(18, 90)) + ". Answer: " + prose(8)) for i in range(12)]
     items += [(90, ""), (91, None), (None, "no id here at all")]
     docs, expected = [], set()
     for n in range(300):
@@ -32,9 +32,9 @@ def planted(spark):
             at = text.find(" ", at) if text.find(" ", at) >= 0 else len(text)
             body = item[1].split()
             if kind == 1:  # every seventh word goes, with changed case and signs
-                body = [w.upper() + "!" for i, w in enumerate(body[:-6]) if i % 7] + body[-6:]
+                body = [w.upper() + "!" for i, w in enumerate(body[:-9]) if i % 7] + body[-9:]
             if kind == 2:  # the answer is missing and a fifth of the words: no hit
-                body = [w for i, w in enumerate(body[:-6]) if i % 5]
+                body = [w for i, w in enumerate(body[:-9]) if i % 5]
             else:
                 expected.add((n, item[0]))
             text = text[:at] + " " + " ".join(body) + " " + text[at:]
