@@ -14,7 +14,7 @@ from ..session import scratch_path
 #: ASCII white space; everything else belongs to words.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
-_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "250", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 _BLOCK = 1 << 20
@@ -23,7 +23,7 @@ _BLOCK = 1 << 20
 def bound_batches(spark: SparkSession) -> None:
     """Batches of rows sent to Python hold at most so many rows and about so many bytes.
 
-    Texts may be long, and the default counts ten thousand of them at a time.
+    Texts may be long, and the default takes ten thousand of them at a time.
     """
     for key, most in _BATCHES.items():
         spark.conf.set(key, most)

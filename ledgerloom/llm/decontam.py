@@ -40,8 +40,8 @@ ANSWER = 0.75
 BENCHMARK_BYTES = 8 << 20
 
 _PUNCTUATION = bytes(0x20 if b < 0x80 and not chr(b).isalnum() else b for b in range(256))
-_OCCURRENCES = 200_000
-_PAIRS = 1 << 22
+_OCCURRENCES = 50_000
+_PAIRS = 1 << 20
 _PIECE = 32
 _SENTENCE = re.compile(r"[.?!;\n]+")
 _ANSWER = re.compile(r"(?i)\banswer\s*[:=]")
