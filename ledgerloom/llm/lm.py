@@ -38,7 +38,7 @@ HEAD_WORDS = 1 << 19
 
 #: Words a task keeps numbered before it starts anew, when it counts and when it scores.
 COUNTED_WORDS = 400_000
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 500_000
 
 #: Steps of the mixer: share of a Newton step per weight, chunks until it is halved, the
 #: curvature a weight is taken to have before anything is seen, and the largest step.
@@ -513,13 +513,13 @@ def _scorer(sent, centres: np.ndarray, complete: bool):
         hashes, head, code, *parts = sent.value
         model = MixingModel(ByteCode(*code), *parts)
         vocabulary, known = Vocabulary(), 0
-        cost = np.zeros((0, CLASSES))
-        logs, seen = np.zeros(0), np.zeros(0, np.int8)
+        cost = np.zeros((0, CLASSES), np.float32)
+        logs, seen, sizes = np.zeros(0), np.zeros(0, np.int8), np.zeros(0, np.int64)
         row = TaskContext.get().partitionId() << 33
         for batch in (whole.slice(at, _DOCUMENTS) for whole in batches for at in range(0, whole.num_rows, _DOCUMENTS)):
             if known > REMEMBERED_WORDS:
                 vocabulary, known = Vocabulary(), 0
-                cost, logs, seen = np.zeros((0, CLASSES)), np.zeros(0), np.zeros(0, np.int8)
+                cost, logs, seen, sizes = np.zeros((0, CLASSES), np.float32), np.zeros(0), np.zeros(0, np.int8), np.zeros(0, np.int64)
             raw = [t.as_py() or b"" for t in batch.column("text").cast(pa.binary())]
             docs = [_tokens(vocabulary, t) for t in raw]
             fresh = vocabulary.words[known:]
@@ -530,7 +530,8 @@ def _scorer(sent, centres: np.ndarray, complete: bool):
             logs = np.concatenate([logs, np.log10(number + 1.0)])
             # 1: known, 0: not among the training words, -1: to be looked up.
             seen = np.concatenate([seen, np.where(found, 1, 0 if complete else -1).astype(np.int8)])
-            cost = np.concatenate([cost, np.full((len(fresh), CLASSES), np.nan)])
+            cost = np.concatenate([cost, np.full((len(fresh), CLASSES), np.nan, np.float32)])
+            sizes = np.concatenate([sizes, np.fromiter(map(len, fresh), np.int64, len(fresh)) + 1])
             known = len(vocabulary.words)
 
             pairs = [tokens * CLASSES + text_class(t, centres) for tokens, t in zip(docs, raw)]
@@ -538,7 +539,6 @@ def _scorer(sent, centres: np.ndarray, complete: bool):
             wanted = np.unique(np.concatenate(pairs))
             wanted = wanted[np.isnan(flat[wanted])]
             flat[wanted] = model.costs([vocabulary.words[w] for w in wanted // CLASSES], wanted % CLASSES)
-            sizes = np.array([len(w) + 1 for w in vocabulary.words], np.int64)
             left = [np.unique(tokens[seen[tokens] < 0], return_counts=True) for tokens in docs]
             rest = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum([len(w) for w, _ in left])]).astype(np.int32)),
@@ -554,7 +554,7 @@ def _scorer(sent, centres: np.ndarray, complete: bool):
                 pa.array([int((seen[t] > 0).sum()) for t in docs], pa.int64()),
                 pa.array([int(sizes[t].sum()) for t in docs], pa.int64()),
                 pa.array([float(logs[t].sum()) for t in docs], pa.float64()),
-                pa.array([float(flat[p].sum()) - math.log10(CLASSES) for p in pairs], pa.float64()),
+                pa.array([float(flat[p].sum(dtype=np.float64)) - math.log10(CLASSES) for p in pairs], pa.float64()),
                 rest,
             ], ["row", "doc_id", "held_out", "n_tokens", "known", "bytes", "logs", "score", "rest"])
             row += len(docs)
