@@ -13,20 +13,20 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import stored
 
 #: Neighbours a node keeps; as many nodes that point to it take part in a round.
-NEIGHBOURS = 16
+NEIGHBOURS = 20
 
 #: Rounds of neighbours of neighbours.
-ROUNDS = 4
+ROUNDS = 5
 
 #: New neighbours that one meeting may propose to a node.
-PROPOSALS = 6
+PROPOSALS = 8
 
 #: First neighbours come from hash trees (random hyperplanes) and one random dealing.
-TREES = 3
-BLOCK = 128
+TREES = 20
+BLOCK = 1024
 
 #: Nodes a query keeps in view; it stops when all of them have been expanded.
-BEAM = 40
+BEAM = 96
 
 #: Nodes that a query from outside the index starts at.
 ENTRIES = 64
