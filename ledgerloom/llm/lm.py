@@ -6,7 +6,7 @@ import heapq
 import math
 import zlib
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +20,12 @@ from .common import add_lines, lowered_words, stored
 CLASSES = 8
 CLASS_ROUNDS = 2
 
-#: Each predictor has 2 ** bits slots, whatever the size of the corpus. The first SHORT have
-#: the last few bytes as context; they count each word once and serve words of any kind. The
-#: others have all bytes of the token; they count the most frequent words only, as many as
-#: their tables hold without too many collisions.
-TABLE_BITS = (17, 18, 20, 20, 20)
-PREDICTORS = len(TABLE_BITS)
-SHORT = 3
-SLOTS_PER_WORD = 32
+#: Each predictor has a table of 2 ** bits slots, at least SLOTS_PER_DECISION for each distinct
+#: decision in a context of the corpus; these are counted among one in _SAMPLED, chosen by hash.
+PREDICTORS = 5
+SLOTS_PER_DECISION = 1.5
+LEAST_BITS = 16
+_SAMPLED = 64
 
 #: Gates choose the set of weights: how often the contexts of predictors 5, 4 and 3 were seen,
 #: in powers of two up to 15, and in powers of four up to 3.
@@ -55,9 +53,10 @@ _LOT = 64
 
 #: Lessons between two looks at the curvature.
 _CURVES = 4
+
+#: Places of the tables that a task holds before it adds them up and sends them.
+_HELD_PLACES = 1 << 22
 _SLICE = 1 << 16
-_STARTS_AT = np.concatenate([[0], np.cumsum([1 << b for b in TABLE_BITS])]).astype(np.uint32)
-_SLOTS = int(_STARTS_AT[-1])
 _REFINED = 33
 _LETTERS = 512
 _STARTS = 64
@@ -197,11 +196,19 @@ def _hash(value: np.ndarray, salt: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class ByteCode:
-    """Binary decisions that spell a byte: the node passed and the bit taken at each, by byte."""
+    """Binary decisions that spell a byte: the node passed and the bit taken at each, by byte.
+
+    ``sizes``: bits of each predictor's table.
+    """
 
     nodes: np.ndarray
     bits: np.ndarray
     lengths: np.ndarray
+    sizes: tuple[int, ...] = (LEAST_BITS,) * PREDICTORS
+
+    @property
+    def slots(self) -> int:
+        return sum(1 << size for size in self.sizes)
 
 
 def byte_code(counts: np.ndarray) -> ByteCode:
@@ -252,7 +259,20 @@ class Spelling:
 
 
 def spell(words: Sequence[bytes], classes: np.ndarray, code: ByteCode) -> Spelling:
-    """Decisions for words and their closing space, with the slots their contexts hash to.
+    """Decisions for words and their closing space, with the slots their contexts hash to."""
+    hashed, bits, nodes, owner, first = _decisions(words, classes, code)
+    # Places are two for each slot; 32 bits are faster where they do.
+    wide = np.uint32 if 2 * code.slots < 1 << 32 else np.int64
+    slots, begin = np.empty((PREDICTORS, len(bits)), wide), 0
+    for row, (own, size) in enumerate(zip(hashed, code.sizes)):
+        slots[row] = own >> np.uint32(32 - size)
+        slots[row] += wide(begin)
+        begin += 1 << size
+    return Spelling(slots, bits, nodes, owner, first)
+
+
+def _decisions(words: Sequence[bytes], classes: np.ndarray, code: ByteCode):
+    """Hashes of each decision in its contexts (one array for each predictor), bits, nodes, owner and first.
 
     The five contexts of a byte lie inside its token: two, three and four bytes before it, each
     with the kind of text, all bytes before it, and these with the kind of text.
@@ -290,20 +310,16 @@ def spell(words: Sequence[bytes], classes: np.ndarray, code: ByteCode) -> Spelli
     letter = data[place]
     nodes, bits = code.nodes[letter, step], code.bits[letter, step]
     spread = nodes * np.uint32(0x9E3779B1)
-    slots = np.stack([
-        (((context[place] ^ spread) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - size)) + begin
-        for context, size, begin in zip(contexts, TABLE_BITS, _STARTS_AT)
-    ])
-    return Spelling(slots, bits, nodes, owner[place], start[first])
+    hashed = [(context[place] ^ spread) * np.uint32(0x27D4EB2F) for context in contexts]
+    return hashed, bits, nodes, owner[place], start[first]
 
 
-def _words_of(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Words, kinds of text and counts of the pairs that occur, and whether the word is a frequent one."""
+def _words_of(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words, kinds of text and counts of the pairs that occur."""
     counts = np.stack([batch.column(1 + c).to_numpy() for c in range(CLASSES)], 1)
     rows, classes = np.nonzero(counts)
     words = batch.column(0).cast(pa.binary()).to_pylist()
-    frequent = batch.column("frequent").to_numpy(zero_copy_only=False)
-    return [words[r] for r in rows], classes, counts[rows, classes], frequent[rows]
+    return [words[r] for r in rows], classes, counts[rows, classes]
 
 
 def _chunks(size: int, *columns: Sequence):
@@ -311,53 +327,94 @@ def _chunks(size: int, *columns: Sequence):
         yield [c[at:at + size] for c in columns]
 
 
+def _decision_finder(code: ByteCode):
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Hashes of one in _SAMPLED decisions, by predictor."""
+        for batch in batches:
+            for words, classes, _ in _chunks(_CHUNK, *_words_of(batch)):
+                # Scrambled, so that the sample does not follow the order of the slots.
+                own = [np.unique(h[_hash(h, 9) < np.uint32((1 << 32) // _SAMPLED)]) for h in _decisions(words, classes, code)[0]]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(np.arange(PREDICTORS), [len(h) for h in own])), pa.array(np.concatenate(own).astype(np.int64)),
+                ], ["predictor", "hash"])
+
+    return find
+
+
+def table_sizes(words: DataFrame, code: ByteCode) -> tuple[int, ...]:
+    """Bits of each predictor's table, from the distinct decisions in its contexts over all of ``words``."""
+    found = words.mapInArrow(_decision_finder(code), "predictor long, hash long").distinct()
+    counts = {r["predictor"]: r["n"] for r in found.groupBy("predictor").agg(F.count(F.lit(1)).alias("n")).collect()}
+    wanted = [max(1.0, SLOTS_PER_DECISION * _SAMPLED * counts.get(p, 0)) for p in range(PREDICTORS)]
+    # Hashes have 32 bits.
+    return tuple(min(32, max(LEAST_BITS, math.ceil(math.log2(n)))) for n in wanted)
+
+
 def _table_filler(code: ByteCode):
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Bit counts of one partition, as slices of the tables: places and counts of what is not zero."""
-        tables = np.zeros(2 * _SLOTS, np.int64)
-        for batch in batches:
-            for words, classes, counts, frequent in _chunks(_CHUNK, *_words_of(batch)):
-                spelt = spell(words, classes, code)
-                places = spelt.slots * np.uint32(2) + spelt.bits
-                np.add.at(tables, places[:SHORT].ravel(), 1)
-                own = np.flatnonzero(frequent[spelt.owner])
-                weight = counts[spelt.owner[own]]
-                for predictor in range(SHORT, PREDICTORS):
-                    np.add.at(tables, places[predictor][own], weight)
-        for number in range(0, len(tables), _SLICE):
-            part = tables[number:number + _SLICE]
-            hit = np.flatnonzero(part)
-            if len(hit):
+        held, size = [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            places, weight = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            order = np.argsort(places, kind="stable")
+            places = places[order].astype(np.int64)
+            fresh = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
+            sums, places = np.add.reduceat(weight[order], fresh), places[fresh]
+            edges = np.flatnonzero(np.concatenate([[True], places[1:] // _SLICE != places[:-1] // _SLICE]))
+            for begin, end in zip(edges, np.append(edges[1:], len(places))):
+                inside = (places[begin:end] % _SLICE).astype("<u4")
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([number // _SLICE], pa.int32()), pa.array([zlib.compress(hit.astype("<u4").tobytes() + part[hit].tobytes(), 1)])
+                    pa.array([int(places[begin]) // _SLICE], pa.int32()),
+                    pa.array([zlib.compress(inside.tobytes() + sums[begin:end].astype("<i8").tobytes(), 1)]),
                 ], ["slice", "data"])
 
+        for batch in batches:
+            for words, classes, counts in _chunks(_CHUNK, *_words_of(batch)):
+                spelt = spell(words, classes, code)
+                places = spelt.slots * spelt.slots.dtype.type(2) + spelt.bits
+                held.append((places.ravel(), np.tile(counts[spelt.owner], PREDICTORS)))
+                size += places.size
+                if size > _HELD_PLACES:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
+            yield from flush()
+
     return fill
 
 
 def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
+    """Sums of the parts of each slice; rows come ordered by slice, so one is held at a time."""
+    now, part = None, np.zeros(_SLICE, np.int64)
+
+    def done() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)])], ["slice", "data"])
+
     for batch in batches:
         for number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if number != now:
+                if now is not None:
+                    yield done()
+                now, part = number, np.zeros(_SLICE, np.int64)
             raw = zlib.decompress(data)
             hit = np.frombuffer(raw, "<u4", len(raw) // 12)
-            part = sums.setdefault(number, np.zeros(_SLICE, np.int64))
             part[hit] += np.frombuffer(raw, "<i8", len(raw) // 12, len(raw) // 12 * 4)
-    for number, part in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)])], ["slice", "data"])
+    if now is not None:
+        yield done()
 
 
 def bit_tables(words: DataFrame, code: ByteCode) -> np.ndarray:
     """Counts of zeros and ones per slot, over all tokens of ``words``.
 
-    Each partition adds up its own tables and sends slices; tasks add slices. The result has
-    two numbers per slot at any size of the corpus.
+    Each partition adds up its own places and sends slices; tasks add slices. The result has
+    two numbers per slot, and slots in proportion to the distinct decisions of the corpus.
     """
-    parts = words.mapInArrow(_table_filler(code), "slice int, data binary").repartition("slice")
-    tables = np.zeros((-(-2 * _SLOTS // _SLICE), _SLICE), np.float32)
+    parts = words.mapInArrow(_table_filler(code), "slice int, data binary").repartition("slice").sortWithinPartitions("slice")
+    tables = np.zeros((-(-2 * code.slots // _SLICE), _SLICE), np.float32)
     for row in parts.mapInArrow(_add_slices, "slice int, data binary").toLocalIterator():
         tables[row["slice"]] = np.frombuffer(zlib.decompress(row["data"]), "<i8")
-    return tables.ravel()[:2 * _SLOTS].reshape(-1, 2)
+    return tables.ravel()[:2 * code.slots].reshape(-1, 2)
 
 
 def _stretch(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -391,16 +448,12 @@ def _mixer(sent, code: ByteCode):
         weights, total, lesson = start_weights().astype(np.float64), 0.0, 0
         refined, curves = np.zeros((2, 256 * _REFINED)), None
         for batch in batches:
-            lots = (batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_numpy(), batch.column(2).to_numpy(),
-                    batch.column(3).to_numpy(zero_copy_only=False))
-            for words, classes, counts, frequent in _chunks(_LESSON, *lots):
+            lots = (batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_numpy(), batch.column(2).to_numpy())
+            for words, classes, counts in _chunks(_LESSON, *lots):
                 spelt = spell(words, classes, code)
                 weight = counts[spelt.owner].astype(np.float64)
-                # A token must not vouch for itself: where it was counted, one such bit is taken out.
-                places = spelt.slots * np.uint32(2) + spelt.bits
-                other = ~frequent[spelt.owner]
-                for predictor in range(SHORT, PREDICTORS):
-                    places[predictor] = np.where(other, spelt.slots[predictor] + np.uint32(2 * _SLOTS), places[predictor])
+                # A token must not vouch for itself: one such bit is taken out.
+                places = spelt.slots * spelt.slots.dtype.type(2) + spelt.bits
                 inputs = odds[places].astype(np.float32)
                 z, gates = _weighted(weights, inputs, seen[places])
                 mixed = 1 / (1 + np.exp(-z))
@@ -460,33 +513,31 @@ def fit(words: DataFrame) -> MixingModel:
     each mixed prediction, is added up alongside.
     """
     context = words.sparkSession.sparkContext
-    total = sum((F.col(f"n{c}") for c in range(CLASSES)), F.lit(0))
-    words = words.withColumn("frequent", total >= least_count(words.select(total.alias("n")), (1 << TABLE_BITS[-1]) // SLOTS_PER_WORD))
     letters_ = words.select("word").mapInArrow(_count_bytes, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
     seen_bytes = np.zeros(256, np.int64)
     for row in letters_:
         seen_bytes[row["byte"]] = row["n"]
     code = byte_code(seen_bytes)
+    code = replace(code, sizes=table_sizes(words, code))
     counts = bit_tables(words, code)
     zeros, ones = counts[:, 0], counts[:, 1]
     odds, seen = _stretch(zeros, ones)
-    # Per slot: without a zero, without a one; then all slots as they are. 9 bytes a slot.
-    all_odds, all_seen = np.zeros(3 * len(odds), np.float16), np.zeros(3 * len(odds), np.uint8)
-    all_odds[2 * len(odds):], all_seen[2 * len(odds):] = odds, seen
+    # Per slot: without a zero, without a one. 6 bytes a slot.
+    all_odds, all_seen = np.zeros(2 * len(odds), np.float16), np.zeros(2 * len(odds), np.uint8)
     for bit in (0, 1):
         counts[:, bit] -= 1
-        all_odds[bit:2 * len(odds):2], all_seen[bit:2 * len(odds):2] = _stretch(zeros, ones)
+        all_odds[bit::2], all_seen[bit::2] = _stretch(zeros, ones)
         counts[:, bit] += 1
     del counts, zeros, ones
     sent = context.broadcast((all_odds, all_seen))
     del all_odds, all_seen
     kinds = F.posexplode(F.array(*[F.col(f"n{c}") for c in range(CLASSES)])).alias("kind", "n")
     lots = (
-        words.select("word", kinds, "frequent").where("n > 0")
+        words.select("word", kinds).where("n > 0")
         .withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _LOT))))
         .withColumn("n", F.least(F.lit(_LOT).cast("long"), F.col("n") - F.col("lot") * _LOT))
         .withColumn("order", F.xxhash64("word", "kind", "lot"))
-        .repartition("order").sortWithinPartitions("order").select("word", "kind", "n", "frequent")
+        .repartition("order").sortWithinPartitions("order").select("word", "kind", "n")
     )
     learned = lots.mapInArrow(_mixer(sent, code), "cell long, value double, weight double").groupBy("cell").agg(
         F.sum("value").alias("value"), F.sum("weight").alias("weight")
@@ -600,7 +651,7 @@ def scored(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text: s
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words")).first()
     model = fit(words.select(*_TEXT))
     hashes, head, least = _head(words, head_words)
-    code = (model.code.nodes, model.code.bits, model.code.lengths)
+    code = (model.code.nodes, model.code.bits, model.code.lengths, model.code.sizes)
     sent = docs.sparkSession.sparkContext.broadcast((hashes, head, code, model.odds, model.seen, model.weights, model.refined))
     found = stored(
         docs.select(F.col(doc_id).alias("doc_id"), F.col(held_out).alias("held_out"), F.col(text).alias("text"))

@@ -91,6 +91,24 @@ def test_byte_code_is_a_code(counts):
     assert len(paths) == 256 and sum(2.0 ** -n for n in code.lengths) == pytest.approx(1)
 
 
+def test_every_token_teaches_every_predictor(spark):
+    """Words beyond any fixed number count, with their counts, and the tables grow with them."""
+    def some(n):
+        columns = ["concat(substring(md5(cast(id as string)), 1, 7), '') as word", "id % 3 + 1 as n0"]
+        return lm.stored(spark.range(n).selectExpr(*columns, *[f"0L as n{c}" for c in range(1, lm.CLASSES)]), "words")
+
+    code = lm.byte_code(np.ones(256))
+    few, many = some(500), some(60_000)
+    small, large = lm.table_sizes(few, code), lm.table_sizes(many, code)
+    assert all(s <= l for s, l in zip(small, large)) and large[-1] >= small[-1] + 3
+    code = lm.replace(code, sizes=large)
+    tables = lm.bit_tables(many, code)
+    decisions = sum(r.n0 * (code.lengths[list(r.word.encode())].sum() + code.lengths[32]) for r in many.collect())
+    assert tables.sum(dtype=np.float64) == decisions * lm.PREDICTORS
+    # Few words share a slot by chance: most of the last table is free.
+    assert 0.2 < tables[-(1 << large[-1]):].any(1).mean() < 0.7
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark).withColumn("held_out", F.col("doc_id").isNull() | (F.col("doc_id") > 9))
     rows = lm.scored(docs, docs.where(~F.col("held_out"))).collect()
