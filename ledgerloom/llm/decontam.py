@@ -303,7 +303,7 @@ def _searcher(items: Items, table: np.ndarray, targets: np.ndarray, owner: np.nd
                     row, words = rows.start + doc, items.words[item]
                     places = all_places[row].values.to_numpy(zero_copy_only=False)
                     doc_terms = all_terms[row].values.to_numpy(zero_copy_only=False)
-                    best = (0.0, 0.0, 0.0)
+                    best = None
                     for start in sorted({h[0] for h in hits}):
                         left, right = np.searchsorted(places, [
                             start * BLOCK_WORDS - len(words), (start + 2) * BLOCK_WORDS + len(words)
@@ -314,9 +314,10 @@ def _searcher(items: Items, table: np.ndarray, targets: np.ndarray, owner: np.nd
                             continue
                         said = items.answers[item]
                         told = _common_order(answers[item], len(said), region) / len(said) if len(said) else 1.0
-                        best = max(best, (share, told, max(h[1] for h in hits)))
-                    if best[0] >= copy or (best[0] >= paraphrase and best[1] >= answer):
-                        out.append((row, items.ids[item], best[2], best[0], best[1]))
+                        if share >= copy or told >= answer:
+                            best = max(best or (0.0, 0.0), (share, told))
+                    if best:
+                        out.append((row, items.ids[item], max(h[1] for h in hits), *best))
             kept = batch.select(["row_key", "doc_id"]).take(pa.array([o[0] for o in out], pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [kept.column(0), kept.column(1), pa.array([o[1] for o in out], pa.int64()),
@@ -341,7 +342,8 @@ def benchmark_hits(
     a distributed randomised SVD. Passages with a cosine of ``cosine`` or more to a passage of an
     item are candidates. There the longest common subsequence of words between the item and the
     surroundings decides: ``copy`` of the item's words in order is a hit, ``paraphrase`` is one if
-    ``answer`` of the words of the item's answer are in order too.
+    ``answer`` of the words of the item's answer are in order too. Each place of a document is judged
+    by itself; the shares are those of the best place that is a hit.
 
     The benchmark is the query side; it is searched in blocks of about ``benchmark_bytes``, and
     only such a block, its terms and basis are sent to tasks. Documents never move. ``row_key`` is

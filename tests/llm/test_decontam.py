@@ -138,3 +138,19 @@ def test_awkward_rows(spark, planted):
     own = spark.createDataFrame([(1, "the same text twice over")], ITEMS)
     assert {r.doc_id for r in dc.benchmark_hits(docs, own).collect()} == {6, 7}
     assert dc.without_benchmark(docs, own).count() == 12
+
+
+def test_each_region_is_judged_by_itself(spark):
+    """A longer quote without the answer does not hide a shorter one with it."""
+    rng = random.Random(3)
+    words = [f"{a}{b}" for a in ("ka", "mo", "ti", "re", "su", "ne") for b in ("lan", "dor", "vik", "sum", "tes", "mir", "nok")]
+    body, answer = rng.sample(words, 32), ["graen", "luor", "fipis", "bolul", "nesato", "tivike", "modora", "kasumen"]
+    filler = " ".join(f"w{n}" for n in range(400))
+    item = " ".join(body) + ". Answer: " + " ".join(answer)
+    quote = " ".join(body)  # 32 of 40 words, none of the answer
+    paraphrase = " ".join(w for n, w in enumerate(body) if n % 8 not in (1, 4, 6)) + " " + " ".join(answer)  # 28 of 40 words
+    docs = [(1, f"{quote} {filler} {paraphrase}"), (2, f"{paraphrase} {filler} {quote}"), (3, f"{quote} {filler}")]
+    docs += [(n, filler) for n in range(4, 100)]  # all words of the item are about as rare
+    found = dc.benchmark_hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], ITEMS)).collect()
+    assert {r.doc_id for r in found} == {1, 2}
+    assert all(r.answer_share == 1 and 0.6 <= r.order_share < 0.8 for r in found)
