@@ -12,17 +12,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joins import lookup_join
-from .common import add_lines, stored, words_in_blocks
+from .common import add_lines, stored, word_count, words_in_blocks
 
-#: A passage is two blocks of this many words; passages overlap by one block.
+#: A passage is two blocks of this many words; passages overlap by one block. Items of at most a
+#: block are also sought in passages of one block, which overlap by half a block.
 BLOCK_WORDS = 24
 
-#: Columns of the randomised range finder, which is the rank of the latent space.
+#: Columns of the randomised range finder, which is the rank of the latent space: one for each
+#: PASSAGES_PER_RANK passages of items, and at least RANK.
 RANK = 64
+PASSAGES_PER_RANK = 4
 SEED = 5
 
 #: Cosine in the latent space from which a passage is compared word by word.
-COSINE = 0.6
+COSINE = 0.4
 
 #: Mass of the items' passages in the matrix, in that of all documents' passages: the rank must
 #: tell the items apart, not the common words of the documents.
@@ -36,8 +39,10 @@ PARAPHRASE = 0.6
 #: Share of the answer's words that must occur in order.
 ANSWER = 0.75
 
-#: Bytes of benchmark texts searched at once; a larger benchmark is searched in several blocks.
+#: Bytes of benchmark texts, and about the passages of items, searched at once; a larger
+#: benchmark is searched in several blocks, so that rank and tables stay small.
 BENCHMARK_BYTES = 8 << 20
+BENCHMARK_PASSAGES = 1024
 
 _PUNCTUATION = bytes(0x20 if b < 0x80 and not chr(b).isalnum() else b for b in range(256))
 _OCCURRENCES = 50_000
@@ -113,8 +118,11 @@ def _term_finder(terms: dict[bytes, int]):
     return find
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
-    """Documents of a batch, some at a time: rows, block of each occurrence, its term, blocks per document."""
+def _slices(batch: pa.RecordBatch, parts: int = 1) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """Documents of a batch, some at a time: rows, block of each occurrence, its term, blocks per document.
+
+    ``parts``: each block is cut into so many, and occurrences get the number of the part.
+    """
     ends = batch.column("places").value_lengths().to_numpy(zero_copy_only=False).cumsum()
     places = batch.column("places").flatten().to_numpy(zero_copy_only=False)
     terms = batch.column("terms").flatten().to_numpy(zero_copy_only=False)
@@ -126,7 +134,8 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarr
         own = blocks[at:stop]
         counts = np.diff(np.concatenate([[begin], ends[at:stop]]))
         base = np.repeat(np.cumsum(own) - own, counts)
-        yield slice(at, stop), base + places[begin:ends[stop - 1]] // BLOCK_WORDS, terms[begin:ends[stop - 1]], own
+        part = base * parts + places[begin:ends[stop - 1]] // (BLOCK_WORDS // parts)
+        yield slice(at, stop), part, terms[begin:ends[stop - 1]], own
         at = stop
 
 
@@ -223,7 +232,7 @@ def _item_rows(items: Items, weights: np.ndarray, width: int) -> tuple[np.ndarra
     return rows, np.array(owner, np.int64)
 
 
-def latent_space(found: DataFrame, items: Items, documents: int, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
+def latent_space(found: DataFrame, items: Items, documents: int, rank: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Term weights, and the latent basis times these weights (terms x rank).
 
     Inverse document frequencies count all documents. The matrix of TF-IDF passages A (all
@@ -241,13 +250,13 @@ def latent_space(found: DataFrame, items: Items, documents: int, rank: int = RAN
         else:
             frequency[row["term"]] = row["n"]
     weights = np.log((documents + 1.0) / (frequency + 0.5)).clip(1e-3)
-    rank = min(rank, size)
+    rows, _ = _item_rows(items, weights, size)
+    rank = min(rank or max(RANK, -(-len(rows) // PASSAGES_PER_RANK)), size)
     test, _ = np.linalg.qr(np.random.default_rng(SEED).normal(size=(size, rank)))
     sketch = np.zeros((size, rank))
     lines = found.mapInArrow(_sketcher(weights, test), "term long, line array<double>").repartition("term")
     for row in lines.mapInArrow(add_lines, "term long, line array<double>").collect():
         sketch[row["term"]] = row["line"]
-    rows, _ = _item_rows(items, weights, size)
     mass = ITEM_MASS * max(1.0, passages / max(1, len(rows)))
     for some, values in rows:
         np.add.at(sketch, some, mass * values[:, None] * (values @ test[some]))
@@ -277,37 +286,45 @@ def _masks(words: np.ndarray) -> dict[int, int]:
     return masks
 
 
+def _note_near(near: dict, sums: np.ndarray, blocks: np.ndarray, width: int, targets: np.ndarray, owner: np.ndarray, cosine: float) -> None:
+    """Adds (first word, end, cosine) of passages of two blocks of ``width`` words, by document and item."""
+    vectors, there = _passages(sums, blocks)
+    norms = np.linalg.norm(vectors, axis=1)
+    usable = np.flatnonzero(there & (norms > 1e-9))
+    first = np.cumsum(blocks) - blocks
+    step = max(1, _PAIRS // max(1, len(targets)))
+    for at in range(0, len(usable), step):
+        some = usable[at:at + step]
+        likeness = (vectors[some] / norms[some, None]) @ targets.T
+        for p, t in zip(*np.nonzero(likeness >= cosine)):
+            doc = int(np.searchsorted(first, some[p], side="right")) - 1
+            start = int(some[p] - first[doc]) * width
+            near.setdefault((doc, int(owner[t])), []).append((start, start + 2 * width, float(likeness[p, t])))
+
+
 def _searcher(items: Items, table: np.ndarray, targets: np.ndarray, owner: np.ndarray,
               cosine: float, copy: float, paraphrase: float, answer: float):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = table.astype(np.float32)
+        short = np.flatnonzero(np.array([len(w) for w in items.words])[owner] <= BLOCK_WORDS)
         masks = [_masks(w) for w in items.words]
         answers = [_masks(w) for w in items.answers]
         for batch in batches:
             out = []
             all_places, all_terms = batch.column("places"), batch.column("terms")
-            for rows, block, terms, blocks in _slices(batch):
-                vectors, there = _passages(_sums(small, terms, block, int(blocks.sum())), blocks)
-                norms = np.linalg.norm(vectors, axis=1)
-                usable = np.flatnonzero(there & (norms > 1e-9))
-                first = np.cumsum(blocks) - blocks
-                near: dict[tuple[int, int], list[tuple[int, float]]] = {}
-                step = max(1, _PAIRS // max(1, len(targets)))
-                for at in range(0, len(usable), step):
-                    some = usable[at:at + step]
-                    likeness = (vectors[some] / norms[some, None]) @ targets.T
-                    for p, t in zip(*np.nonzero(likeness >= cosine)):
-                        doc = int(np.searchsorted(first, some[p], side="right")) - 1
-                        near.setdefault((doc, int(owner[t])), []).append((int(some[p] - first[doc]), float(likeness[p, t])))
+            for rows, part, terms, blocks in _slices(batch, 2):
+                near: dict[tuple[int, int], list[tuple[int, int, float]]] = {}
+                halves = _sums(small, terms, part, 2 * int(blocks.sum()))
+                _note_near(near, halves[::2] + halves[1::2], blocks, BLOCK_WORDS, targets, owner, cosine)
+                if len(short):
+                    _note_near(near, halves, 2 * blocks, BLOCK_WORDS // 2, targets[short], owner[short], cosine)
                 for (doc, item), hits in near.items():
                     row, words = rows.start + doc, items.words[item]
                     places = all_places[row].values.to_numpy(zero_copy_only=False)
                     doc_terms = all_terms[row].values.to_numpy(zero_copy_only=False)
                     best = None
-                    for start in sorted({h[0] for h in hits}):
-                        left, right = np.searchsorted(places, [
-                            start * BLOCK_WORDS - len(words), (start + 2) * BLOCK_WORDS + len(words)
-                        ])
+                    for start, end in sorted({h[:2] for h in hits}):
+                        left, right = np.searchsorted(places, [start - len(words), end + len(words)])
                         region = doc_terms[left:right].tolist()
                         share = _common_order(masks[item], len(words), region) / len(words)
                         if share < paraphrase:
@@ -317,7 +334,7 @@ def _searcher(items: Items, table: np.ndarray, targets: np.ndarray, owner: np.nd
                         if share >= copy or told >= answer:
                             best = max(best or (0.0, 0.0), (share, told))
                     if best:
-                        out.append((row, items.ids[item], max(h[1] for h in hits), *best))
+                        out.append((row, items.ids[item], max(h[2] for h in hits), *best))
             kept = batch.select(["row_key", "doc_id"]).take(pa.array([o[0] for o in out], pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [kept.column(0), kept.column(1), pa.array([o[1] for o in out], pa.int64()),
@@ -334,30 +351,34 @@ HIT_SCHEMA = "row_key long, doc_id long, item_id long, cosine double, order_shar
 def benchmark_hits(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
     item_text: str = "text", cosine: float = COSINE, copy: float = COPY, paraphrase: float = PARAPHRASE,
-    answer: float = ANSWER, rank: int = RANK, benchmark_bytes: int = BENCHMARK_BYTES,
+    answer: float = ANSWER, rank: int | None = None, benchmark_bytes: int = BENCHMARK_BYTES,
 ) -> DataFrame:
     """(row_key, doc_id, item_id, cosine, order_share, answer_share): items found in documents.
 
-    Every passage of every document (48 words, each 24) is a TF-IDF vector in a latent space from
-    a distributed randomised SVD. Passages with a cosine of ``cosine`` or more to a passage of an
+    Every passage of every document (48 words, each 24; for items of up to 24 words also 24 words,
+    each 12) is a TF-IDF vector in a latent space from a distributed randomised SVD, whose rank grows
+    with the items' passages unless ``rank`` is given. Passages with a cosine of ``cosine`` or more to a passage of an
     item are candidates. There the longest common subsequence of words between the item and the
     surroundings decides: ``copy`` of the item's words in order is a hit, ``paraphrase`` is one if
     ``answer`` of the words of the item's answer are in order too. Each place of a document is judged
     by itself; the shares are those of the best place that is a hit.
 
-    The benchmark is the query side; it is searched in blocks of about ``benchmark_bytes``, and
-    only such a block, its terms and basis are sent to tasks. Documents never move. ``row_key`` is
+    The benchmark is the query side; it is searched in blocks of about ``benchmark_bytes`` and
+    BENCHMARK_PASSAGES passages, and only such a block, its terms and basis are sent to tasks. Documents never move. ``row_key`` is
     a hash of id and text, the same for rows that repeat. Null and wordless texts, documents and
     items alike, and items without id match nothing. Empty tables give no rows.
     """
     spark = docs.sparkSession
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length(item_text)), F.lit(0)).alias("bytes")).first()["bytes"]
-    pieces = max(1, -(-size // benchmark_bytes))
+    per_item = F.greatest(F.lit(1), F.ceil(word_count(F.col(item_text)) / BLOCK_WORDS))
+    size = benchmark.agg(
+        F.coalesce(F.sum(F.octet_length(item_text)), F.lit(0)).alias("bytes"), F.coalesce(F.sum(per_item), F.lit(0)).alias("passages")
+    ).first()
+    pieces = max(1, -(-size["bytes"] // benchmark_bytes), -(-size["passages"] // BENCHMARK_PASSAGES))
     keyed = docs.select(row_key(docs, doc_id, text).alias("row_key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     documents = docs.count()
     hits = spark.createDataFrame([], HIT_SCHEMA)
     for piece in range(pieces):
-        own = benchmark.where(F.pmod(F.xxhash64(item_text), F.lit(pieces)) == piece)
+        own = benchmark.where(F.pmod(F.xxhash64(item_id, item_text), F.lit(pieces)) == piece)
         items = read_items([(r[0], r[1]) for r in own.select(F.col(item_id).cast("long"), item_text).collect()])
         if not items.ids:
             continue

@@ -154,3 +154,21 @@ def test_each_region_is_judged_by_itself(spark):
     found = dc.benchmark_hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], ITEMS)).collect()
     assert {r.doc_id for r in found} == {1, 2}
     assert all(r.answer_share == 1 and 0.6 <= r.order_share < 0.8 for r in found)
+
+
+def test_short_copies_of_a_large_benchmark(spark):
+    """Copies of 15 to 20 words among thousands of items, in long documents, are all found."""
+    rng = random.Random(11)
+    words = [f"{a}{b}{c}" for a in ("ka", "mo", "ti", "re", "su", "ne", "bo", "fi") for b in ("lan", "dor", "vik", "sum", "p", "tes", "mir", "nok")
+             for c in ("en", "a", "or", "is", "ul", "ing", "ato", "e", "is", "um", "ax")]
+    words = [w + end for end in ("", "x", "y") for w in words]
+    shares = [1 / (n + 3) for n in range(len(words))]  # as in texts, few words are most of the text
+    items = [(i, " ".join(rng.choices(words, shares, k=rng.randint(15, 59) if i % 4 else rng.randint(15, 20)))) for i in range(2400)]
+    docs, planted = [], set()
+    for n, (i, text) in enumerate(items[::4]):
+        before, after = (" ".join(rng.choices(words, shares, k=rng.randint(100, 200))) for _ in range(2))
+        docs.append((n, f"{before} {text} {after}"))
+        planted.add((n, i))
+    found = dc.benchmark_hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)).collect()
+    found = {(r.doc_id, r.item_id) for r in found}
+    assert found <= planted and len(found) >= 0.99 * len(planted), (len(found), len(planted))
