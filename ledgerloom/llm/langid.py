@@ -177,15 +177,15 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", per_langu
 
     At most ``per_language`` rows of each language are taken, those with the least hash of their
     text; repeats of one text count once. The hash is over texts, so the sample does not depend on
-    order or partitions. Only hashes below a bound that leaves OVERSAMPLED times that many rows of
-    a language are ranked, so no task ranks a whole language. Subword counts, not texts, come to the
+    order or partitions. Only hashes below a bound that leaves OVERSAMPLED times that many distinct
+    texts of a language are ranked, so no task ranks a whole language. Subword counts, not texts, come to the
     driver: at most BUCKETS numbers a row.
     """
     usable = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")
     ).withColumn("hash", F.xxhash64("text", F.lit(SEED)).bitwiseAND(F.lit(_HASHES - 1)))
     bounds = usable.groupBy("lang").agg(
-        F.least(F.lit(1.0), OVERSAMPLED * F.lit(float(per_language)) / F.count(F.lit(1))).alias("share")
+        F.least(F.lit(1.0), OVERSAMPLED * F.lit(float(per_language)) / F.count_distinct("hash")).alias("share")
     ).select("lang", (F.col("share") * F.lit(float(_HASHES))).alias("bound"))
     least = Window.partitionBy("lang").orderBy("hash")
     # Of equal texts one hash is left; the rank is cut in each task before the shuffle.

@@ -130,6 +130,7 @@ def text_classes(training: DataFrame, text: str = "text", rounds: int = CLASS_RO
     texts = training.select(F.col(text).alias("text"))
     hashed = texts.select(F.xxhash64("text", F.lit(3)).alias("h")).distinct().orderBy("h").limit(_STARTS).collect()
     rows = texts.where(F.xxhash64("text", F.lit(3)).isin([r["h"] for r in hashed])).withColumn("h", F.xxhash64("text", F.lit(3)))
+    rows = rows.dropDuplicates(["h"])  # a text may have any number of copies
     found = {r["h"]: r["v"] for r in rows.select("h", F.arrow_udf(_letters_of, "array<double>")("text").alias("v")).collect()}
     starts = np.array([found[h] for h in sorted(found)]).reshape(-1, _LETTERS)
     chosen = list(range(min(1, len(starts))))

@@ -52,6 +52,12 @@ def test_bounded_sample(spark):
     assert li.train(docs, per_language=20).table.tolist() == li.train(repeated.repartition(3), per_language=20).table.tolist()
 
 
+def test_copies_do_not_shrink_the_sample(spark):
+    docs = spark.range(60).selectExpr("concat('wort ', id) as text", "if(id % 2 = 0, 'aa', 'bb') as lang")
+    copies = spark.range(5000).selectExpr("'wort 0' as text", "'aa' as lang")
+    assert li.train(docs, per_language=20).table.tolist() == li.train(docs.union(copies), per_language=20).table.tolist()
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     model = li.train(docs)

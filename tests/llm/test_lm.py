@@ -109,6 +109,20 @@ def test_every_token_teaches_every_predictor(spark):
     assert 0.2 < tables[-(1 << large[-1]):].any(1).mean() < 0.7
 
 
+def test_copies_of_a_starting_text_stay_in_the_tasks(spark, monkeypatch):
+    docs = spark.range(900).selectExpr("if(id < 20, concat('text number ', id), 'one text many times') as text")
+    sizes, collect = [], type(docs).collect
+
+    def counted(frame):
+        rows = collect(frame)
+        sizes.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(docs), "collect", counted)
+    centres = lm.text_classes(docs)
+    assert centres.any(1).sum() > 1 and sizes and max(sizes) <= 64
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark).withColumn("held_out", F.col("doc_id").isNull() | (F.col("doc_id") > 9))
     rows = lm.scored(docs, docs.where(~F.col("held_out"))).collect()
