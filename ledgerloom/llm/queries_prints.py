@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Collected
-from . import multiset_hash as mh
+from . import multiset_hash as mh, vector_codes as vc
 from .common import table
 
 _QUERIES = Collected()
@@ -66,3 +66,50 @@ def op12_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mh.edited_fingerprints(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
                         "near_edited", "near_next")
+
+
+def _assign_sql(books: str) -> str:
+    """(row, label, p, x, k, d): nearest entry of every part; the lowest index wins a tie."""
+    return f"""
+  select row, label, p, any_value(x) as x, (min(d * {vc.ENTRIES} + k) % {vc.ENTRIES})::bigint as k, (min(d * {vc.ENTRIES} + k) // {vc.ENTRIES})::bigint as d
+  from (select row, label, r.p, r.x, c.k, (list_inner_product(r.x, r.x) - 2 * list_inner_product(r.x, c.x) + list_inner_product(c.x, c.x))::bigint as d
+        from parts r join {books} c on r.p = c.p) group by row, label, p"""
+
+
+_ROUNDS_SQL = "".join(f"""
+a{t} as materialized ({_assign_sql(f'c{t}')}),
+c{t + 1} as materialized (
+  select c.p, c.k, coalesce(m.x, c.x) as x from c{t} c left join (
+    select p, k, list(v order by i) as x from (
+      select p, k, i, floor(sum(x[i]) / count(*)) as v from a{t}, (select unnest(range(1, len(x) + 1)) as i from (select x from parts limit 1)) group by p, k, i
+    ) group by p, k
+  ) m on c.p = m.p and c.k = m.k
+),""" for t in range(vc.ROUNDS))
+
+_VECTOR_CODES_SQL = f"""
+with kept as (
+  select row_number() over (order by vec_id nulls last, embedding) as row, vec_id, label,
+    list_transform(embedding, lambda x: floor(x::double * {vc.SCALE})) as e
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+parts as materialized (
+  select row, vec_id, label, p, e[(p * len(e) // {vc.PARTS} + 1)::int:((p + 1) * len(e) // {vc.PARTS})::int] as x
+  from kept, (select unnest(range({vc.PARTS})) as p)
+),
+c0 as materialized (select p, row - 1 as k, x from parts where row <= {vc.ENTRIES}),{_ROUNDS_SQL}
+last as materialized ({_assign_sql(f'c{vc.ROUNDS}')}),
+codes as (select row, label, string_agg(lpad(lower(to_hex(k)), 2, '0'), '' order by p) as code, sum(d)::bigint as error from last group by row, label),
+digest as (
+  select sha256(string_agg(list_aggregate(list_transform(x, lambda v: v::bigint::varchar), 'string_agg', ','), ',' order by p, k)) as codebooks_sha256
+  from c{vc.ROUNDS}
+)
+select vec_id, code, error, (sum(error) over (partition by c.label))::bigint as label_error, codebooks_sha256
+from codes c join kept using (row), digest
+"""
+
+
+@_QUERIES.add(_VECTOR_CODES_SQL)
+def op13_norm_of_sum_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vc.compressed(table(spark, sf_dir, "embeddings"))
+    return vc.with_label_errors(coded).select(
+        "vec_id", vc.code_text(F.col("codes")).alias("code"), "error", "label_error", F.lit(vc.books_sha256(books)).alias("codebooks_sha256"))
