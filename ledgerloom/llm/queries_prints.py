@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Collected
-from . import multiset_hash as mh, vector_codes as vc
+from . import multiset_hash as mh, prefix_trie as pt, vector_codes as vc
 from .common import table
 
 _QUERIES = Collected()
@@ -113,3 +113,46 @@ def op13_norm_of_sum_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vc.compressed(table(spark, sf_dir, "embeddings"))
     return vc.with_label_errors(coded).select(
         "vec_id", vc.code_text(F.col("codes")).alias("code"), "error", "label_error", F.lit(vc.books_sha256(books)).alias("codebooks_sha256"))
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of a short ASCII text, bit by bit."""
+    bit = "lambda x, y: xor(x >> 1, 3988292384::bigint * (x & 1))"
+    byte = f"lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], {bit})"
+    return f"xor(list_reduce([4294967295::bigint] || list_transform(string_split({text}, ''), lambda c: ascii(c)::bigint), {byte}), 4294967295)"
+
+
+_TRIE_SQL = f"""
+with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as place,
+    {{'digest': sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 'n': length(coalesce(text, ''))}} as turn
+  from conversations where conv_id is not null
+),
+own as (select conv_id, list(turn order by place) as turns, {_crc32_sql('conv_id::varchar')} % 6 as h from turns group by conv_id),
+rebuilt as (
+  select o.conv_id, coalesce(b.turns[1:o.h], []) || o.turns[o.h + 1:] as turns
+  from own o left join own b on b.conv_id = o.conv_id - o.conv_id % 100
+),
+prefixes as (select conv_id, len(turns) as length, unnest(range(len(turns) + 1)) as depth, turns from rebuilt),
+nodes as (
+  select turns[1:depth] as prefix, depth, min(conv_id) as conv_id, count(*) as n,
+    sha256(coalesce(string_agg(conv_id, ',' order by conv_id) filter (length = depth), '')) as ends
+  from prefixes group by all
+),
+children as (select prefix[1:depth - 1] as prefix, depth - 1 as depth, count(*) as n from nodes where depth > 0 group by all),
+described as (
+  select v.*, coalesce(c.n, 0) as n_children, case when v.depth > 0 then (v.n - 1) * v.prefix[v.depth]['n'] else 0 end as saved
+  from nodes v left join children c on v.prefix = c.prefix and v.depth = c.depth
+),
+upward as (select prefix[1:up] as prefix, up as depth, n_children, saved from (select *, unnest(range(depth + 1)) as up from described)),
+subtrees as (select prefix, depth, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved from upward group by all)
+select v.conv_id, v.depth::bigint as depth, p.conv_id as parent_conv_id, v.n::bigint as n_convs, v.n_children::bigint as n_children,
+  s.n_leaves::bigint as n_leaves, s.saved::bigint as saved_tokens, v.ends as ends_sha256
+from described v join subtrees s on v.prefix = s.prefix and v.depth = s.depth
+left join nodes p on v.depth > 0 and p.depth = v.depth - 1 and p.prefix = v.prefix[1:v.depth - 1]
+"""
+
+
+@_QUERIES.add(_TRIE_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pt.prefix_trie(pt.with_shared_heads(pt.sequences(table(spark, sf_dir, "conversations"))))
