@@ -19,7 +19,7 @@ TOKEN = 20
 PIECE = 4096
 
 #: Bytes of distinct sequences in one block; small tables are cut into more and smaller blocks.
-BLOCK_BYTES, SMALL_BLOCK_BYTES, SMALL_BLOCKS = 8 << 20, 128 << 10, 64
+BLOCK_BYTES, SMALL_BLOCK_BYTES, SMALL_BLOCKS = 32 << 20, 128 << 10, 64
 
 #: Candidate prefixes whose extents are searched at once.
 _CANDIDATES = 200_000
@@ -411,10 +411,11 @@ def prefix_trie(found: DataFrame) -> DataFrame:
     parents = across.select((F.col("at")).alias("border"), (F.col("depth") + 1).alias("depth"), F.col("conv_id").alias("parent_conv_id"))
     outer = crossing.join(parents, ["border", "depth"], "left")
 
-    part_of = F.create_map(*[F.lit(x) for i, p in sorted((i, p) for p, i in borders.index.items()) for x in (i, p)]) if borders.index else F.lit(None)
+    # A border is the left one of a block and the right one of the block before it.
+    numbers = blocks.sparkSession.createDataFrame([(i, p) for p, i in borders.index.items()], "block int, part int")
     sides = across.select(F.explode(F.array(
         F.struct(F.col("at").alias("block"), F.lit(True).alias("left")), F.struct((F.col("at") - 1).alias("block"), F.lit(False).alias("left"))
-    )).alias("side"), "depth", "conv_id").select(part_of[F.col("side.block")].cast("int").alias("part"), "side.left", "depth", "conv_id")
+    )).alias("side"), "depth", "conv_id").select("side.*", "depth", "conv_id").join(numbers, "block").drop("block")
 
     def local(block_rows: pa.Table, side_rows: pa.Table) -> pa.Table:
         _, block = borders.block(block_rows)

@@ -17,7 +17,7 @@ TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 def test_registered():
     names = [q.name for q in QUERIES]
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert {*names, "pipeline"} <= set(driver.queries())
 
 
