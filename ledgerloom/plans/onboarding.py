@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .. import functions as fx, rules
 from ..operators import applications as ap, integrity, quality, sampling
 from ..session import scratch_path
-from ..sources import batches, sinks, tables
+from ..sources import batches, runs, sinks, tables
 from ..streaming.applications import stream_applications as start_applications
 from .registry import Collected
 from .views import applications, duck, table
@@ -18,6 +18,7 @@ _q = Collected()
 QUERIES = _q.queries
 
 _POSITION = ["source_file", "app_id"]
+_BATCHES = ("batch_0.csv", "batch_1.csv", "batch_2.csv")
 _RUNS = (datetime(2026, 9, 17, 10, 0, 0), datetime(2026, 9, 18, 10, 41, 59))
 
 
@@ -98,6 +99,107 @@ def ingest_awkward_rows(spark: SparkSession, folder: str) -> DataFrame:
     return batches.scan_batches(spark, files).select("name", "email", "birthday", "mobile")
 
 
+# Names and addresses of every third application get line breaks, quotes and commas.
+_SPANNING = "case when app_id % 3 = 0 then concat(coalesce({c}, ''), chr(10), '\"', app_id, '\", ', chr(10), chr(10), ',') else {c} end"
+
+
+def _write_batch(rows: DataFrame, path: str) -> None:
+    """Append applications to a folder of CSV files with the headers of the source."""
+    named = rows.select("name", "email", "birthday", "mobile").withColumnsRenamed({v: k for k, v in rules.SOURCE_COLUMNS.items()})
+    (named.write.mode("append").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def _by_batch(spark: SparkSession, rows: DataFrame, label: str) -> str:
+    """One folder of CSV files per batch."""
+    root = scratch_path(spark, label)
+    for batch in _BATCHES:
+        _write_batch(rows.where(F.col("source_file") == batch), f"{root}/source_file={batch}")
+    return root
+
+
+def _with_batch(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of all files below ``root``, each with the batch folder that its ``source_file`` lies in."""
+    files = _listed(spark, root)
+    rows = batches.scan_batches(spark, [r["path"] for r in files.collect()])
+    return rows.join(F.broadcast(files.select("source_file", "batch")), "source_file").drop("source_file")
+
+
+def _listed(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+    """(path, source_file, batch) of the files below the batch folders of ``root``."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    return listed.select("path", F.col("_metadata.file_name").alias("source_file"),
+                         F.regexp_extract("path", "source_file=([^/]+)", 1).alias("batch"))
+
+
+@_q.add(duck(f"""
+    select {', '.join(_SPANNING.format(c=c) + ' as ' + c for c in ('name', 'email'))}, birthday, mobile, source_file as batch
+    from applications""", "applications"))
+def ingest_spanning_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that span lines, put together from lines that are read in parallel."""
+    rows = applications(spark, folder).selectExpr(
+        *[f"{_SPANNING.format(c=c)} as {c}" for c in ("name", "email")], "birthday", "mobile", "source_file")
+    return _with_batch(spark, _by_batch(spark, rows, "spanning"))
+
+
+@_q.add(duck("select name, email, birthday, mobile, source_file as batch from applications", "applications"))
+def ingest_provenance(spark: SparkSession, folder: str) -> DataFrame:
+    """Each row with the batch that its ``source_file`` was written from."""
+    return _with_batch(spark, _by_batch(spark, applications(spark, folder), "provenance"))
+
+
+def _ledger_runs(spark: SparkSession, folder: str, fmt: str = "parquet") -> str:
+    """Three runs over one folder: two batches, then a third that arrives, then the second run again.
+
+    In between a run finds nothing to do. All share a ledger.
+    """
+    out, rows = scratch_path(spark, "ledger-runs"), applications(spark, folder)
+    inbox, ledger = f"{out}/in", f"{out}/ledger"
+
+    def arrive(*arrived: str) -> None:
+        _write_batch(rows.where(F.col("source_file").isin(*arrived)), inbox)
+
+    first, second = _RUNS
+    arrive(*_BATCHES[:2])
+    runs.run(spark, inbox, f"{out}/out", first, ledger=ledger, fmt=fmt)
+    runs.run(spark, inbox, f"{out}/out", first + timedelta(hours=1), ledger=ledger, fmt=fmt)
+    arrive(*_BATCHES[2:])
+    for _ in range(2):
+        runs.run(spark, inbox, f"{out}/out", second, ledger=ledger, fmt=fmt)
+    return f"{out}/out"
+
+
+_RUN_OF = f"case when source_file = '{_BATCHES[2]}' then '{_RUNS[1]:%Y%m%d_%H%M%S}' else '{_RUNS[0]:%Y%m%d_%H%M%S}' end"
+
+
+@_q.add(duck(f"""
+    select {_RUN_OF} as run_ts, count(*) as rows_read, count(*) filter (is_successful) as rows_successful,
+      count(*) filter (not is_successful) as rows_unsuccessful from validated group by all""", "validated"))
+def ledger_run_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Audit rows: finished files are not read again, an idle run leaves none, a repeated one replaces its own."""
+    return sinks.read_records(spark, _ledger_runs(spark, folder)).drop("files").withColumn("run_ts", F.col("run_ts").cast("string"))
+
+
+@_q.add(duck(f"""
+    select membership_id, first_name, last_name, email, birthday, above_18, mobile, {_RUN_OF} as run_ts from accepted""", "accepted"))
+def ledger_run_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    out = _ledger_runs(spark, folder)
+    return spark.read.parquet(f"{out}/successful").withColumn("run_ts", F.col("run_ts").cast("string"))
+
+
+@_q.add(duck(f"""
+    select name, email, birthday_raw, mobile_raw, first_name, last_name, birthday, cast(age as varchar) as age,
+      cast(above_18 as varchar) as above_18, rejection_reason, {_RUN_OF} as run_ts from rejected""", "rejected"))
+def ledger_run_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The rejected output of the same runs as CSV, read back as text.
+
+    A null is an empty cell and an empty text a quoted one; with another mark for null the reader tells them apart.
+    """
+    out = _ledger_runs(spark, folder, "csv")
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True).option("nullValue", "\0")
+    return reader.csv(f"{out}/unsuccessful").drop("source_file").withColumn("run_ts", F.col("run_ts").cast("string"))
+
+
 @_q.add(duck("select app_id, name, email, source_file from applications", "applications"))
 def batch_union(spark: SparkSession, folder: str) -> DataFrame:
     rows = applications(spark, folder)

@@ -1,5 +1,6 @@
 """CSV batches, run outputs, typed loads, whole runs."""
 
+import random
 from dataclasses import replace
 from datetime import date, datetime
 
@@ -127,12 +128,13 @@ def test_size_does_not_change_rows(spark, folder, shape, lines_more):
     more = "".join(f"More,m{i}@x.com,1990-01-01,{10000000 + i}\n" for i in range(lines_more))
     path = folder(a=HEADER + body + more)
     files = batches.discover_batches(spark, path)
-    assert [w for _, _, w in batches._layouts(spark, files)] == [whole]
+    assert [w for _, _, w, _ in batches._layouts(spark, files)] == [whole]
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
     try:
         frame = batches.scan_batches(spark, files)
-        assert (frame.rdd.getNumPartitions() > 4) == (whole and lines_more > 0)
+        blocks = batches.scan_batches(spark, files, positions=True).select("_block").distinct().count()
+        assert (blocks > 4) == (lines_more > 0)  # whatever the file holds, it is read in splits
         rows = frame.collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -141,6 +143,58 @@ def test_size_does_not_change_rows(spark, folder, shape, lines_more):
     assert not any("\\r" in (r.mobile or "") for r in rows)
 
 
+def _cells(seed, returns):
+    """A file with every kind of cell: breaks, doubled quotes, blanks, empty lines, returns inside."""
+    pick = random.Random(seed)
+    lines = [HEADER.strip()]
+    for i in range(600):
+        kind = pick.randrange(12)
+        name = ['"a\nb%d"', '"x, ""q"" %d"', "   %.0s", "plain %d", '""%.0s', "%.0s", '"' + "\n" * pick.randrange(1, 90) + '%d"',
+                "B\rC%d", '""""%.0s', '"l1\n""\n,\n""z%d"', "n%d", "m%d"][kind] % i
+        lines.append(f'{name},"e{i}",{"" if kind == 3 else "1990"},m{i}')
+        lines += {10: [""], 11: ["   "]}.get(kind, [])
+    end = "\r\n" if returns else "\n"
+    return end.join(lines) + end
+
+
+def _multi_line(spark, path):
+    """What one task reads, fields of the last column without the return of a mixed line end."""
+    rows = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    return [(*r[:3], (r[3] or "").removesuffix("\r") or None) for r in rows.collect()]
+
+
+@pytest.mark.parametrize("returns", [False, True])
+@pytest.mark.parametrize("split", ["700", "4000", "128m"])
+def test_spanning_records_in_splits_equal_one_reader(spark, tmp_path, returns, split):
+    path = tmp_path / "a.csv"
+    path.write_text(_cells(3, returns), newline="")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        frame = batches.scan_batches(spark, [str(path)], positions=True)
+        found = [tuple(r)[:4] for r in frame.orderBy(*batches.POSITION).collect()]
+        assert (frame.select("_block").distinct().count() > 4) == (split != "128m")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found == _multi_line(spark, str(path)) and len(found) > 600
+
+
+def test_quotes_that_open_nothing_are_left_to_one_reader(spark, folder):
+    """A quote inside an unquoted field, or text after a closed one: the quotes don't tell where records end."""
+    odd = HEADER + 'Ann 5" pipe,a@x.com,1990-01-01,11111111\nBob,b@x.com,,22222222\n"Cy\nDee",c@x.com,,3\n'
+    after = HEADER + '"Ann"x,a@x.com,1990-01-01,11111111\n"Cy\nDee",c@x.com,,3\n'
+    fine = HEADER + '"Eve\nFox",e@x.com,,4\n'
+    path = folder(a=odd, b=fine, c=after)
+    assert bag(_scan(spark, path).drop("source_file")) == sorted(
+        (r for f in "abc" for r in _multi_line(spark, f"{path}/{f}.csv")), key=repr)
+
+
+@pytest.mark.parametrize("text", [HEADER, HEADER + "   ", HEADER + '"open\nto the end,a,b\nc', '\n\n"name",email,date_of_birth,mobile_no\n"x\ny",,,\n'])
+def test_short_awkward_files(spark, folder, text):
+    path = folder(a=text)
+    assert bag(_scan(spark, path).drop("source_file")) == sorted(_multi_line(spark, f"{path}/a.csv"), key=repr)
+
+
 @pytest.mark.parametrize("shape", ["empty_lines", "quotes"])
 def test_both_readings_agree_where_lines_are_split(spark, folder, shape):
     path = folder(a=HEADER + SHAPES[shape][0])
