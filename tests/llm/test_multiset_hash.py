@@ -21,9 +21,9 @@ def test_equal_multisets_of_paragraphs(spark):
 def test_insertion_and_deletion(spark):
     row = spark.createDataFrame([("first. Second part\nx\nthird", "x\nmore here", "first. Second part\nx\nthird\nx\nmore here")], "a string, b string, ab string")
     a, b, ab = (mh.lanes_of(F.col(c)) for c in ("a", "b", "ab"))
-    r = row.select(a.alias("a"), ab.alias("ab"), mh.combined(a, b).alias("in_"), mh.without(ab, b).alias("out"),
+    r = row.select(a.alias("own"), ab.alias("both"), mh.combined(a, b).alias("in_"), mh.without(ab, b).alias("out"),
                    mh.lanes_from(mh.fingerprint_text(a)).alias("read")).first()
-    assert r.in_ == r.ab and r.out == r.a == r.read
+    assert r.in_ == r.both and r.out == r.own == r.read
 
 
 def test_likeness(spark):
@@ -80,4 +80,4 @@ def test_awkward_rows_and_no_python(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     alone = mh.edited_fingerprints(spark.createDataFrame([(1, "only one here")], "doc_id long, text string")).first()
-    assert alone.edited == "only oo only"[:0] + "only one here"[:7] + "only o" and alone.near_next == 1.0
+    assert alone.edited == "only on" + "only o" and alone.near_next == 1.0

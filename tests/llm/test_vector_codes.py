@@ -60,7 +60,7 @@ def test_ties_and_coarse_grid(spark):
 
 
 def test_large_components_use_whole_numbers(spark):
-    rows = [(i, [float((i * 7919) % 4001 - 2000), -3e5 * (i % 3), 1e-3 * i, 5e4], i % 2) for i in range(300)]
+    rows = [(i, [float((i * 7919) % 4001 - 2000), -5e4 * (i % 3), 1e-3 * i, 5e4], i % 2) for i in range(300)]
     theirs, books = plain(rows, 2, 16, 4)
     coded, found = vc.compressed(vectors(spark, rows), entries=16, parts=2)
     assert np.array_equal(found, books)
