@@ -14,7 +14,7 @@ from ..operators.joins import lookup_join
 from ..operators.applications import rule_matrix
 from ..session import scratch_path, settled
 from ..sources import tables
-from ..streaming import images as streams
+from ..streaming import images as streams, status as state
 from .registry import Collected
 from .views import duck, image_events, table
 
@@ -206,17 +206,41 @@ def stream_first_deliveries(spark: SparkSession, folder: str) -> DataFrame:
 
 @_q.add(duck(f"select * from ({_STATUS}) s where expires_at >= timestamp '{_CUTOFF}'", "image_events"))
 def stream_image_status(spark: SparkSession, folder: str) -> DataFrame:
-    """The index after five micro-batches and two snapshots: images not expired at the cut-off."""
+    """The index after five micro-batches, each bucket folded at every second: images not expired at the cut-off."""
     root = scratch_path(spark, "status")
-    given = table(spark, folder, "events")
-    given.repartitionByRange(5, "ts").write.parquet(f"{root}/events.parquet")
-    events = _event_stream(spark, root, maxFilesPerTrigger=1)
-    streams.track_status(events, f"{root}/state", f"{root}/checkpoint", compact_every=2).awaitTermination()
+    _track(spark, root, table(spark, folder, "events"))
     since = F.lit(_CUTOFF.isoformat(sep=" ")).cast("timestamp_ntz")
-    status = streams.read_status(spark, f"{root}/state", since=since.cast("timestamp"))
+    status = state.read_status(spark, f"{root}/state", since=since.cast("timestamp"))
     return status.drop("last_at").withColumn("expires_at", F.col("expires_at").cast("timestamp_ntz"))
 
 
+def _track(spark: SparkSession, root: str, given: DataFrame) -> None:
+    """The status index of the given events below ``root``, from five micro-batches in order of time."""
+    given.repartitionByRange(5, "ts").write.parquet(f"{root}/events.parquet")
+    events = _event_stream(spark, root, maxFilesPerTrigger=1)
+    state.track_status(events, f"{root}/state", f"{root}/checkpoint", compact_every=2, buckets=16).awaitTermination()
+
+
+@_q.add(duck(f"""
+    with incoming as (select * from image_events where uploaded_at >= timestamp '{_CUTOFF}'),
+    done as (
+      select image_id from image_events where uploaded_at < timestamp '{_CUTOFF}' group by image_id
+      having arg_max(status, (uploaded_at, {_RANK})) = 'DONE'
+        and min(uploaded_at) + interval 7 days >= (select min(uploaded_at) from incoming))
+    select event_id, image_id, uploaded_at from (
+      select * from incoming qualify row_number() over (partition by image_id order by uploaded_at, source, event_id) = 1)
+    where image_id not in (select image_id from done)""", "image_events"))
+def stream_skip_processed(spark: SparkSession, folder: str) -> DataFrame:
+    """One micro-batch after the cut-off against the index of the events before it; expired images are new again."""
+    root, given = scratch_path(spark, "skip"), table(spark, folder, "events")
+    cut = F.lit(_CUTOFF.isoformat(sep=" ")).cast("timestamp_ntz")
+    _track(spark, root, given.where(F.col("ts") < cut))
+    given.where(F.col("ts") >= cut).write.parquet(f"{root}/incoming/events.parquet")
+    incoming = _event_stream(spark, f"{root}/incoming").withColumn("dt", F.to_date("uploaded_at"))
+    state.process_new_images(incoming, f"{root}/state", f"{root}/todo", f"{root}/todo-checkpoint", ["source", "event_id"]).awaitTermination()
+    return spark.read.parquet(f"{root}/todo").select("event_id", "image_id", F.col("uploaded_at").cast("timestamp_ntz").alias("uploaded_at"))
+
+
 _PERCENTILES = ", ".join(
     f"round(quantile_cont(duration_ms, {p}), 4) as {name}" for name, p in ev.LATENCY_PERCENTILES.items()
 )

@@ -1,4 +1,4 @@
-"""Image-event streams: landing, deduplication, hourly counts, status state.
+"""Image-event streams: landing, deduplication, hourly counts.
 
 The functions take any streaming frame; ``kafka_messages`` is the production source.
 Watermarks need a zoned timestamp, so ``uploaded_at`` must be ``timestamp``.
@@ -6,20 +6,11 @@ Watermarks need a zoned timestamp, so ``uploaded_at`` must be ``timestamp``.
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import rules
 from ..operators import events as ev
-from ..sources.tables import write_by_day
-
-#: Columns of the status state.
-STATUS_SCHEMA = "image_id string, status string, attempts long, failures long, expires_at timestamp, last_at timestamp"
-
-#: Micro-batches between two snapshots of the status state.
-COMPACT_EVERY = 24
 
 #: How late an event may be and still count in its hour.
 LATE_BY = "1 hour"
@@ -44,13 +35,6 @@ def hourly_counts(events: DataFrame, late_by: str = LATE_BY) -> DataFrame:
     return ev.uploads_per_hour(events.withWatermark("uploaded_at", late_by))
 
 
-def _each_batch(stream: DataFrame, process, checkpoint: str) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-
-
 def land_by_day(events: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Append a stream of events (with ``dt``) to ``dt=`` folders, each event once."""
     return (
@@ -67,110 +51,3 @@ def write_appended(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
         .option("checkpointLocation", checkpoint).outputMode("append")
         .trigger(availableNow=True).start()
     )
-
-
-def _folders(spark: SparkSession, root: str, prefix: str) -> dict[int, str]:
-    """Finished folders ``prefix=N`` of ``root`` by N; the writer's last file marks them."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return {}
-    found = {}
-    for entry in files.listStatus(path):
-        name, _, number = entry.getPath().getName().partition("=")
-        if name == prefix and files.exists(jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")):
-            found[int(number)] = entry.getPath().toString()
-    return found
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def _status_log(spark: SparkSession, root: str, batch_id: int | None = None) -> DataFrame | None:
-    """The newest snapshot and the micro-batches after it.
-
-    With ``batch_id`` the state as of that batch: later batches and a snapshot that an
-    earlier attempt of it left are not looked at.
-    """
-    snapshots = {n: p for n, p in _folders(spark, root, "snapshot").items() if batch_id is None or n < batch_id}
-    newest = max(snapshots, default=-1)
-    paths = [snapshots[newest]] if snapshots else []
-    paths += [p for n, p in sorted(_folders(spark, root, "batch_id").items())
-              if n > newest and (batch_id is None or n <= batch_id)]
-    return spark.read.schema(STATUS_SCHEMA).parquet(*paths) if paths else None
-
-
-def read_status(spark: SparkSession, root: str, since: datetime | Column | None = None) -> DataFrame | None:
-    """Current status per image from the state written by ``track_status``.
-
-    ``since`` leaves out images that expired before it, decided on the whole of what is
-    known about an image, not on single rows of the log. The log stays short because
-    ``track_status`` folds it into a snapshot now and then.
-    """
-    log = _status_log(spark, root)
-    if log is None:
-        return None
-    status = merge_status(log)
-    return status if since is None else status.where(F.col("expires_at") >= F.lit(since))
-
-
-def merge_status(log: DataFrame) -> DataFrame:
-    """Fold per-batch status rows into one row per image: last status, summed attempts."""
-    last = F.max(F.struct("last_at", ev.status_rank().alias("rank"), "status"))
-    return log.groupBy("image_id").agg(
-        last.getField("status").alias("status"), F.sum("attempts").alias("attempts"),
-        F.sum("failures").alias("failures"), F.min("expires_at").alias("expires_at"),
-        last.getField("last_at").alias("last_at"),
-    )
-
-
-def track_status(
-    events: DataFrame, root: str, checkpoint: str, compact_every: int = COMPACT_EVERY,
-    max_age: str | None = None,
-) -> StreamingQuery:
-    """Keep the image index: each micro-batch adds one row per image it touched.
-
-    Rows go to ``batch_id=N`` so a batch that runs again replaces itself. Every
-    ``compact_every`` batches the state up to then is folded into ``snapshot=N``, and what
-    the snapshot before it covers is removed, so neither the number of files nor a read
-    grows with the age of the job. With ``max_age`` (an interval text) a snapshot leaves
-    out images that had expired that long before the newest event.
-    """
-    spark = events.sparkSession
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        ev.status_rows(batch).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
-        if (batch_id + 1) % compact_every:
-            return
-        older = [n for n in _folders(spark, root, "snapshot") if n < batch_id]
-        folded = merge_status(_status_log(spark, root, batch_id))
-        if max_age is not None:
-            newest = folded.agg(F.max("last_at").alias("t")).first()["t"]
-            folded = folded.where(F.col("expires_at") >= F.lit(newest) - F.expr(f"INTERVAL {max_age}"))
-        folded.write.mode("overwrite").parquet(f"{root}/snapshot={batch_id}")
-        covered = max(older, default=-1)  # still there for a batch that runs again
-        for prefix in ("snapshot", "batch_id"):
-            for number, path in _folders(spark, root, prefix).items():
-                if number < covered or (prefix == "batch_id" and number <= covered):
-                    _remove(spark, path)
-
-    return _each_batch(events, process, checkpoint)
-
-
-def process_new_images(events: DataFrame, state_root: str, output: str, checkpoint: str) -> StreamingQuery:
-    """Pass on the images that are not yet done, once each per micro-batch, by day."""
-    spark = events.sparkSession
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        extent = batch.agg(F.count(F.lit(1)).alias("rows"), F.min("uploaded_at").alias("first")).first()
-        if not extent["rows"]:
-            return
-        status = read_status(spark, state_root, since=extent["first"])
-        todo = ev.dedupe_images(batch) if status is None else ev.skip_done(batch, status)
-        # The whole folder is replaced: an earlier attempt may have had other days.
-        write_by_day(todo, f"{output}/batch_id={batch_id}", replace_all=True)
-
-    return _each_batch(events, process, checkpoint)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import events as ev, quantiles, retention
 from ledgerloom.operators.applications import rule_matrix
 from ledgerloom.sources import tables
-from ledgerloom.streaming import applications as app_stream, images as streams
+from ledgerloom.streaming import applications as app_stream, images as streams, status as index
 from test_sources import BATCH_A, BATCH_C
 
 EVENT = "image_id string, source string, uploaded_at timestamp, status string"
@@ -59,7 +59,7 @@ def test_events_of_one_time_go_by_status_rank(spark, events):
     rows = events(("a", "api", 1, "PENDING"), ("a", "api", 1, "DONE"), ("a", "api", 1, "ERROR"),
                   ("b", "api", 1, "PENDING"), ("b", "api", 1, "ERROR"))
     assert {r.image_id: r.status for r in ev.latest_status(rows).collect()} == {"a": "DONE", "b": "ERROR"}
-    folded = streams.merge_status(ev.status_rows(rows.where("status = 'PENDING'")).union(ev.status_rows(rows.where("status <> 'PENDING'"))))
+    folded = index.merge_status(ev.status_rows(rows.where("status = 'PENDING'")).union(ev.status_rows(rows.where("status <> 'PENDING'"))))
     assert {r.image_id: r.status for r in folded.collect()} == {"a": "DONE", "b": "ERROR"}
 
 
@@ -337,21 +337,21 @@ def test_stream_hours_equal_batch_hours_once_closed(spark, tmp_path):
 
 def test_status_state_and_skipping_done_images(spark, tmp_path):
     root, state = str(tmp_path / "in"), str(tmp_path / "state")
-    assert streams.read_status(spark, state) is None
+    assert index.read_status(spark, state) is None
     _drop(root, "1", [("a", "api", 0, "PENDING"), ("b", "api", 0, "ERROR")])
     _drop(root, "2", [("a", "api", 1, "DONE"), ("b", "api", 1, "ERROR")])
 
     def track():
-        streams.track_status(_event_stream(spark, root), state, str(tmp_path / "c")).awaitTermination()
-        return {r.image_id: (r.status, r.attempts, r.failures) for r in streams.read_status(spark, state).collect()}
+        index.track_status(_event_stream(spark, root), state, str(tmp_path / "c")).awaitTermination()
+        return {r.image_id: (r.status, r.attempts, r.failures) for r in index.read_status(spark, state).collect()}
 
     assert track() == track() == {"a": ("DONE", 2, 0), "b": ("ERROR", 2, 2)}
-    assert streams.read_status(spark, state, since=_at(24 * 30)).count() == 0
+    assert index.read_status(spark, state, since=_at(24 * 30)).count() == 0
 
     work = str(tmp_path / "work")
     _drop(work, "1", [("a", "kafka", 2, "PENDING"), ("b", "kafka", 2, "PENDING"), ("b", "kafka", 3, "PENDING"), ("n", "api", 2, "PENDING")])
     todo = _event_stream(spark, work).withColumn("dt", F.to_date("uploaded_at"))
-    streams.process_new_images(todo, state, str(tmp_path / "todo"), str(tmp_path / "c2")).awaitTermination()
+    index.process_new_images(todo, state, str(tmp_path / "todo"), str(tmp_path / "c2")).awaitTermination()
     assert sorted((r.image_id, r.uploaded_at) for r in spark.read.parquet(str(tmp_path / "todo")).collect()) == [
         ("b", _at(2)), ("n", _at(2))
     ]
@@ -361,23 +361,84 @@ def test_images_expire_by_all_that_is_known_about_them(spark, tmp_path):
     root, state = str(tmp_path / "in"), str(tmp_path / "state")
     _drop(root, "1", [("a", "api", 0, "ERROR"), ("b", "api", 0, "DONE")])
     _drop(root, "2", [("a", "api", 24 * 5, "ERROR")])
-    streams.track_status(_event_stream(spark, root), state, str(tmp_path / "c")).awaitTermination()
-    assert streams.read_status(spark, state, since=_at(24 * 8)).count() == 0
-    row = {r.image_id: r for r in streams.read_status(spark, state, since=_at(24 * 6)).collect()}["a"]
+    index.track_status(_event_stream(spark, root), state, str(tmp_path / "c")).awaitTermination()
+    assert index.read_status(spark, state, since=_at(24 * 8)).count() == 0
+    row = {r.image_id: r for r in index.read_status(spark, state, since=_at(24 * 6)).collect()}["a"]
     assert (row.attempts, row.failures, row.expires_at) == (2, 2, _at(24 * 7))
 
 
-def test_snapshots_replace_old_micro_batches(spark, tmp_path):
+def _numbers(path):
+    return sorted(int(p.name.rpartition("=")[2]) for p in path.iterdir() if not p.name.startswith(("_", ".")))
+
+
+def test_buckets_are_folded_in_turn_and_old_folders_go(spark, tmp_path):
     root, state = str(tmp_path / "in"), str(tmp_path / "state")
-    rows = [(f"i{n % 7}", "api", n, "DONE" if n % 3 else "ERROR") for n in range(44)]
+    rows = [(f"i{n % 17}", "api", n, "DONE" if n % 3 else "ERROR") for n in range(44)]
     for part in range(11):
         _drop(root, f"{part:02d}", rows[part * 4:part * 4 + 4])
-    streams.track_status(_event_stream(spark, root), state, str(tmp_path / "c"), compact_every=3).awaitTermination()
-    names = sorted(p.name for p in (tmp_path / "state").iterdir())
-    assert names == ["batch_id=10", "batch_id=6", "batch_id=7", "batch_id=8", "batch_id=9", "snapshot=5", "snapshot=8"]
+    index.track_status(_event_stream(spark, root), state, str(tmp_path / "c"), compact_every=3, buckets=7).awaitTermination()
+    assert _numbers(tmp_path / "state" / "batches") == _numbers(tmp_path / "state" / "commits") == [5, 6, 7, 8, 9, 10]
+    folded = {n: _numbers(tmp_path / "state" / "snapshots" / f"batch_id={n}") for n in _numbers(tmp_path / "state" / "snapshots")}
+    assert list(folded) == [5, 6, 7, 8, 9, 10] and all((n + b) % 3 == 0 for n, found in folded.items() for b in found)
     whole = ev.status_rows(spark.read.schema(EVENT).json(root))
     columns = ["image_id", "status", "attempts", "failures", "expires_at", "last_at"]
-    assert bag(streams.read_status(spark, state).select(columns)) == bag(whole.select(columns))
+    assert bag(index.read_status(spark, state).select(columns)) == bag(whole.select(columns))
+    with pytest.raises(ValueError, match="buckets"):
+        index.track_status(_event_stream(spark, root), state, str(tmp_path / "c3"), buckets=8)
+
+
+def test_every_state_in_between_is_whole(spark, tmp_path):
+    """After each micro-batch, and with one that broke off before its commit, a read gives the state up to the last commit."""
+    root, state = str(tmp_path / "in"), str(tmp_path / "state")
+    rng, columns = random.Random(2), ["image_id", "status", "attempts", "failures", "expires_at", "last_at"]
+    told = []
+    for part in range(9):
+        told += (rows := [(f"i{rng.randrange(30)}", "api", part * 10 + n, rng.choice(["DONE", "ERROR", "PENDING"])) for n in range(6)])
+        _drop(root, f"{part:02d}", rows)
+        index.track_status(_event_stream(spark, root), state, str(tmp_path / "c"), compact_every=4, buckets=5).awaitTermination()
+        expected = bag(ev.status_rows(spark.createDataFrame([(i, s, _at(h), x) for i, s, h, x in told], EVENT)).select(columns))
+        assert bag(index.read_status(spark, state).select(columns)) == expected
+    # What an attempt left behind without a commit isn't read.
+    ev.status_rows(spark.createDataFrame([("i1", "api", _at(999), "DONE")], EVENT)).withColumn("bucket", F.lit(0)).write.partitionBy(
+        "bucket").parquet(f"{state}/batches/batch_id=9")
+    assert bag(index.read_status(spark, state).select(columns)) == expected
+
+
+def test_a_read_opens_the_wanted_buckets_only(spark, tmp_path):
+    root, state = str(tmp_path / "in"), str(tmp_path / "state")
+    for part in range(5):
+        _drop(root, str(part), [(f"i{n}", "api", part, "DONE") for n in range(200)])
+    index.track_status(_event_stream(spark, root), state, str(tmp_path / "c"), compact_every=2, buckets=16).awaitTermination()
+    layout = index.read_layout(spark, state)
+    wanted = spark.createDataFrame([("i5",), ("i77",)], "image_id string").select(layout.bucket().alias("b")).distinct()
+    numbers = [r.b for r in wanted.collect()]
+    frame = index.read_status(spark, state, buckets=numbers)
+    assert {layout.every, layout.buckets} == {2, 16} and {"i5", "i77"} <= {r.image_id for r in frame.collect()}
+    assert frame.count() < 100
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert filters and all("bucket" in line.split("PartitionFilters:")[1].split("PushedFilters")[0] for line in filters)
+    # The rows that the scans give out are those of the buckets, not of the state.
+    assert 0 < sum(_scans(frame)) <= 3 * frame.count()
+
+
+def _scans(frame):
+    """Rows out of each file scan of an executed plan."""
+    frame.collect()
+    found, todo = [], [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith("Scan"):
+            found.append(node.metrics().get("numOutputRows").get().value())
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+            continue
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
 
 
 def test_a_repeated_micro_batch_keeps_no_old_days(spark, tmp_path):
