@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import events as ev, quantiles, retention
 from ..operators.joins import lookup_join
 from ..operators.applications import rule_matrix
+from ..operators.sampling import keep_first
 from ..session import scratch_path, settled
 from ..sources import tables
 from ..streaming import images as streams, status as state
@@ -204,6 +205,92 @@ def stream_first_deliveries(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{root}/images").select("image_id")
 
 
+# ---- Late events and state that expires ------------------------------------------------
+
+# Events arrive in six runs of five days each, but every tenth only two runs later.
+_RUN_STARTS = ("2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21", "2024-01-26")
+_LAST_RUN = len(_RUN_STARTS)
+_OWN_RUN = " + ".join(f"case when uploaded_at >= timestamp '{d} 00:00:00' then 1 else 0 end" for d in _RUN_STARTS)
+_ARRIVAL = f"case when event_id % 10 = 3 then least({_OWN_RUN} + 2, {_LAST_RUN}) else {_OWN_RUN} end"
+
+# A stream reads the watermark of a run from the events of the runs before it, in whole milliseconds.
+_RUNS_SQL = f"""
+    arrived as (select event_id, image_id, source, uploaded_at, {_ARRIVAL} as run from image_events),
+    latest as (
+      select run, date_trunc('milliseconds', max(max(uploaded_at)) over (order by run rows between unbounded preceding and 1 preceding)) as seen
+      from arrived group by run)"""
+
+# At most one event of an image in a run, so that which one is first doesn't depend on the order inside a run.
+_SINGLE_SQL = f"""{_RUNS_SQL},
+    single as (
+      select a.*, seen from arrived a left join latest using (run)
+      qualify row_number() over (partition by image_id, run order by uploaded_at, event_id) = 1),
+    ontime as (select * from single where seen is null or uploaded_at > seen - interval 7 days),
+    run0 as (select * from ontime where run = 0)""" + "".join(f""",
+    run{n} as (
+      select * from run{n - 1} union all
+      select * from ontime o where run = {n} and not exists (
+        select 1 from run{n - 1} p where p.image_id = o.image_id and p.uploaded_at + interval 7 days > o.seen - interval 7 days))"""
+    for n in range(1, _LAST_RUN + 1))
+
+
+def _arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    rows = image_events(spark, folder).select("event_id", "image_id", "source", "uploaded_at", F.expr(_ARRIVAL).alias("run"))
+    return rows.withColumn("uploaded_at", F.col("uploaded_at").cast("timestamp"))
+
+
+def _run_by_run(spark: SparkSession, root: str, arrivals: DataFrame, start) -> list[streams.Finished]:
+    """Each run's events arrive, then a stream takes what is new and stops, as once an hour."""
+    schema, done = arrivals.schema, []
+    for run in range(_LAST_RUN + 1):
+        arrivals.where(F.col("run") == run).write.mode("append").parquet(f"{root}/in")
+        with streams.rocksdb_state(spark):
+            query = streams.write_appended(start(spark.readStream.schema(schema).parquet(f"{root}/in")), f"{root}/out", f"{root}/checkpoint")
+        done.append(streams.finished(spark, query))
+    return done
+
+
+def _deliver(spark: SparkSession, folder: str) -> tuple[str, list[streams.Finished]]:
+    root = scratch_path(spark, "deliveries")
+    single = keep_first(_arrivals(spark, folder), ["image_id", "run"], ["uploaded_at", "event_id"])
+    return root, _run_by_run(spark, root, single, streams.first_deliveries)
+
+
+@_q.add(duck(f"with {_SINGLE_SQL} select event_id, image_id, uploaded_at, run from run{_LAST_RUN}", "image_events"))
+def stream_deliveries_by_run(spark: SparkSession, folder: str) -> DataFrame:
+    """What the deduplication passes on over six runs: events older than the window are refused, an
+    image that comes back after its state has expired passes again."""
+    root, _ = _deliver(spark, folder)
+    return spark.read.parquet(f"{root}/out").select(
+        "event_id", "image_id", F.col("uploaded_at").cast("timestamp_ntz").alias("uploaded_at"), "run")
+
+
+@_q.add(duck(f"""
+    with {_SINGLE_SQL}
+    select run, count(*) as rows_read, count(*) filter (uploaded_at <= seen - interval 7 days) as rows_refused,
+      (select count(*) from run{_LAST_RUN} r where r.run = s.run) as rows_delivered from single s group by run""", "image_events"))
+def stream_refused_by_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows read, refused by the watermark and delivered in each run, as the stream itself counts them."""
+    root, done = _deliver(spark, folder)
+    counted = spark.createDataFrame([(n, d.rows, d.refused) for n, d in enumerate(done)], "run int, rows_read long, rows_refused long")
+    delivered = spark.read.parquet(f"{root}/out").groupBy("run").agg(F.count(F.lit(1)).alias("rows_delivered"))
+    return counted.join(delivered, "run", "left").fillna(0, ["rows_delivered"])
+
+
+@_q.add(duck(f"""
+    with {_RUNS_SQL}
+    select date_trunc('hour', uploaded_at) as hour_start, source, count(*) as uploads
+    from arrived left join latest using (run)
+    where (seen is null or date_trunc('hour', uploaded_at) + interval 1 hour > seen - interval 1 hour)
+      and date_trunc('hour', uploaded_at) + interval 1 hour <= (select date_trunc('milliseconds', max(uploaded_at)) from arrived) - interval 1 hour
+    group by all""", "image_events"))
+def stream_hours_without_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly counts over six runs: a closed hour is emitted once and refuses what comes after."""
+    root = scratch_path(spark, "late-hours")
+    _run_by_run(spark, root, _arrivals(spark, folder), streams.hourly_counts)
+    return spark.read.parquet(f"{root}/out").withColumn("hour_start", F.col("hour_start").cast("timestamp_ntz"))
+
+
 @_q.add(duck(f"select * from ({_STATUS}) s where expires_at >= timestamp '{_CUTOFF}'", "image_events"))
 def stream_image_status(spark: SparkSession, folder: str) -> DataFrame:
     """The index after five micro-batches, each bucket folded at every second: images not expired at the cut-off."""

@@ -6,12 +6,22 @@ Watermarks need a zoned timestamp, so ``uploaded_at`` must be ``timestamp``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import rules
 from ..operators import events as ev
 
+#: State of streams on disk, its changes (not whole copies) written to the checkpoint.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 #: How late an event may be and still count in its hour.
 LATE_BY = "1 hour"
 
@@ -35,6 +45,46 @@ def hourly_counts(events: DataFrame, late_by: str = LATE_BY) -> DataFrame:
     return ev.uploads_per_hour(events.withWatermark("uploaded_at", late_by))
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB: on the executors' disks, with changes
+    written to the checkpoint, so seven days of image ids need not fit the heap."""
+    before = {key: spark.conf.get(key, None) for key in ROCKSDB}
+    for key, value in ROCKSDB.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@dataclass(frozen=True)
+class Finished:
+    """A run of a stream that came to its end: micro-batches, rows read, and rows refused as too late."""
+
+    batches: int
+    rows: int
+    refused: int
+
+
+def finished(spark: SparkSession, query: StreamingQuery) -> Finished:
+    """Wait for a run and add up what it read and what its watermark refused.
+
+    A deduplication counts refused events; a windowed count sums its rows per task and window first, and counts these sums.
+    Only the last ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches are remembered; a longer
+    run raises, as its counts would not be whole.
+    """
+    query.awaitTermination()
+    progress = query.recentProgress
+    if len(progress) >= int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")):
+        raise RuntimeError("a longer run than Spark remembers: raise spark.sql.streaming.numRecentProgressUpdates")
+    return Finished(
+        len({p["batchId"] for p in progress if p["numInputRows"]}), sum(p["numInputRows"] for p in progress),
+        sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"]),
+    )
+
+
 def land_by_day(events: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Append a stream of events (with ``dt``) to ``dt=`` folders, each event once."""
     return (

@@ -335,6 +335,43 @@ def test_stream_hours_equal_batch_hours_once_closed(spark, tmp_path):
     assert bag(spark.read.parquet(str(tmp_path / "o"))) == bag(closed) != []
 
 
+def test_late_events_are_refused_and_counted_and_state_expires(spark, tmp_path):
+    root, out, checkpoint = (str(tmp_path / n) for n in ("in", "o", "c"))
+    runs = [
+        [("a", "api", 0, "DONE"), ("b", "api", 1, "DONE")],
+        [("a", "kafka", 24 * 5, "DONE"), ("c", "api", 24 * 9, "DONE")],        # a repeats within seven days
+        [("late", "api", 24, "DONE"), ("d", "api", 24 * 20, "DONE")],          # older than day 9 less seven days
+        [("a", "api", 24 * 21, "DONE"), ("late", "api", 24 * 22, "DONE"), ("c", "api", 24 * 14, "DONE")],
+        [("d", "kafka", 24 * 26, "DONE"), ("c", "api", 24 * 13, "DONE")],      # on day 22, day 13 is too old, day 26 repeats
+    ]
+    done = []
+    for n, rows in enumerate(runs):
+        _drop(root, str(n), rows)
+        with streams.rocksdb_state(spark):
+            query = streams.write_appended(streams.first_deliveries(_event_stream(spark, root)), out, checkpoint)
+        done.append(streams.finished(spark, query))
+        assert any(m.startswith("rocksdb") for p in query.recentProgress for o in p["stateOperators"] for m in o["customMetrics"])
+    found = sorted((r.image_id, int((r.uploaded_at - _at(0)).total_seconds() // 3600)) for r in spark.read.parquet(out).collect())
+    assert found == sorted([("a", 0), ("b", 1), ("c", 24 * 9), ("d", 24 * 20), ("a", 24 * 21), ("late", 24 * 22)])
+    assert [d.rows for d in done] == [2, 2, 2, 3, 2] and [d.refused for d in done] == [0, 0, 1, 0, 1]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != next(iter(streams.ROCKSDB.values()))
+
+
+def test_a_run_longer_than_the_progress_kept_is_not_counted(spark, tmp_path):
+    root = str(tmp_path / "in")
+    for n in range(4):
+        _drop(root, str(n), [("a", "api", n, "DONE")])
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        one_by_one = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).json(root)
+        query = streams.write_appended(streams.first_deliveries(one_by_one), str(tmp_path / "o"), str(tmp_path / "c"))
+        with pytest.raises(RuntimeError, match="numRecentProgressUpdates"):
+            streams.finished(spark, query)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+
+
 def test_status_state_and_skipping_done_images(spark, tmp_path):
     root, state = str(tmp_path / "in"), str(tmp_path / "state")
     assert index.read_status(spark, state) is None
