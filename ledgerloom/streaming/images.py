@@ -72,12 +72,12 @@ def finished(spark: SparkSession, query: StreamingQuery) -> Finished:
     """Wait for a run and add up what it read and what its watermark refused.
 
     A deduplication counts refused events; a windowed count sums its rows per task and window first, and counts these sums.
-    Only the last ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches are remembered; a longer
-    run raises, as its counts would not be whole.
+    Spark remembers fewer micro-batches than ``spark.sql.streaming.numRecentProgressUpdates``; a run of as
+    many raises, as its counts may not be whole.
     """
     query.awaitTermination()
     progress = query.recentProgress
-    if len(progress) >= int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")):
+    if len(progress) >= int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")) - 1:
         raise RuntimeError("a longer run than Spark remembers: raise spark.sql.streaming.numRecentProgressUpdates")
     return Finished(
         len({p["batchId"] for p in progress if p["numInputRows"]}), sum(p["numInputRows"] for p in progress),

@@ -362,7 +362,7 @@ def test_a_run_longer_than_the_progress_kept_is_not_counted(spark, tmp_path):
     for n in range(4):
         _drop(root, str(n), [("a", "api", n, "DONE")])
     old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
     try:
         one_by_one = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).json(root)
         query = streams.write_appended(streams.first_deliveries(one_by_one), str(tmp_path / "o"), str(tmp_path / "c"))
