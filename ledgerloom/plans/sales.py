@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import integrity, keys, sales, sampling
 from ..session import scratch_path
-from ..sources import tables
+from ..sources import tables, totals as kept
 from .onboarding import accepted, cleaned
 from .registry import Collected
 from .views import duck, items, lines, members, transactions
@@ -124,6 +124,70 @@ def incremental_totals(spark: SparkSession, folder: str) -> DataFrame:
     return sales.refresh_touched_totals(transactions(spark, folder), after, feed)
 
 
+# Three feeds with images: first lines move to the next basket; what was returned is deleted; quantities
+# change and lines are added.
+_REPRICED, _ADDED = "transaction_id % 200 = 57", "transaction_id % 200 = 157 and line_number = 1"
+
+_AFTER_FEEDS = f"""
+    after_feeds as (
+      select case when {_MOVED} then transaction_id + 1 else transaction_id end as transaction_id,
+        case when {_REPRICED} then quantity + 2 else quantity end as quantity, unit_cost_at_purchase, unit_weight_at_purchase
+      from lines where not ({_DELETED})
+      union all select transaction_id, 3, unit_cost_at_purchase, unit_weight_at_purchase from lines where {_ADDED}),
+    totals as (
+      select transaction_id, sum(quantity * unit_cost_at_purchase) as price, sum(quantity * unit_weight_at_purchase) as weight,
+        count(*) as line_count from after_feeds group by transaction_id)"""
+
+
+def _feeds(spark: SparkSession, folder: str) -> list[DataFrame]:
+    before, image = lines(spark, folder), kept.line_image()
+    moved = kept.line_image(transaction_id=F.col("transaction_id") + 1)
+    more, added = kept.line_image(quantity=F.col("quantity") + 2), kept.line_image(quantity=F.lit(3))
+    return [
+        before.where(_MOVED).select(*kept.change("update", image, moved)),
+        before.where(_DELETED).select(*kept.change("delete", image)),
+        before.where(_REPRICED).select(*kept.change("update", image, more)).union(
+            before.where(_ADDED).select(*kept.change("insert", None, added))),
+    ]
+
+
+def _kept_totals(spark: SparkSession, folder: str) -> str:
+    """Kept totals after three feeds: the second came twice, then both were folded, and the first came again."""
+    root = scratch_path(spark, "totals")
+    kept.create_totals(lines(spark, folder), root)
+    first, second, third = _feeds(spark, folder)
+    for number, feed in ((1, first), (2, second), (2, second)):
+        kept.apply_feed(spark, root, number, feed)
+    kept.fold_totals(spark, root)
+    kept.apply_feed(spark, root, 1, first)
+    kept.apply_feed(spark, root, 3, third)
+    return root
+
+
+@_q.add(duck(f"""
+    with {_AFTER_FEEDS.strip()}
+    select t.transaction_id, t.membership_id, t.transaction_ts, cast(coalesce(s.price, 0) as decimal(22,2)) as total_items_price,
+      cast(coalesce(s.weight, 0) as decimal(22,3)) as total_items_weight, coalesce(s.line_count, 0) as line_count
+    from transactions t left join totals s using (transaction_id)""", "transactions", "lines"))
+def totals_by_signed_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """Headers with totals kept by adding and retracting; lines are in the feeds only."""
+    totals = kept.read_totals(spark, _kept_totals(spark, folder))
+    headers = transactions(spark, folder).drop("total_items_price", "total_items_weight")
+    return headers.join(totals, "transaction_id", "left").select(
+        *headers.columns, F.coalesce("price", F.lit(0)).cast("decimal(22,2)").alias("total_items_price"),
+        F.coalesce("weight", F.lit(0)).cast("decimal(22,3)").alias("total_items_weight"), F.coalesce("line_count", F.lit(0)).alias("line_count"))
+
+
+@_q.add(duck(f"""
+    with {_AFTER_FEEDS.strip()},
+    touched as (select distinct transaction_id from lines where ({_REPRICED}) or ({_ADDED}))
+    select transaction_id, cast(price as decimal(22,2)) as price, cast(weight as decimal(22,3)) as weight, line_count
+    from touched join totals using (transaction_id)""", "lines"))
+def touched_by_signed_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of the baskets that the last feed touched."""
+    return kept.touched_totals(spark, _kept_totals(spark, folder), since=3)
+
+
 @_q.add(duck(f"""
     with {_TOTALS.format(lines='lines').strip()}
     select t.transaction_id, cast(t.total_items_price as decimal(22,2)) as stored_price,
