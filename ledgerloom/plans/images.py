@@ -9,7 +9,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import events as ev, quantiles, retention
+from ..operators import events as ev, quantiles, retention, summaries
 from ..operators.joins import lookup_join
 from ..operators.applications import rule_matrix
 from ..operators.sampling import keep_first
@@ -384,6 +384,47 @@ def daily_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(ev.daily_metrics(image_events(spark, folder)))
 
 
+_WEEKLY = """
+    select date_trunc('week', dt)::date as week, source, count(*) as images, count(*) filter (status = 'ERROR') as failed,
+      cast(sum(bytes_in) as bigint) as bytes_in, round(count(*) filter (status = 'ERROR') / count(*), 6) as failure_rate,
+      true as percentiles_within_bound, true as distinct_within_bound
+    from image_events group by all"""
+
+
+@_q.add(duck(_WEEKLY, "image_events"))
+def weekly_metrics_from_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """Weeks rolled up from stored daily rows; the events serve to hold the estimates against their bounds only."""
+    root, events = scratch_path(spark, "summaries"), image_events(spark, folder)
+    tables.write_by_day(summaries.daily_summaries(events), root)
+    week = {"week": F.to_date(F.date_trunc("week", "dt")), "source": F.col("source")}
+    weekly = summaries.summary_metrics(summaries.rolled_up(spark.read.parquet(root), week))
+    told = weekly.select("week", "source", "distinct_images", *ev.LATENCY_PERCENTILES)
+    rows = lookup_join(events.withColumn("week", week["week"]).select("week", "source", "duration_ms", "image_id"), told, ["week", "source"],
+                       "inner", null_safe=True)
+    total, near = F.count("duration_ms"), []
+    for name, share in ev.LATENCY_PERCENTILES.items():
+        slack = 2 * summaries.rank_error() * total + 1
+        near.append((F.count_if(F.col("duration_ms") < F.col(name)) <= share * total + slack)
+                    & (F.count_if(F.col("duration_ms") <= F.col(name)) >= share * total - slack))
+    exact = F.count_distinct("image_id")
+    held = rows.groupBy("week", "source").agg(
+        reduce(and_, near).alias("percentiles_within_bound"),
+        (F.abs(F.first("distinct_images") - exact) <= 4 * summaries.distinct_error() * exact + 1).alias("distinct_within_bound"))
+    return weekly.drop("distinct_images", *ev.LATENCY_PERCENTILES).join(held, ["week", "source"])
+
+
+@_q.add(duck(f"select week, sum(images)::bigint as images, sum(failed)::bigint as failed, sum(bytes_in)::bigint as bytes_in from ({_WEEKLY}) w group by week",
+             "image_events"))
+def weekly_metrics_after_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """All weeks, although the sweep has removed the events of most; daily rows are rolled up twice."""
+    root, events = scratch_path(spark, "swept-summaries"), image_events(spark, folder)
+    tables.write_by_day(summaries.daily_summaries(events), f"{root}/daily")
+    tables.write_by_day(retention.kept(events, _CUTOFF), f"{root}/events")
+    by_source = summaries.rolled_up(spark.read.parquet(f"{root}/daily"), {"dt": F.col("dt"), "source": F.lit("all")})
+    weekly = summaries.rolled_up(by_source, {"week": F.to_date(F.date_trunc("week", "dt"))})
+    return summaries.summary_metrics(weekly).select("week", "images", "failed", "bytes_in")
+
+
 # ---- Retention ------------------------------------------------------------------------
 
 _LIMIT = f"timestamp '{_CUTOFF}' - interval 7 days"

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .. import functions as fx, rules
-from ..operators import applications as ap, integrity, quality, sampling
+from ..operators import applications as ap, integrity, quality, sampling, summaries
 from ..session import scratch_path
 from ..sources import batches, runs, sinks, tables
 from ..streaming.applications import stream_applications as start_applications
@@ -545,6 +547,53 @@ def output_overlap_by_email(spark: SparkSession, folder: str) -> DataFrame:
     return quality.shared_applicants(ap.successful(rows), ap.unsuccessful(rows), ["email"])
 
 
+_IDENTITIES = {"email": "lower(trim(email))", "domain": "case when email like '%@%' then split_part(lower(trim(email)), '@', -1) end"}
+
+
+def _batch_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketches of addresses and domains, stored for each batch by its own run, per output."""
+    root = scratch_path(spark, "sketches")
+    values = {"email": F.lower(F.btrim("email", F.lit(rules.WHITESPACE))), "domain": fx.email_domain(F.col("email"))}
+    for batch in _BATCHES:
+        rows = validated(spark, folder).where(F.col("source_file") == batch)
+        side = F.when(F.col("is_successful"), "accepted").otherwise("rejected")
+        summaries.identity_sketches(rows.withColumn("side", side), ["source_file", "side"], values).write.parquet(f"{root}/run={batch}")
+    return spark.read.parquet(root)
+
+
+@_q.add(duck(f"""
+    select count(*) as rows, count(email) as email_rows, count(distinct {_IDENTITIES['email']}) as emails,
+      count({_IDENTITIES['domain']}) as domain_rows, count(distinct {_IDENTITIES['domain']}) as domains, true as within_bound
+    from applications""", "applications"))
+def distinct_from_batch_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact numbers, and whether those merged from the sketches of all batches are within four standard errors."""
+    merged = summaries.merged_identities(_batch_sketches(spark, folder), [], ["email", "domain"])
+    exact = applications(spark, folder).select(
+        F.lower(F.btrim("email", F.lit(rules.WHITESPACE))).alias("email"), fx.email_domain(F.col("email")).alias("domain")
+    ).agg(F.count_distinct("email").alias("emails"), F.count_distinct("domain").alias("domains"))
+    off = [F.abs(F.hll_sketch_estimate(f"{v}_distinct") - F.col(f"{v}s")) <= 4 * summaries.distinct_error() * F.col(f"{v}s") + 1 for v in ("email", "domain")]
+    # Both sides are one row.
+    return merged.withColumn("one", F.lit(1)).join(exact.withColumn("one", F.lit(1)), "one").select(
+        "rows", "email_rows", "emails", "domain_rows", "domains", (off[0] & off[1]).alias("within_bound"))
+
+
+@_q.add(duck(f"""
+    with sides as (select distinct is_successful, {_IDENTITIES['domain']} as d from validated where {_IDENTITIES['domain']} is not null)
+    select count(*) filter (is_successful) as accepted, count(*) filter (not is_successful) as rejected, count(distinct d) as either,
+      count(*) - count(distinct d) as both, true as within_bound from sides""", "validated"))
+def overlap_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Domains met in both outputs, exact, and whether the theta sketches are within four errors of the union."""
+    merged = summaries.merged_identities(_batch_sketches(spark, folder), ["side"], ["domain"])
+    estimate = summaries.overlap_estimate(merged, "side", ["accepted", "rejected"], "domain")
+    sides = validated(spark, folder).select("is_successful", fx.email_domain(F.col("email")).alias("d")).where("d is not null").distinct()
+    exact = sides.agg(F.count_if("is_successful").alias("accepted"), F.count_if(~F.col("is_successful")).alias("rejected"),
+                      F.count_distinct("d").alias("either")).withColumn("both", F.expr("accepted + rejected - either"))
+    names = ("accepted", "rejected", "either", "both")
+    told = estimate.select(F.lit(1).alias("one"), *[F.col(n).alias(f"est_{n}") for n in names])
+    near = [F.abs(F.col(f"est_{n}") - F.col(n)) <= 4 * summaries.distinct_error() * F.col("either") + 1 for n in names]
+    return exact.withColumn("one", F.lit(1)).join(told, "one").select(*names, reduce(and_, near).alias("within_bound"))
+
+
 def _two_runs(spark: SparkSession, folder: str) -> tuple[sinks.Written, sinks.Written]:
     """Two written runs; before the second, the e-mails of one batch were lost."""
     out, rows = scratch_path(spark, "replay"), applications(spark, folder)
