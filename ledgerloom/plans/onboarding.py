@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from .. import functions as fx, rules
 from ..operators import applications as ap, integrity, quality, sampling, summaries
 from ..session import scratch_path
-from ..sources import batches, runs, sinks, tables
+from ..sources import batches, replay, runs, sinks, tables
 from ..streaming.applications import stream_applications as start_applications
 from .registry import Collected
 from .views import applications, duck, table
@@ -605,8 +605,11 @@ def _two_runs(spark: SparkSession, folder: str) -> tuple[sinks.Written, sinks.Wr
 
 
 def _replayed(spark: SparkSession, folder: str, side: str) -> DataFrame:
-    first, second = (spark.read.parquet(run.folders[side]) for run in _two_runs(spark, folder))
-    return quality.replay_difference(first, second)
+    root, found = scratch_path(spark, "kept-runs"), _two_runs(spark, folder)
+    paths = [f"{root}/{run.run}" for run in found]
+    for run, path in zip(found, paths):
+        replay.keep_run(spark.read.parquet(run.folders[side]), path, buckets=64)
+    return replay.kept_difference(spark, *paths)
 
 
 _BALANCE = """
