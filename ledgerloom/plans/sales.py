@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import integrity, keys, sales, sampling
-from ..session import scratch_path
-from ..sources import tables, totals as kept
+from ..session import scratch_path, settled
+from ..sources import mart, tables, totals as kept
 from .onboarding import accepted, cleaned
 from .registry import Collected
 from .views import duck, items, lines, members, transactions
@@ -239,6 +241,49 @@ def monthly_partition_scan(spark: SparkSession, folder: str) -> DataFrame:
     return sales.monthly_revenue(months, "1997-03-01", "1997-09-01")
 
 
+@_q.add(duck("""
+    select strftime(transaction_ts, '%Y-%m') as month, concat(year(transaction_ts), '-Q', quarter(transaction_ts)) as quarter,
+      count(*) as transactions, cast(sum(total_items_price) as decimal(22,2)) as revenue
+    from transactions where year(transaction_ts) in (1994, 1997) and quarter(transaction_ts) = 2 group by all""", "transactions"))
+def revenue_of_quarters(spark: SparkSession, folder: str) -> DataFrame:
+    """Months picked by a calendar table at run time; only their folders are opened."""
+    root = scratch_path(spark, "quarters")
+    tables.write_by_month(transactions(spark, folder), f"{root}/sales")
+    tables.calendar_months(spark, "1990-01", "1999-12").write.parquet(f"{root}/calendar")
+    wanted = F.col("quarter").isin("1994-Q2", "1997-Q2")
+    rows = tables.read_months_of(spark, f"{root}/sales", spark.read.parquet(f"{root}/calendar"), wanted)
+    return rows.groupBy("month", "quarter").agg(
+        F.count(F.lit(1)).alias("transactions"), F.sum("total_items_price").cast("decimal(22,2)").alias("revenue"))
+
+
+# ---- Stored in buckets ----------------------------------------------------------------
+
+
+def _with_mart(spark: SparkSession, folder: str, ask) -> DataFrame:
+    """What ``ask`` makes of the bucketed tables, settled before they are dropped."""
+    stored = mart.store_mart(f"mart_{uuid.uuid4().hex}", members(spark, folder), transactions(spark, folder), lines(spark, folder), buckets=16)
+    try:
+        return settled(ask(stored))
+    finally:
+        mart.drop_mart(spark, stored)
+
+
+@_q.add(duck(f"with {_TOTALS.format(lines='lines').strip()} {_REFRESHED}", "transactions", "lines"))
+def transaction_totals_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Basket totals from tables in buckets of the transaction: no row is exchanged."""
+    return _with_mart(spark, folder, lambda m: sales.refresh_totals(mart.bucketed(spark, m.headers), mart.bucketed(spark, m.lines)))
+
+
+@_q.add(duck("""
+    select m.membership_id, m.first_name, m.last_name, count(t.transaction_id) as transaction_count,
+      cast(sum(t.total_items_price) as decimal(22,2)) as total_spent
+    from members m join transactions t using (membership_id) group by all
+    order by total_spent desc, m.membership_id limit 10""", "members", "transactions"))
+def top10_members_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranking from tables in buckets of the member: only the ten best of each task move."""
+    return _with_mart(spark, folder, lambda m: sales.members_by_spending(mart.bucketed(spark, m.members), mart.bucketed(spark, m.purchases)))
+
+
 @_q.add(duck("""
     select i.item_id, i.cost as list_price, count(*) as lines, min(l.unit_cost_at_purchase) as min_paid,
       max(l.unit_cost_at_purchase) as max_paid

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import rules
 from .sinks import read_records
@@ -75,10 +78,34 @@ def write_by_day(frame: DataFrame, root: str, mode: str = "overwrite", replace_a
     write_partitioned(frame, root, "dt", mode, replace_all)
 
 
-def read_days(spark: SparkSession, root: str, first: str, last: str | None = None) -> DataFrame:
-    """Days ``first`` to ``last`` of a table written by ``write_by_day``; others are not opened."""
-    table = spark.read.parquet(root).where(F.col("dt") >= F.lit(first).cast("date"))
-    return table if last is None else table.where(F.col("dt") <= F.lit(last).cast("date"))
+def day_folders(spark: SparkSession, root: str, first: str | date, last: str | date) -> list[str]:
+    """Folders of the days ``first`` to ``last`` that exist.
+
+    Their names follow from the bounds, so each is looked up by itself and the table is not listed:
+    the work depends on the days that are asked for, not on those that are stored.
+    """
+    start, end = (date.fromisoformat(str(d)) for d in (first, last))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    names = [f"{root}/dt={start + timedelta(n)}" for n in range((end - start).days + 1)]
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    return [n for n in names if files.exists(path(n))]
+
+
+def read_days(spark: SparkSession, root: str, first: str, last: str | None = None, schema: str | None = None) -> DataFrame:
+    """Days ``first`` to ``last`` of a table written by ``write_by_day``.
+
+    With both bounds only the folders of these days are looked at (``day_folders``); days that are missing hold
+    no rows. ``schema`` (without ``dt``) spares the look into a file, and is needed where the table may be
+    missing altogether. Without ``last`` the table's folders are listed and the others are not opened.
+    """
+    reader = spark.read if schema is None else spark.read.schema(f"{schema}, dt date")
+    after = F.col("dt") >= F.lit(first).cast("date")
+    if last is None:
+        return reader.parquet(root).where(after)
+    folders = day_folders(spark, root, first, last)
+    if folders:
+        return reader.option("basePath", root).parquet(*folders).where(after & (F.col("dt") <= F.lit(last).cast("date")))
+    return spark.createDataFrame([], f"{schema}, dt date") if schema is not None else spark.read.parquet(root).limit(0)
 
 
 def write_by_month(transactions: DataFrame, root: str) -> None:
@@ -91,3 +118,28 @@ def read_months(spark: SparkSession, root: str, first: str, last: str) -> DataFr
     """Months ``first`` to ``last`` (``YYYY-MM``) of ``write_by_month``; others are not opened."""
     month = F.col("month").cast("string")
     return spark.read.parquet(root).where((month >= first) & (month <= last))
+
+
+def read_months_of(spark: SparkSession, root: str, calendar: DataFrame, wanted: Column) -> DataFrame:
+    """Transactions of ``write_by_month`` in the months of ``calendar`` (month, ...) that are ``wanted``, with its columns.
+
+    Which folders are opened is known only when the calendar has been read: Spark sends the months it
+    found to the scan (dynamic partition pruning). A calendar has a row a month, so it is broadcast.
+    """
+    months = calendar.where(wanted).withColumn("month", F.col("month").cast("string"))
+    stored = spark.read.option("basePath", root).schema(_with_text_month(spark, root)).parquet(root)
+    return stored.join(F.broadcast(months), "month")
+
+
+def _with_text_month(spark: SparkSession, root: str) -> StructType:
+    """The table's schema with the folder name as text, as it is written."""
+    found = spark.read.parquet(root).schema
+    return StructType([StructField(f.name, StringType() if f.name == "month" else f.dataType) for f in found])
+
+
+def calendar_months(spark: SparkSession, first: str, last: str) -> DataFrame:
+    """(month, quarter, year) for the months ``first`` to ``last``, both ``YYYY-MM``."""
+    start, end = (F.to_date(F.lit(f"{m}-01")) for m in (first, last))
+    days = spark.range(1).select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MONTH"))).alias("day"))
+    quarter = F.concat(F.year("day").cast("string"), F.lit("-Q"), F.quarter("day").cast("string"))
+    return days.select(F.date_format("day", "yyyy-MM").alias("month"), quarter.alias("quarter"), F.year("day").alias("year"))
