@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import functions as fx, rules
 from ..session import settled
-from .applications import Rule
+from .applications import Rule, decided
 from .joins import lookup_join
 
 
@@ -18,7 +18,7 @@ def rejection_histogram(validated: DataFrame) -> DataFrame:
     The window runs over the grouped result, at most 2^rules rows.
     """
     per_reason = (
-        validated.where("NOT is_successful")
+        decided(validated).where("NOT is_successful")
         .groupBy("rejection_reason").agg(F.count(F.lit(1)).alias("applications"))
     )
     return per_reason.withColumn(
