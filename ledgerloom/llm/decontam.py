@@ -47,6 +47,7 @@ BENCHMARK_PASSAGES = 1024
 _PUNCTUATION = bytes(0x20 if b < 0x80 and not chr(b).isalnum() else b for b in range(256))
 _OCCURRENCES = 50_000
 _PAIRS = 1 << 20
+_DENSE = 1 << 24
 _PIECE = 32
 _SENTENCE = re.compile(r"[.?!;\n]+")
 _ANSWER = re.compile(r"(?i)\banswer\s*[:=]")
@@ -286,55 +287,115 @@ def _masks(words: np.ndarray) -> dict[int, int]:
     return masks
 
 
-def _note_near(near: dict, sums: np.ndarray, blocks: np.ndarray, width: int, targets: np.ndarray, owner: np.ndarray, cosine: float) -> None:
-    """Adds (first word, end, cosine) of passages of two blocks of ``width`` words, by document and item."""
+def _near(sums: np.ndarray, blocks: np.ndarray, width: int, targets: np.ndarray, owner: np.ndarray, cosine: float) -> np.ndarray:
+    """Passages of two blocks of ``width`` words near an item: lines of document, item, first word, end and cosine."""
     vectors, there = _passages(sums, blocks)
     norms = np.linalg.norm(vectors, axis=1)
     usable = np.flatnonzero(there & (norms > 1e-9))
     first = np.cumsum(blocks) - blocks
     step = max(1, _PAIRS // max(1, len(targets)))
+    out = [np.zeros((0, 5))]
     for at in range(0, len(usable), step):
         some = usable[at:at + step]
         likeness = (vectors[some] / norms[some, None]) @ targets.T
-        for p, t in zip(*np.nonzero(likeness >= cosine)):
-            doc = int(np.searchsorted(first, some[p], side="right")) - 1
-            start = int(some[p] - first[doc]) * width
-            near.setdefault((doc, int(owner[t])), []).append((start, start + 2 * width, float(likeness[p, t])))
+        p, t = np.nonzero(likeness >= cosine)
+        doc = np.searchsorted(first, some[p], side="right") - 1
+        start = (some[p] - first[doc]) * width
+        out.append(np.column_stack([doc, owner[t], start, start + 2 * width, likeness[p, t]]))
+    return np.concatenate(out)
+
+
+class SharedWords:
+    """Upper bounds of the longest common subsequence: words that a region shares with an item, order aside."""
+
+    def __init__(self, items: Items):
+        self.size = len(items.terms)
+        counts = [np.unique(w, return_counts=True) for w in items.words]
+        self.keys = np.concatenate([n * np.int64(self.size) + terms for n, (terms, _) in enumerate(counts)] or [np.zeros(0, np.int64)])
+        self.counts = np.concatenate([c for _, c in counts] or [np.zeros(0, np.int64)])
+        self.table = None
+        if len(items.words) * self.size <= _DENSE:  # the same counts, looked up faster
+            self.table = np.zeros(len(items.words) * self.size, np.int32)
+            self.table[self.keys] = self.counts
+
+    def _limits(self, keys: np.ndarray) -> np.ndarray:
+        if self.table is not None:
+            return self.table[keys]
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.counts[at], 0)
+
+    def reach(self, terms: np.ndarray, left: np.ndarray, right: np.ndarray, item: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Which regions ``terms[left:right]`` share at least ``least`` words with their item, each as often as both have it."""
+        out = np.zeros(len(left), bool)
+        lengths = right - left
+        ends = np.cumsum(lengths)
+        at = 0
+        while at < len(left):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PAIRS, side="right")))
+            own = lengths[at:stop]
+            begin = np.cumsum(own) - own
+            region = np.repeat(np.arange(stop - at), own)
+            found = terms[np.arange(int(own.sum())) + np.repeat(left[at:stop] - begin, own)]
+            limits = self._limits(item[at:stop][region] * np.int64(self.size) + found)
+            known = limits > 0
+            # All shared words first; then, for what is left, no word more often than the item has it.
+            enough = np.bincount(region[known], minlength=stop - at) >= least[at:stop]
+            known &= enough[region]
+            pairs, first, times = np.unique(region[known] * np.int64(self.size) + found[known], return_index=True, return_counts=True)
+            shared = np.bincount(pairs // self.size, np.minimum(times, limits[known][first]), minlength=stop - at)
+            out[at:stop] = shared >= least[at:stop]
+            at = stop
+        return out
 
 
 def _searcher(items: Items, table: np.ndarray, targets: np.ndarray, owner: np.ndarray,
               cosine: float, copy: float, paraphrase: float, answer: float):
+    """Hits of each batch: passages near an item, of these the regions that share enough words, of these the ones in order."""
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = table.astype(np.float32)
-        short = np.flatnonzero(np.array([len(w) for w in items.words])[owner] <= BLOCK_WORDS)
+        sizes = np.array([len(w) for w in items.words], np.int64)
+        short = np.flatnonzero(sizes[owner] <= BLOCK_WORDS)
         masks = [_masks(w) for w in items.words]
         answers = [_masks(w) for w in items.answers]
+        shared = SharedWords(items)
+        least = np.ceil(paraphrase * sizes - 1e-9).astype(np.int64)
         for batch in batches:
             out = []
-            all_places, all_terms = batch.column("places"), batch.column("terms")
+            ends = np.concatenate([[0], batch.column("places").value_lengths().to_numpy(zero_copy_only=False).cumsum()])
+            all_places = batch.column("places").flatten().to_numpy(zero_copy_only=False)
+            all_terms = batch.column("terms").flatten().to_numpy(zero_copy_only=False)
             for rows, part, terms, blocks in _slices(batch, 2):
-                near: dict[tuple[int, int], list[tuple[int, int, float]]] = {}
                 halves = _sums(small, terms, part, 2 * int(blocks.sum()))
-                _note_near(near, halves[::2] + halves[1::2], blocks, BLOCK_WORDS, targets, owner, cosine)
+                near = [_near(halves[::2] + halves[1::2], blocks, BLOCK_WORDS, targets, owner, cosine)]
                 if len(short):
-                    _note_near(near, halves, 2 * blocks, BLOCK_WORDS // 2, targets[short], owner[short], cosine)
-                for (doc, item), hits in near.items():
-                    row, words = rows.start + doc, items.words[item]
-                    places = all_places[row].values.to_numpy(zero_copy_only=False)
-                    doc_terms = all_terms[row].values.to_numpy(zero_copy_only=False)
-                    best = None
-                    for start, end in sorted({h[:2] for h in hits}):
-                        left, right = np.searchsorted(places, [start - len(words), end + len(words)])
-                        region = doc_terms[left:right].tolist()
-                        share = _common_order(masks[item], len(words), region) / len(words)
-                        if share < paraphrase:
-                            continue
-                        said = items.answers[item]
-                        told = _common_order(answers[item], len(said), region) / len(said) if len(said) else 1.0
-                        if share >= copy or told >= answer:
-                            best = max(best or (0.0, 0.0), (share, told))
-                    if best:
-                        out.append((row, items.ids[item], max(h[2] for h in hits), *best))
+                    near.append(_near(halves, 2 * blocks, BLOCK_WORDS // 2, targets[short], owner[short], cosine))
+                lines = np.concatenate(near)
+                if not len(lines):
+                    continue
+                regions, back = np.unique(lines[:, :4].astype(np.int64), axis=0, return_inverse=True)
+                doc, item, start, end = regions.T
+                pair = doc * len(sizes) + item
+                pairs, number = np.unique(pair, return_inverse=True)
+                nearest = np.zeros(len(pairs))
+                np.maximum.at(nearest, number[back.reshape(-1)], lines[:, 4])
+                # Places of all documents of the slice on one line, so all regions are found at once.
+                counts = np.diff(ends[rows.start:rows.stop + 1])
+                line = (np.repeat(np.arange(len(counts)), counts).astype(np.int64) << 32) + all_places[ends[rows.start]:ends[rows.stop]]
+                left = np.searchsorted(line, (doc << 32) + np.maximum(0, start - sizes[item]))
+                right = np.searchsorted(line, (doc << 32) + end + sizes[item])
+                best: dict[int, tuple[float, float]] = {}
+                for at in np.flatnonzero(shared.reach(terms, left, right, item, least[item])).tolist():
+                    own = int(item[at])
+                    region = terms[left[at]:right[at]].tolist()
+                    share = _common_order(masks[own], int(sizes[own]), region) / int(sizes[own])
+                    if share < paraphrase:
+                        continue
+                    said = items.answers[own]
+                    told = _common_order(answers[own], len(said), region) / len(said) if len(said) else 1.0
+                    if share >= copy or told >= answer:
+                        best[number[at]] = max(best.get(number[at], (0.0, 0.0)), (share, told))
+                for at, shares in best.items():
+                    out.append((rows.start + int(pairs[at]) // len(sizes), items.ids[int(pairs[at]) % len(sizes)], float(nearest[at]), *shares))
             kept = batch.select(["row_key", "doc_id"]).take(pa.array([o[0] for o in out], pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [kept.column(0), kept.column(1), pa.array([o[1] for o in out], pa.int64()),
