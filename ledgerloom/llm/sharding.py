@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from ..session import settled
 from .common import free_name, stored
 
 SHARDS = 24
@@ -22,13 +23,14 @@ PART_BYTES = 256 << 20
 PROBES = 64
 
 _TOP = (1 << 63) - 1
+_ID_BITS = 23
 _OVERHEAD = 8
 
 
 def place(doc_id: Column, text: Column) -> Column:
     """Sort key: 40 bits of the text's hash, then 23 bits of the id's; equal texts lie together."""
-    high = F.xxhash64(text).bitwiseAND(F.lit((1 << 40) - 1))
-    return F.shiftleft(high, 23).bitwiseOR(F.xxhash64(doc_id).bitwiseAND(F.lit((1 << 23) - 1)))
+    high = F.xxhash64(text).bitwiseAND(F.lit((1 << (63 - _ID_BITS)) - 1))
+    return F.shiftleft(high, _ID_BITS).bitwiseOR(F.xxhash64(doc_id).bitwiseAND(F.lit((1 << _ID_BITS) - 1)))
 
 
 def _histogram(rows: DataFrame, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,6 +97,24 @@ def _part(cuts: Sequence[int]):
     return F.arrow_udf(find, "int")
 
 
+def _keys(whole: DataFrame, text: str) -> DataFrame:
+    size = F.coalesce(F.octet_length(F.col(f"shard_row.{text}")), F.lit(0)).cast("long") + _OVERHEAD
+    return stored(whole.select(F.col("shard_place").alias("place"), size.alias("size")), "shard-keys")
+
+
+def _spread(whole: DataFrame, heavy: DataFrame) -> DataFrame:
+    """``whole`` with the rows of ``heavy`` keys dealt over all keys that begin with the same hash of the text.
+
+    Such rows repeat an id and a text, so any of them may lie anywhere among the group. What tells them apart is the
+    number that each gets when they are stored; they are stored once, so it stays theirs.
+    """
+    marked = whole.join(F.broadcast(heavy), F.col("shard_place") == F.col("shard_heavy"), "left")
+    low = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << _ID_BITS) - 1))
+    high = F.shiftleft(F.shiftright("shard_place", _ID_BITS), _ID_BITS)
+    repeats = marked.where(F.col("shard_heavy").isNotNull()).select("shard_row", high.bitwiseOR(low).alias("shard_place"))
+    return marked.where(F.col("shard_heavy").isNull()).drop("shard_heavy").unionByName(stored(repeats, "shard-repeats"))
+
+
 def sharded(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS,
     tolerance: float = TOLERANCE, part_bytes: int = PART_BYTES,
@@ -102,16 +122,23 @@ def sharded(
     """``docs`` with ``shard`` (0 to shards - 1) and ``slot`` (its place in the shard, from 0, no gaps).
 
     A row's size is the bytes of its text (null: none) plus 8. Shards hold near-equal bytes:
-    boundaries are refined on exact counts and may fall inside a group of equal texts. Rows
-    that repeat both id and text share one key and stay together. Every shard consists of parts
+    boundaries are refined on exact counts and may fall inside a group of equal texts, also among rows
+    that repeat both id and text (``_spread``). Every shard consists of parts
     of about ``part_bytes``; the rows cross the network once, to the task of their part, and a
     slot is the rows in front of the part, known from the counts, plus the place in the part.
     Columns called ``shard`` or ``slot`` in ``docs`` stay; the new ones then get a longer name.
     An empty table gives no rows.
     """
-    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + _OVERHEAD
-    keys = stored(docs.select(place(F.col(doc_id), F.col(text)).alias("place"), size.alias("size")), "shard-keys")
+    own = F.struct(*[docs[c] for c in docs.columns]).alias("shard_row")
+    whole = docs.select(own, place(F.col(doc_id), F.col(text)).alias("shard_place"))
+    keys = _keys(whole, text)
     total = keys.agg(F.sum("size").alias("bytes")).first()["bytes"] or 0
+    # Keys that hold more than the tolerance: 1 / tolerance a shard at most.
+    heavy = settled(keys.groupBy("place").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+                    .where((F.col("n") > 1) & (F.col("bytes") > tolerance * total / shards)).select(F.col("place").alias("shard_heavy")))
+    if not heavy.isEmpty():
+        whole = _spread(whole, heavy)
+        keys = _keys(whole, text)
     inner = max(1, -(-total // (shards * part_bytes)))
     # The tolerance is a share of a shard, so it is ``inner`` times as large a share of a part.
     cuts, below = splitters(keys, shards * inner, total, min(0.25, tolerance * inner)) if total else ([], [])
@@ -121,9 +148,6 @@ def sharded(
     offsets = docs.sparkSession.createDataFrame(
         pa.table({"shard_part": pa.array(range(len(first)), pa.int32()), "shard_first": pa.array(first, pa.int64())})
     )
-    whole = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("shard_row"), place(F.col(doc_id), F.col(text)).alias("shard_place")
-    )
     inside = Window.partitionBy("shard_part").orderBy("shard_place", F.col(f"shard_row.{doc_id}"))
     shard, slot = (free_name(docs.columns, n) for n in ("shard", "slot"))
     return (

@@ -62,11 +62,39 @@ def test_a_third_of_the_rows_with_one_text(spark):
     assert max(held.values()) < 1.02 * min(held.values())
 
 
+@pytest.mark.parametrize("part_bytes", [1 << 30, 2048])
+def test_a_third_of_the_rows_with_one_id_and_text(spark, part_bytes):
+    """Rows that repeat id and text, some of them with other columns that differ."""
+    docs = spark.range(9000).selectExpr("if(id % 3 = 0, 1, id) as doc_id", "if(id % 3 = 0, 'one two three', concat('text ', id)) as text",
+                                        "if(id % 6 = 0, null, map('n', id)) as more", "id as number")
+    rows = sd.sharded(docs, shards=24, part_bytes=part_bytes).collect()
+    check(docs.collect(), rows, 24)
+    assert sorted(r.number for r in rows) == list(range(9000))
+    held = Counter()
+    for r in rows:
+        held[r.shard] += size(r.text)
+    assert len(held) == 24 and max(held.values()) <= 1.02 * min(held.values())
+
+
+def test_all_rows_equal(spark):
+    docs = spark.range(2400).selectExpr("7 as doc_id", "'x' as text")
+    held = Counter(r.shard for r in sd.sharded(docs).collect())
+    assert len(held) == 24 and max(held.values()) <= 102 and min(held.values()) >= 98
+
+
 def test_query(spark):
     texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
     rows = op10_histogram_shards(spark, SF).collect()
     assert sorted(r.doc_id for r in rows) == sorted(texts)
     assert all((r.size, r.text_crc32) == (size(texts[r.doc_id]), zlib.crc32(texts[r.doc_id].encode())) for r in rows)
+    slots, held = defaultdict(list), Counter()
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        held[r.shard] += r.size
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(24))
+    exact = sum(held.values()) / 24
+    assert all(abs(held[n] - exact) <= max(r.size for r in rows) for n in range(24))
+    assert {(r.law, r.grown_shard) for r in rows} == {("bytes", None)}
 
 
 def test_awkward_rows(spark):
