@@ -8,6 +8,7 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ STRIPE_BYTES = 8 << 20
 INDEX_ROWS = 1000
 BLOOM_FALSE_POSITIVES = 0.01
 
-#: Distinct words whose ids a task remembers before it starts anew.
+#: Distinct words whose ids a worker process remembers before it starts anew.
 REMEMBERED_WORDS = 300_000
 
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"
@@ -125,11 +126,17 @@ class _Remembered(dict):
         return ids
 
 
+@lru_cache(maxsize=1)
+def _worker_encoder(path: str, changed: int, remembered: int) -> TextEncoder:
+    """The encoder of this worker process; the tasks it runs one after the other share what it remembers."""
+    return TextEncoder(path, remembered)
+
+
 def _encoder(path: str, end_id: int, remembered: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start = TextEncoder(path, remembered), 0
+        encoder, start = _worker_encoder(path, os.stat(path).st_mtime_ns, remembered), 0
         part = TaskContext.get().partitionId()
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
