@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import lookup_join
+from ..session import settled
 from .common import stored, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -53,12 +54,40 @@ def source_targets(
     )
 
 
-def _draw(doc_id: Column, seed: int) -> Column:
-    """A number between 0 and 1, both excluded, that depends on the id and the seed only."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary")), 1, 13)
+def _digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def _draw(seed: int) -> Column:
+    """A number between 0 and 1, both excluded, from the id, the text and its number among equal rows."""
+    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("mix_id").cast("string"), F.lit("")), F.col("mix_digest"), F.col("mix_number").cast("string"))
+    digits = F.substring(F.md5(key.cast("binary")), 1, 13)
     return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``mix_number``: 0, 1, 2, ... among rows of equal ``mix_id`` and ``mix_digest``.
+
+    Rows that occur once stay where they are. The others are stored, numbered inside the part of the
+    store that they lie in, and the parts of a group are added up, so no task orders a group.
+    """
+    keys = ["mix_id", "mix_digest"]
+    repeated = settled(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys, F.lit(True).alias("mix_often")))
+    if repeated.isEmpty():
+        return rows.withColumn("mix_number", F.lit(0).cast("long"))
+    marked = lookup_join(rows, repeated, keys, "left", null_safe=True)
+    place = F.monotonically_increasing_id()
+    often = stored(marked.where("mix_often").drop("mix_often").withColumn("mix_place", place), "mix-repeats").withColumn(
+        "mix_part", F.shiftright("mix_place", 33))
+    inside = Window.partitionBy(*keys, "mix_part").orderBy("mix_place")
+    earlier = Window.partitionBy(*keys).orderBy("mix_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = often.groupBy(*keys, "mix_part").agg(F.count(F.lit(1)).alias("n")).select(
+        *keys, "mix_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("mix_before"))
+    told = lookup_join(often.withColumn("mix_own", F.row_number().over(inside)), before, [*keys, "mix_part"], "inner", null_safe=True)
+    again = told.withColumn("mix_number", F.col("mix_own").cast("long") - 1 + F.col("mix_before")).select(*rows.columns, "mix_number")
+    return marked.where("mix_often is null").drop("mix_often").withColumn("mix_number", F.lit(0).cast("long")).unionByName(again)
+
+
 def _cut_within(rows: DataFrame, digit: Column) -> DataFrame:
     """One row per source: last digit that is taken whole, the digit in which the need ends, words before it.
 
@@ -90,7 +119,7 @@ def order_cuts(drawn: DataFrame) -> DataFrame:
     in order while at least half of the next one still fits, so the words miss the need by at
     most half a document. The end is found digit by digit: sums per leading digit, then only the
     rows of the digit that holds the end, then its places; no task orders a whole source.
-    Rows with the same place (repeats of one id) are taken together.
+    Rows with the same place are taken together; no two rows of a source draw one but by chance.
     """
     first_bits, second_bits = _PLACE_BITS - _DIGIT_BITS, _PLACE_BITS - 2 * _DIGIT_BITS
     mask = F.lit((1 << _DIGIT_BITS) - 1)
@@ -126,9 +155,9 @@ def order_cuts(drawn: DataFrame) -> DataFrame:
     )
 
 
-def _place(doc_id: Column, liked: Column, seed: int) -> Column:
+def _place(liked: Column, seed: int) -> Column:
     """Place in the order: random odds divided by inclusion odds, from 0 to 1, as a whole number."""
-    draw = _draw(doc_id, seed)
+    draw = _draw(seed)
     odds = F.col("chance") / (F.lit(1.0) - F.col("chance")) * liked
     rank = F.when(F.col("chance") > 0, draw / (F.lit(1.0) - draw) / odds).otherwise(F.lit(0.0))
     return F.floor(rank / (F.lit(1.0) + rank) * F.lit(float(1 << _PLACE_BITS))).cast("long")
@@ -146,7 +175,7 @@ def mixing_plan(
 ) -> DataFrame:
     """One row per source: what is certain, the chance of one more copy, and where the sample ends.
 
-    ``sizes``: stored rows of (doc_id, source, size, liked). Columns: source, source_size, target,
+    ``sizes``: stored rows of (source, size, liked) and what the draw is made from. Columns: source, source_size, target,
     certain, chance, need, cut.
     """
     targets = stored(
@@ -158,7 +187,7 @@ def mixing_plan(
                     .otherwise(F.lit(0.0))).drop("rate"), "mix-targets"
     )
     drawn = lookup_join(sizes, targets, ["source"], "left", null_safe=True).withColumn(
-        "place", _place(F.col("doc_id"), F.col("liked"), seed)
+        "place", _place(F.col("liked"), seed)
     )
     cuts = stored(order_cuts(stored(drawn.select("source", "need", "size", "place"), "mix-drawn")), "mix-cuts")
     # Both sides have one row per source.
@@ -171,10 +200,10 @@ def _copies(place: Column) -> Column:
 
 
 def _sizes(docs: DataFrame, doc_id: str, text: str, source: str, preference: str | None) -> DataFrame:
-    return stored(docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-        _liked(preference).alias("liked"),
-    ), "mix-sizes")
+    return stored(numbered(docs.select(
+        F.col(doc_id).alias("mix_id"), _digest(F.col(text)).alias("mix_digest"), F.col(source).alias("source"),
+        word_count(F.col(text)).alias("size"), _liked(preference).alias("liked"),
+    )), "mix-sizes")
 
 
 def mixed(
@@ -191,14 +220,14 @@ def mixed(
     a document's inclusion odds (null, zero and negative values count as 1).
 
     A null text has size 0 and takes 0 words. A null source is a source of its own, ranked last.
-    Draws depend on the id and the seed, so reruns agree; rows that repeat an id are included
-    together. An empty table gives no rows. Sizes are in words.
+    Draws depend on the seed, the id, the text and, for rows that repeat both, a number among them, so reruns
+    agree and each row is included by itself. An empty table gives no rows. Sizes are in words.
     """
     sizes = _sizes(docs, doc_id, text, source, preference)
     plan = stored(mixing_plan(sizes, weights, share, most, seed), "mix-plan")
     return lookup_join(sizes, plan, ["source"], "left", null_safe=True).withColumn(
-        "copies", _copies(_place(F.col("doc_id"), F.col("liked"), seed))
-    ).select("doc_id", "source", "size", "source_size", "target", "copies",
+        "copies", _copies(_place(F.col("liked"), seed))
+    ).select(F.col("mix_id").alias("doc_id"), "source", "size", "source_size", "target", "copies",
              (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
@@ -215,10 +244,11 @@ def mixture(
     """
     sizes = _sizes(docs, doc_id, text, source, preference)
     plan = stored(mixing_plan(sizes, weights, share, most, seed), "mix-plan")
-    whole = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("mix_row"), F.col(source).alias("source"), _liked(preference).alias("liked")
-    )
-    copies = _copies(_place(F.col(f"mix_row.{doc_id}"), F.col("liked"), seed))
+    whole = numbered(docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("mix_row"), F.col(doc_id).alias("mix_id"), _digest(F.col(text)).alias("mix_digest"),
+        F.col(source).alias("source"), _liked(preference).alias("liked"),
+    ))
+    copies = _copies(_place(F.col("liked"), seed))
     return (
         lookup_join(whole, plan, ["source"], "inner", null_safe=True)
         .withColumn("mix_copies", copies).where("mix_copies > 0")

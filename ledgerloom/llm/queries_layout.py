@@ -13,7 +13,9 @@ QUERIES = _QUERIES.queries
 
 _MIX_SQL = f"""
 with sizes as (
-  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::bigint as size from documents
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::bigint as size,
+    md5(concat('{mixing.SEED}:', doc_id, ':', md5(coalesce(text, '')), ':',
+      row_number() over (partition by doc_id, coalesce(text, '')) - 1)) as drawn_from from documents
 ),
 sources as (
   select source, sum(size)::bigint as source_size,
@@ -37,7 +39,7 @@ rates as (
 drawn as (
   select d.*, r.source_size, r.target, r.certain, r.chance,
     case when chance > 0 then target - certain * r.source_size else 0 end as need,
-    (('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::varchar, '')), 1, 13))::bigint + 0.5::double) / 4503599627370496.0::double as draw
+    (('0x' || substr(drawn_from, 1, 13))::bigint + 0.5::double) / 4503599627370496.0::double as draw
   from sizes d join rates r on d.source is not distinct from r.source
 ),
 ranked as (

@@ -82,6 +82,26 @@ def test_inclusion_follows_the_odds(spark):
     assert sum(share.values()) == 2000 and share[0] > 1.7 * share[1]
 
 
+@pytest.mark.parametrize("repeat", ["1 as doc_id, 'one two three four' as text", "1 as doc_id, concat('a b c ', id) as text",
+                                    "cast(null as bigint) as doc_id, concat('a b c ', id) as text"])
+def test_a_third_of_a_source_with_one_id(spark, repeat):
+    """Rows of one id, with one text or different ones, are included each by itself."""
+    docs = spark.range(0, 1000, 1, 5).selectExpr("*", "'a' as source", "if(id % 2 = 0, null, map('n', id)) as more").selectExpr(*repeat.split(", ", 1), "source", "more").unionByName(
+        spark.range(1000, 3000).selectExpr("id as doc_id", "concat('x y z ', id) as text", "'a' as source", "map('n', id) as more"))
+    for share, most in ((0.35, 2.0), (1.6, 2.0)):
+        found = mx.mixed(docs, weights=(1.0,), share=share, most=most)
+        rows = found.collect()
+        assert len(rows) == 3000 and abs(sum(r.taken for r in rows) - rows[0].target) <= 2
+        ones = [r.copies for r in rows if r.doc_id == 1 or r.doc_id is None]
+        assert abs(sum(ones) - share * 1000) < 100
+        kept = mx.mixture(docs, weights=(1.0,), share=share, most=most)
+        assert kept.dtypes == docs.dtypes
+        copies = Counter((r.doc_id, r.text) for r in kept.select("doc_id", "text").collect())
+        assert sum(copies.values()) == sum(r.copies for r in rows)
+        again = Counter((r.doc_id, r.text) for r in mx.mixture(docs.repartition(3), weights=(1.0,), share=share, most=most).select("doc_id", "text").collect())
+        assert again == copies
+
+
 def test_awkward_rows(spark):
     found = mx.mixed(awkward(spark)).collect()
     assert len(found) == 14 and {r.source for r in found} == {"a", "b", "c", None, "", "é"}
