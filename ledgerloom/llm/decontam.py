@@ -169,7 +169,9 @@ def _add_by_term(total: np.ndarray, vectors: np.ndarray, rows: np.ndarray, terms
     inside = np.arange(len(ordered)) - np.maximum.accumulate(np.where(fresh, np.arange(len(ordered)), 0))
     piece = inside % _PIECE == 0
     sums = _sums(vectors, rows[order], np.cumsum(piece) - 1, int(piece.sum()))
-    np.add.at(total, ordered[piece], sums)
+    lines = ordered[piece]
+    first = np.flatnonzero(np.concatenate([[True], lines[1:] != lines[:-1]]))
+    total[lines[first]] += np.add.reduceat(sums.astype(total.dtype), first, axis=0)
 
 
 def _passages(sums: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -372,12 +374,16 @@ def _searcher(items: Items, table: np.ndarray, targets: np.ndarray, owner: np.nd
                 lines = np.concatenate(near)
                 if not len(lines):
                     continue
-                regions, back = np.unique(lines[:, :4].astype(np.int64), axis=0, return_inverse=True)
-                doc, item, start, end = regions.T
-                pair = doc * len(sizes) + item
-                pairs, number = np.unique(pair, return_inverse=True)
+                doc, item, start, end = lines[:, :4].astype(np.int64).T
+                # Each region once, in the order of documents and items; starts are multiples of half a block.
+                pair, half = doc * len(sizes) + item, BLOCK_WORDS // 2
+                keys = (pair * (int(start.max()) // half + 1) + start // half) * 2 + (end - start > BLOCK_WORDS)
+                _, pick, back = np.unique(keys, return_index=True, return_inverse=True)
+                doc, item, start, end, pair = (x[pick] for x in (doc, item, start, end, pair))
+                fresh = np.concatenate([[True], pair[1:] != pair[:-1]])
+                pairs, number = pair[fresh], np.cumsum(fresh) - 1
                 nearest = np.zeros(len(pairs))
-                np.maximum.at(nearest, number[back.reshape(-1)], lines[:, 4])
+                np.maximum.at(nearest, number[back], lines[:, 4])
                 # Places of all documents of the slice on one line, so all regions are found at once.
                 counts = np.diff(ends[rows.start:rows.stop + 1])
                 line = (np.repeat(np.arange(len(counts)), counts).astype(np.int64) << 32) + all_places[ends[rows.start]:ends[rows.stop]]
