@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 
@@ -86,6 +86,32 @@ def add_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array(list(sums.values()), pa.list_(pa.float64()))], ["term", "line"])
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once: a lambda's variable is not an expression that runs again."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running_sums(lengths: Column, lot: int = 256) -> Column:
+    """What comes before each element of an array of whole numbers: 0, the first, the first two, ...
+
+    A fold copies its list at each step, so it runs inside lots and then over the sums of lots.
+    """
+    none = F.array().cast("array<bigint>")
+
+    def before(numbers: Column) -> Column:
+        state = F.struct(F.lit(0).cast("long").alias("sum"), none.alias("all"))
+        return F.aggregate(numbers, state, lambda s, n: F.struct(
+            (s["sum"] + n).alias("sum"), F.concat(s["all"], F.array(s["sum"])).alias("all")), lambda s: s["all"])
+
+    def whole(numbers: Column) -> Column:
+        starts = F.when(F.size(numbers) > 0, F.sequence(F.lit(0), F.size(numbers) - 1, F.lit(lot))).otherwise(F.array().cast("array<int>"))
+        return bound(F.transform(starts, lambda at: F.slice(numbers, at + 1, F.lit(lot))), lambda lots: F.flatten(F.zip_with(
+            lots, before(F.transform(lots, lambda l: F.aggregate(l, F.lit(0).cast("long"), lambda a, b: a + b))),
+            lambda l, start: F.transform(before(l), lambda x: x + start))))
+
+    return bound(lengths, whole)
+
+
 def word_count(text):
     """Number of words of a text column; null counts as the empty text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

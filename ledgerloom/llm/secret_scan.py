@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import bound, running_sums
+
 
 def _either_case(word: str) -> str:
     return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -78,18 +80,13 @@ def _matches(text: Column, pattern: str, group: int | None = None) -> Column:
     inner = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     both = F.arrays_zip(found.alias("found"), inner.alias("inner"),
                         F.split(text, pattern, -1).alias("gap"))
-    empty = F.array().cast("array<struct<start:int,found:string,inner:string>>")
-    run = F.aggregate(
-        F.filter(both, lambda m: m["found"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda state, m: F.struct(
-            (state["at"] + F.length(m["gap"]) + F.length(m["found"])).alias("at"),
-            F.concat(state["out"], F.array(F.struct(
-                (state["at"] + F.length(m["gap"])).alias("start"), m["found"].alias("found"), m["inner"].alias("inner")
-            ))).alias("out"),
-        ),
-        lambda state: state["out"],
-    )
+
+    def placed(matches: Column) -> Column:
+        before = running_sums(F.transform(matches, lambda m: (F.length(m["gap"]) + F.length(m["found"])).cast("long")))
+        return F.zip_with(matches, before, lambda m, start: F.struct(
+            (start + F.length(m["gap"])).cast("int").alias("start"), m["found"].alias("found"), m["inner"].alias("inner")))
+
+    run = bound(F.filter(both, lambda m: m["found"].isNotNull()), placed)
     return F.when(text.rlike(pattern), run)
 
 
@@ -112,7 +109,7 @@ def _dense_stretch(candidate: Column, limit: Column, window: int) -> Column:
     """
     terms = F.array(*[F.lit(t).cast("long") for t in entropy_terms(window)])
 
-    def scan(symbols: Column, codes: Column) -> Column:
+    def scan(symbols: Column, codes: Column, limit: Column) -> Column:
         counts = F.transform(symbols, lambda s, j: F.size(F.filter(F.slice(codes, 1, window), lambda c: c == j)))
         total = F.aggregate(counts, F.lit(0).cast("long"), lambda s, n: s + F.get(terms, n))
 
@@ -121,23 +118,32 @@ def _dense_stretch(candidate: Column, limit: Column, window: int) -> Column:
             return (F.coalesce(first, F.when(hit, at)).alias("first"), F.coalesce(F.when(hit, at), last).alias("last"))
 
         def step(state: Column, at: Column) -> Column:
-            gone, new = F.get(codes, at - 1), F.get(codes, at + window - 1)
-            before = F.get(state["counts"], gone)
-            met = F.get(state["counts"], new) - F.when(gone == new, 1).otherwise(0)
-            moved = state["total"] - F.get(terms, before) + F.get(terms, before - 1) - F.get(terms, met) + F.get(terms, met + 1)
-            shifted = F.transform(state["counts"], lambda n, j: n - F.when(j == gone, 1).otherwise(0) + F.when(j == new, 1).otherwise(0))
-            return F.struct(shifted.alias("counts"), moved.alias("total"), *note(moved, at, state["first"], state["last"]))
+            # Symbols, then counts and sum, are each looked up once a step.
+            ends = F.struct(F.get(codes, at - 1).alias("gone"), F.get(codes, at + window - 1).alias("new"))
+            return bound(ends, lambda e: bound(moved(state, e), lambda total: F.struct(
+                shifted(state["counts"], e).alias("counts"), total.alias("total"), *note(total, at, state["first"], state["last"]))))
+
+        def moved(state: Column, e: Column) -> Column:
+            before = F.get(state["counts"], e["gone"])
+            met = F.get(state["counts"], e["new"]) - F.when(e["gone"] == e["new"], 1).otherwise(0)
+            return state["total"] - F.get(terms, before) + F.get(terms, before - 1) - F.get(terms, met) + F.get(terms, met + 1)
+
+        def shifted(counts: Column, e: Column) -> Column:
+            change = F.transform(counts, lambda n, j: n - F.when(j == e["gone"], 1).otherwise(0) + F.when(j == e["new"], 1).otherwise(0))
+            return F.when(e["gone"] == e["new"], counts).otherwise(change)
 
         moves = F.when(F.size(codes) > window, F.sequence(F.lit(1), F.size(codes) - window)).otherwise(F.array().cast("array<int>"))
         none = F.lit(None).cast("int")
         start = F.struct(counts.alias("counts"), total.alias("total"), *note(total, F.lit(0), none, none))
         return F.aggregate(moves, start, step, lambda state: F.struct(state["first"].alias("first"), state["last"].alias("last")))
 
-    symbols = F.array_distinct(F.split(candidate, ""))
-    codes = F.transform(F.split(candidate, ""), lambda c: (F.array_position(symbols, c) - 1).cast("int"))
-    # A one-element list binds the two arrays, so they are computed once.
-    bound = F.transform(F.array(F.struct(symbols.alias("symbols"), codes.alias("codes"))), lambda x: scan(x["symbols"], x["codes"]))
-    return F.get(bound, F.lit(0))
+    # Limit, characters, symbols and codes are each computed once, not at every step.
+    def coded(characters: Column, symbols: Column) -> Column:
+        codes = F.transform(characters, lambda c: (F.array_position(symbols, c) - 1).cast("int"))
+        return bound(codes, lambda known: bound(limit, lambda most: scan(symbols, known, most)))
+
+    return bound(F.split(candidate, ""), lambda characters: bound(
+        F.array_distinct(characters), lambda symbols: coded(characters, symbols)))
 
 
 def _entropy_spans(

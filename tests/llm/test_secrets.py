@@ -86,3 +86,29 @@ def test_awkward_rows(spark):
     spans = {r.doc_id: ss_text for r, ss_text in ((r, [s.kind for s in r.secrets]) for r in found.collect())}
     assert spans[12] == ["assign", "access"] and spans[1] == spans[2] == spans[5] == []
     assert ss.with_secrets(none(spark)).count() == 0
+
+
+def test_long_candidates_and_many_matches(spark):
+    """The work grows with the text: one candidate of sixty thousand characters, fifty thousand matches."""
+    import random
+    import time
+
+    rng = random.Random(3)
+    candidate = "".join(rng.choice("ABCDEFGHabcdefgh0123456789") for _ in range(60_000))
+    many = " ".join(f"token={'x' * 12}{i}" for i in range(50_000))
+    rows = spark.createDataFrame([(1, candidate), (2, many)], "doc_id int, text string")
+    start = time.monotonic()
+    found = {r.doc_id: r.secrets for r in ss.with_secrets(rows).collect()}
+    assert time.monotonic() - start < 120
+    assert [(s.start, s.end) for s in found[1] if s.kind.startswith("entropy")] and found[1][-1].end <= 60_000
+    assigned = [s for s in found[2] if s.kind == "assign"]
+    assert len(assigned) == 50_000 and all(many[s.start:s.end] == f"token={'x' * 12}{i}" for i, s in enumerate(assigned))
+
+
+def test_running_sums(spark):
+    from ledgerloom.llm.common import running_sums
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([([],), ([5],), (list(range(1000)),), ([1] * 256,), ([2] * 257,), (None,)], "n array<bigint>")
+    expected = [[sum(x[:i]) for i in range(len(x))] if x is not None else None for x in (r.n for r in rows.collect())]
+    assert [r.s or [] for r in rows.select(running_sums(F.col("n")).alias("s")).collect()] == [e or [] for e in expected]
