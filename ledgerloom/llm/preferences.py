@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import bound, running_sums
+
 #: A turn reads OPEN role CLOSE, a line break, its text, END and a line break. Marks inside texts are taken apart.
 OPEN, CLOSE, END = "<|", "|>", "<|end|>"
 TRAINED_ROLE = "assistant"
@@ -15,6 +17,14 @@ def _header(role: Column) -> Column:
     return F.concat(F.lit(OPEN), role, F.lit(CLOSE + "\n"))
 
 
+def _plain_role(role: Column) -> Column:
+    """A role that can neither close its mark nor open one of its own."""
+    whole = F.coalesce(role, F.lit(""))
+    for mark, apart in ((OPEN, "< |"), (CLOSE, "| >"), ("\n", " ")):
+        whole = F.replace(whole, F.lit(mark), F.lit(apart))
+    return whole
+
+
 def _rendered(turn: Column) -> Column:
     text = F.replace(turn["text"], F.lit(OPEN), F.lit("< |"))
     return F.concat(_header(turn["role"]), text, F.lit(END + "\n"))
@@ -22,18 +32,15 @@ def _rendered(turn: Column) -> Column:
 
 def _mask(turns: Column, trained_role: str) -> Column:
     """(start, end) of what is trained on in the rendered turns: a trained role's text and end mark."""
-    empty = F.array().cast("array<struct<start:int,end:int>>")
     own = F.length(_header(F.lit(trained_role)))
-    return F.aggregate(
-        turns, F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda state, turn: F.struct(
-            (state["at"] + F.length(_rendered(turn))).alias("at"),
-            F.when(turn["role"] == trained_role, F.concat(state["spans"], F.array(F.struct(
-                (state["at"] + own).alias("start"), (state["at"] + F.length(_rendered(turn)) - 1).alias("end")
-            )))).otherwise(state["spans"]).alias("spans"),
-        ),
-        lambda state: state["spans"],
-    )
+
+    def spans(sizes: Column) -> Column:
+        placed = F.zip_with(sizes, running_sums(F.transform(sizes, lambda s: s["size"])), lambda s, at: F.struct(
+            s["trained"].alias("trained"), (at + own).cast("int").alias("start"), (at + s["size"] - 1).cast("int").alias("end")))
+        return F.transform(F.filter(placed, lambda s: s["trained"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+
+    return bound(F.transform(turns, lambda turn: F.struct(
+        (turn["role"] == trained_role).alias("trained"), F.length(_rendered(turn)).cast("long").alias("size"))), spans)
 
 
 def preference_records(
@@ -51,13 +58,14 @@ def preference_records(
     text is empty, and rows that repeat in a conversation count once. The prefix ends before the
     first turn number at which the two differ. Equal conversations have empty completions; a pair
     with one conversation has an empty prompt and one empty completion; a null ``chosen`` counts
-    as rejected. Pairs with a null id are one pair. A pair is one record, so it is put together in
+    as rejected. Rows without a pair id belong to no pair. Marks and line breaks inside roles are taken apart, so
+    neither a role nor a text can pass for a turn of its own. A pair is one record, so it is put together in
     one task; turns are reduced to distinct ones before.
     """
     preferred = F.coalesce(F.col(chosen).cast("boolean"), F.lit(False))
-    distinct = turns.select(
+    distinct = turns.where(F.col(pair_id).isNotNull()).select(
         F.col(pair_id).alias("pair_id"), F.coalesce(F.col(turn).cast("long"), F.lit(_FIRST)).alias("turn"),
-        F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+        _plain_role(F.col(role)).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"),
         preferred.alias("preferred"),
     ).groupBy("pair_id", "turn", "role", "text").agg(
         F.bool_or("preferred").alias("good"), F.bool_or(~F.col("preferred")).alias("bad")

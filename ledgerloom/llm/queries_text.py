@@ -36,9 +36,10 @@ def _completion_sql(side: str) -> str:
 
 _PREFERENCE_SQL = f"""
 with distinct_turns as (
-  select conv_id // 2 as pair_id, coalesce(turn, -9223372036854775808) as turn, coalesce(role, '') as role,
+  select conv_id // 2 as pair_id, coalesce(turn, -9223372036854775808) as turn,
+    replace(replace(replace(coalesce(role, ''), '{pf.OPEN}', '< |'), '{pf.CLOSE}', '| >'), chr(10), ' ') as role,
     coalesce(text, '') as text, bool_or(conv_id % 2 = 0) as good, bool_or(conv_id % 2 <> 0) as bad
-  from conversations group by all
+  from conversations where conv_id is not null group by all
 ),
 ends as (select pair_id, min(turn) filter (not (good and bad)) as first from distinct_turns group by pair_id),
 turns as (
