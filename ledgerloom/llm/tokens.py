@@ -25,7 +25,7 @@ INDEX_ROWS = 1000
 BLOOM_FALSE_POSITIVES = 0.01
 
 #: Distinct words whose ids a worker process remembers before it starts anew.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 400_000
 
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"
 
@@ -83,24 +83,25 @@ class TextEncoder:
         self._split = self._tokenizer.model.tokenize
         self._letters = _byte_letters()
         self._known = _Remembered(self._word)
-        self._stems: dict[str, bytes] = {}
+        self._stems = _Remembered(self._stem)
         self._remembered = remembered
 
     def _whole(self, text: str) -> bytes:
         found = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return _packed(found[0].ids)
 
+    def _stem(self, letters: str) -> bytes:
+        # ASCII letters stand for themselves.
+        spelt = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self._letters)
+        return _packed([t.id for t in self._split(spelt)])
+
     def _word(self, word: bytes) -> bytes:
         stem = word.rstrip(_CLOSING)
         plain = stem.isascii()
         letters = stem.decode()
         if not letters or not (plain or max(letters) < _PLAIN) or not (letters := letters.lower()).isalpha():
             return self._whole(word.decode())
-        ids = self._stems.get(letters)
-        if ids is None:
-            # ASCII letters stand for themselves.
-            spelt = letters if plain else letters.encode().decode("latin-1").translate(self._letters)
-            ids = self._stems[letters] = _packed([t.id for t in self._split(spelt)])
+        ids = self._stems[letters]
         return ids + self._known[word[len(stem):]] if len(stem) < len(word) else ids
 
     def encode(self, text: bytes) -> bytes:
@@ -108,23 +109,35 @@ class TextEncoder:
             return self._whole(text.decode())
         known, parts = self._known, []
         for words in words_in_blocks(text):
-            if len(known) > self._remembered:
-                known.clear()
-                self._stems.clear()
+            if 2 * len(known) > self._remembered:
+                known.age()
+                self._stems.age()
             parts.extend(map(known.__getitem__, words))
         return b"".join(parts)
 
 
 class _Remembered(dict):
-    """Words with their ids; a word that is missing is looked up once."""
+    """Words with their ids; a word that is missing is looked up once.
+
+    When ``age`` is called the words become the older half: those met again come back, the others go
+    with the next call. So frequent words stay and memory has a bound.
+    """
 
     def __init__(self, look_up) -> None:
         self._look_up = look_up
+        self._older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self[word] = self._look_up(word)
+        ids = self._older.get(word)
+        if ids is None:
+            ids = self._look_up(word)
+        self[word] = ids
         return ids
 
+    def age(self) -> None:
+        self._older = dict(self)
+        self.clear()
+
 
 @lru_cache(maxsize=1)
 def _worker_encoder(path: str, changed: int, remembered: int) -> TextEncoder:
