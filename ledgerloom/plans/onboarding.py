@@ -571,10 +571,16 @@ def distinct_from_batch_sketches(spark: SparkSession, folder: str) -> DataFrame:
     exact = applications(spark, folder).select(
         F.lower(F.btrim("email", F.lit(rules.WHITESPACE))).alias("email"), fx.email_domain(F.col("email")).alias("domain")
     ).agg(F.count_distinct("email").alias("emails"), F.count_distinct("domain").alias("domains"))
-    off = [F.abs(F.hll_sketch_estimate(f"{v}_distinct") - F.col(f"{v}s")) <= 4 * summaries.distinct_error() * F.col(f"{v}s") + 1 for v in ("email", "domain")]
-    # Both sides are one row.
-    return merged.withColumn("one", F.lit(1)).join(exact.withColumn("one", F.lit(1)), "one").select(
-        "rows", "email_rows", "emails", "domain_rows", "domains", (off[0] & off[1]).alias("within_bound"))
+    told = merged.select("rows", "email_rows", "domain_rows", *[F.hll_sketch_estimate(f"{v}_distinct").alias(f"est_{v}s") for v in ("email", "domain")])
+    names = ("emails", "domains")
+    near = [F.abs(F.col(f"est_{n}") - F.col(n)) <= 4 * summaries.distinct_error() * F.col(n) + 1 for n in names]
+    return _one_row(told, exact).select("rows", "email_rows", "emails", "domain_rows", "domains", reduce(and_, near).alias("within_bound"))
+
+
+def _one_row(*rows: DataFrame) -> DataFrame:
+    """Single rows with different columns laid over each other."""
+    laid = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return laid.agg(*[F.max(c).alias(c) for c in laid.columns])
 
 
 @_q.add(duck(f"""
@@ -589,9 +595,9 @@ def overlap_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
     exact = sides.agg(F.count_if("is_successful").alias("accepted"), F.count_if(~F.col("is_successful")).alias("rejected"),
                       F.count_distinct("d").alias("either")).withColumn("both", F.expr("accepted + rejected - either"))
     names = ("accepted", "rejected", "either", "both")
-    told = estimate.select(F.lit(1).alias("one"), *[F.col(n).alias(f"est_{n}") for n in names])
+    told = estimate.select(*[F.col(n).alias(f"est_{n}") for n in names])
     near = [F.abs(F.col(f"est_{n}") - F.col(n)) <= 4 * summaries.distinct_error() * F.col("either") + 1 for n in names]
-    return exact.withColumn("one", F.lit(1)).join(told, "one").select(*names, reduce(and_, near).alias("within_bound"))
+    return _one_row(exact, told).select(*names, reduce(and_, near).alias("within_bound"))
 
 
 def _two_runs(spark: SparkSession, folder: str) -> tuple[sinks.Written, sinks.Written]:
