@@ -48,6 +48,7 @@ _PUNCTUATION = bytes(0x20 if b < 0x80 and not chr(b).isalnum() else b for b in r
 _OCCURRENCES = 50_000
 _PAIRS = 1 << 20
 _DENSE = 1 << 24
+_REGION_WORDS = 1 << 18
 _PIECE = 32
 _SENTENCE = re.compile(r"[.?!;\n]+")
 _ANSWER = re.compile(r"(?i)\banswer\s*[:=]")
@@ -333,7 +334,7 @@ class SharedWords:
         ends = np.cumsum(lengths)
         at = 0
         while at < len(left):
-            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PAIRS, side="right")))
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _REGION_WORDS, side="right")))
             own = lengths[at:stop]
             begin = np.cumsum(own) - own
             region = np.repeat(np.arange(stop - at), own)
