@@ -172,3 +172,27 @@ def test_short_copies_of_a_large_benchmark(spark):
     found = dc.benchmark_hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)).collect()
     found = {(r.doc_id, r.item_id) for r in found}
     assert found <= planted and len(found) >= 0.99 * len(planted), (len(found), len(planted))
+
+
+def test_shared_words_bound_the_common_order(monkeypatch):
+    """The bound equals a count with multiplicities, in its dense and its sparse form, and never falls below the subsequence."""
+    rng = random.Random(6)
+    words = [tuple(rng.randrange(12) for _ in range(rng.randrange(1, 20))) for _ in range(9)]
+    items = dc.Items(tuple(range(9)), tuple(np.array(w, np.int32) for w in words), tuple(np.array(w[-2:], np.int32) for w in words),
+                           {bytes([t]): t for t in range(12)})
+    terms = np.array([rng.randrange(12) for _ in range(400)], np.int32)
+    left = np.array([rng.randrange(380) for _ in range(200)])
+    right = left + np.array([rng.randrange(20) for _ in range(200)])
+    item = np.array([rng.randrange(9) for _ in range(200)])
+    for limit in (1 << 24, 0):
+        monkeypatch.setattr(dc, "_DENSE", limit)
+        for pairs in (1 << 18, 7):
+            monkeypatch.setattr(dc, "_REGION_WORDS", pairs)
+            bound = dc.SharedWords(items)
+            for least in range(1, 12):
+                found = bound.reach(terms, left, right, item, np.full(200, least))
+                for a, b, i, hit in zip(left, right, item, found):
+                    region = terms[a:b].tolist()
+                    shared = sum(min(region.count(t), words[i].count(t)) for t in set(region))
+                    assert hit == (shared >= least)
+                    assert hit or dc._common_order(dc._masks(items.words[i]), len(words[i]), region) < least
