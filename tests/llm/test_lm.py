@@ -134,3 +134,27 @@ def test_awkward_rows(spark):
     assert lm.scored(nothing, nothing).count() == 0
     unlearned = lm.scored(docs, nothing).collect()
     assert all(r.train_tokens == 0 and r.base_score == 0 and r.bits_per_byte == pytest.approx(8, abs=3.1) for r in unlearned)
+
+
+def test_tables_stay_in_the_tasks(spark, monkeypatch):
+    """Lots get the counts of whole tables, which the driver never holds."""
+    columns = ["concat(substring(md5(cast(id as string)), 1, 6), '') as word", "id % 3 + 1 as n0"]
+    words = lm.stored(spark.range(8_000).selectExpr(*columns, *[f"0L as n{c}" for c in range(1, lm.CLASSES)]), "words")
+    code = lm.replace(lm.byte_code(np.ones(256)), sizes=(16, 17, 18, 18, 18))
+    monkeypatch.setattr(lm, "_SPELT", 1 << 12)
+    monkeypatch.setattr(lm, "_SLICE", 1 << 14)
+    tables = lm.bit_tables(words, code)
+    rows = lm._by_lot(lm.decision_counts(words, code)).toArrow().to_batches()
+    found = 0
+    for lot in lm._lots(rows, code):
+        slots = lm.spell(lot.words, lot.kinds, code).slots
+        assert (lot.seen == np.moveaxis(tables[slots], 2, 0)).all()
+        found += len(lot.words)
+    assert found == words.count()
+
+    def refused(*_):
+        raise AssertionError("whole tables in the driver")
+
+    monkeypatch.setattr(lm, "bit_tables", refused)
+    docs = table(spark, SF, "documents").limit(50).withColumn("held_out", fold(F.col("doc_id"), 7) == 2)
+    assert lm.scored(docs).count() == 50
