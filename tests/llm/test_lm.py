@@ -158,3 +158,30 @@ def test_tables_stay_in_the_tasks(spark, monkeypatch):
     monkeypatch.setattr(lm, "bit_tables", refused)
     docs = table(spark, SF, "documents").limit(50).withColumn("held_out", fold(F.col("doc_id"), 7) == 2)
     assert lm.scored(docs).count() == 50
+
+
+def test_words_share_their_decisions(spark):
+    """What words begin with alike is held and sent once, in one batch for each lot."""
+    words = sorted(f"{a}{b}" for a in ("international", "interest", "internet") for b in range(1000))
+    counts = np.ones(len(words), np.int64)
+    code = lm.byte_code(np.ones(256))
+    data = [w.encode() for w in words for _ in range(2)]
+    kinds = np.tile([0, 5], len(words))
+    spelt = lm.spell(data, kinds, code)
+    text = lm._Text(data, kinds)
+    at, branch = text.branches()
+    assert len(at) < 0.4 * len(text.letters)
+    assert (text.letters[at][branch] == text.letters).all() and (text.four[at][branch] == text.four).all()
+    # Counted over shared decisions they are what all decisions of all words give.
+    times = np.bincount(branch, minlength=len(at))
+    for own, shared in zip(spelt.slots, lm._shared(text, at, code)):
+        assert len(shared.bits) < 0.5 * len(spelt.bits)
+        slots, place = np.unique(own, return_inverse=True)
+        zeros, ones = shared.counts(times)
+        assert (shared.slots == slots).all()
+        assert (ones == np.bincount(place, spelt.bits)).all() and (zeros == np.bincount(place, 1 - spelt.bits)).all()
+    columns = [counts if c in (0, 5) else counts * 0 for c in range(lm.CLASSES)]
+    rows = lm.pa.RecordBatch.from_arrays([lm.pa.array(words), *map(lm.pa.array, columns)], lm._TEXT)
+    fill = lm._table_filler(code, 1 << 12, True)
+    sent = spark.sparkContext.parallelize([0], 1).mapPartitions(lambda _: [b.num_rows for b in fill(iter([rows]))]).collect()
+    assert len(sent) == 1 and sent[0] > 80
