@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import json
 import os
-import sys
+import re
+import string
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import words_in_blocks
+from .common import byte_list, distinct_words
 
 END_ID = 2
 
@@ -24,6 +25,9 @@ STRIPE_BYTES = 8 << 20
 INDEX_ROWS = 1000
 BLOOM_FALSE_POSITIVES = 0.01
 
+#: Words of some texts that are looked up before it is seen whether too many are remembered.
+_WORDS = 10_000
+
 #: Distinct words whose ids a worker process remembers before it starts anew.
 REMEMBERED_WORDS = 400_000
 
@@ -42,17 +46,10 @@ WORD_WISE = {
     ]},
 }
 
-_CLOSING = b".,;:!?"
 #: Letters below this are their own NFC form and have one lower-case form in any Unicode version.
 _PLAIN = "\u0250"
-
-
-def _packed(ids: list[int]) -> bytes:
-    """Little-endian unsigned 32-bit numbers."""
-    numbers = array("I", ids)
-    if sys.byteorder == "big":
-        numbers.byteswap()
-    return numbers.tobytes()
+#: Such letters, but for the one whose lower-case form has two characters.
+_PLAIN_WORD = "^[A-Za-zªµºÀ-ÖØ-öø-įı-ɏ]+$"
 
 
 def _byte_letters() -> dict[int, int]:
@@ -67,9 +64,10 @@ class TextEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit numbers.
 
     A tokenizer with the settings of ``WORD_WISE`` drops white space and never joins characters
-    across it, so each distinct word is encoded once and a text is put together from its words.
-    A plain word, letters with closing punctuation after them, is two pre-tokens whose normal form
-    is known; it goes straight to the tokenizer's model. Other tokenizers get the whole text.
+    across it, so each distinct word is encoded once and texts are put together from their words.
+    A plain word, letters with ASCII punctuation after them, is two pre-tokens whose normal form
+    is known; it goes straight to the tokenizer's model. A-Z are lower-cased before, unless a text may
+    hold added tokens, which are found as they are spelt. Other tokenizers get the whole text.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED_WORDS) -> None:
@@ -82,38 +80,62 @@ class TextEncoder:
         self._by_word = all(settings[k] == v for k, v in WORD_WISE.items())
         self._split = self._tokenizer.model.tokenize
         self._letters = _byte_letters()
+        added = [token["content"].lower() for token in settings.get("added_tokens", [])]
+        self._added = "|".join(map(re.escape, added))
+        self._closing = "".join(set(string.punctuation).difference(*added))
+        size = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        self._packed = [n.to_bytes(4, "little") for n in range(size)]
         self._known = _Remembered(self._word)
-        self._stems = _Remembered(self._stem)
         self._remembered = remembered
 
     def _whole(self, text: str) -> bytes:
         found = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return _packed(found[0].ids)
-
-    def _stem(self, letters: str) -> bytes:
-        # ASCII letters stand for themselves.
-        spelt = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self._letters)
-        return _packed([t.id for t in self._split(spelt)])
+        return np.array(found[0].ids, "<u4").tobytes()
 
     def _word(self, word: bytes) -> bytes:
-        stem = word.rstrip(_CLOSING)
-        plain = stem.isascii()
-        letters = stem.decode()
-        if not letters or not (plain or max(letters) < _PLAIN) or not (letters := letters.lower()).isalpha():
+        letters, plain = word.decode().lower(), word.isascii()
+        if not letters.isalpha() or not (plain or max(letters) < _PLAIN):
             return self._whole(word.decode())
-        ids = self._stems[letters]
-        return ids + self._known[word[len(stem):]] if len(stem) < len(word) else ids
+        # ASCII letters stand for themselves.
+        spelt = letters if plain else letters.encode().decode("latin-1").translate(self._letters)
+        packed = self._packed
+        return b"".join([packed[t.id] for t in self._split(spelt)])
 
-    def encode(self, text: bytes) -> bytes:
-        if not self._by_word:
-            return self._whole(text.decode())
-        known, parts = self._known, []
-        for words in words_in_blocks(text):
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        ids, known = [], self._known
+        for at in range(0, len(words), _WORDS):
             if 2 * len(known) > self._remembered:
                 known.age()
-                self._stems.age()
-            parts.extend(map(known.__getitem__, words))
-        return b"".join(parts)
+            ids.extend(map(known.__getitem__, words[at:at + _WORDS]))
+        return ids
+
+    def encode(self, text: bytes) -> bytes:
+        return b"".join(self.encode_all(pa.array([text], pa.binary()).cast(pa.string())))
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; a null text has none."""
+        if not self._by_word:
+            return [self._whole(t.as_py().decode()) if t.is_valid else b"" for t in texts.cast(pa.binary())]
+        texts = pc.fill_null(texts, "")
+        lowered = pc.ascii_lower(texts)
+        if self._added:
+            lowered = pc.if_else(pc.match_substring_regex(lowered, self._added), texts, lowered)
+        words, numbers, first = distinct_words(lowered)
+        stems = pc.ascii_rtrim(words, self._closing)
+        plain, sizes = pc.match_substring_regex(stems, _PLAIN_WORD), pc.binary_length(stems)
+        keys = pc.if_else(plain, pc.utf8_lower(stems), words).dictionary_encode()
+        ids = pa.array(self._look_up(byte_list(keys.dictionary)), pa.large_binary()).take(keys.indices)
+        closed = np.flatnonzero(pc.and_(plain, pc.less(sizes, pc.binary_length(words))).to_numpy(zero_copy_only=False))
+        if len(closed):
+            ends = np.full(len(words), b"", object)
+            ends[closed] = self._look_up([w[n:] for w, n in zip(byte_list(words.take(pa.array(closed))), sizes.to_numpy()[closed])])
+            ids = pc.binary_join_element_wise(ids, pa.array(ends, pa.large_binary()), pa.scalar(b"", pa.large_binary()))
+        parts = ids.take(pa.array(numbers))
+        # The ids of all texts lie one after the other.
+        _, ends, data = parts.buffers()
+        ends = np.frombuffer(ends, np.int64, len(parts) + 1)[first] if len(parts) else np.zeros(len(first), np.int64)
+        data = memoryview(data or b"")
+        return [bytes(data[start:end]) for start, end in zip(ends[:-1], ends[1:])]
 
 
 class _Remembered(dict):
@@ -152,8 +174,7 @@ def _encoder(path: str, end_id: int, remembered: int):
         encoder, start = _worker_encoder(path, os.stat(path).st_mtime_ns, remembered), 0
         part = TaskContext.get().partitionId()
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            ids = [encoder.encode(t.as_py() or b"") + end for t in texts]
+            ids = [own + end for own in encoder.encode_all(batch.column("text"))]
             lengths = np.array([len(i) // 4 for i in ids], np.int64)
             ends = np.cumsum(lengths)
             yield pa.RecordBatch.from_arrays([

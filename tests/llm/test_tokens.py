@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from conftest import SF
@@ -93,3 +94,14 @@ def test_awkward_rows(spark, tmp_path):
     assert [r.n_tokens for r in found if r.doc_id == 5] == [len(WHOLE.encode(text, add_special_tokens=False).ids) + 1]
     tk.write_tokens(none(spark), path + "0", PATH)
     assert tk.token_digests(spark, path + "0").count() == 0
+
+
+def test_a_word_is_encoded_once_whatever_its_case_and_punctuation():
+    encoder, asked = tk.TextEncoder(PATH), []
+    split, whole = encoder._split, encoder._whole
+    encoder._split = lambda letters: asked.append(letters) or split(letters)
+    encoder._whole = lambda text: asked.append(text) or whole(text)
+    texts = ["Heute HEUTE heute### heute%%%", None, "", " heute&&&\theute.$$$ Heute, \x85heute", "ÄHRE ähre."]
+    found = encoder.encode_all(pa.array(texts))
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [WHOLE.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sorted(a for a in asked if a.endswith("hre") or "heute" in a) == sorted(["heute", "\x85heute", "ähre".encode().decode("latin-1")])
