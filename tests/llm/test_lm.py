@@ -185,3 +185,56 @@ def test_words_share_their_decisions(spark):
     fill = lm._table_filler(code, 1 << 12, True)
     sent = spark.sparkContext.parallelize([0], 1).mapPartitions(lambda _: [b.num_rows for b in fill(iter([rows]))]).collect()
     assert len(sent) == 1 and sent[0] > 80
+
+
+def test_words_of_a_lot_are_neighbours_among_all_words(spark, monkeypatch):
+    """Words are in order over all partitions, so few begin in more than one lot."""
+    class Stop(Exception):
+        pass
+
+    def stop(words):
+        stored_words.append(words)
+        raise Stop
+
+    stored_words, keys = [], ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(k) for k in keys]
+    monkeypatch.setattr(lm, "fit", stop)
+    docs = table(spark, SF, "documents").limit(100).withColumn("held_out", fold(F.col("doc_id"), 7) == 2)
+    try:
+        for key, value in zip(keys, ("false", "4")):
+            spark.conf.set(key, value)
+        with pytest.raises(Stop):
+            lm.scored(docs)
+    finally:
+        for key, value in zip(keys, before):
+            spark.conf.set(key, value)
+    (words,) = stored_words
+    parts = words.groupBy(F.input_file_name().alias("f")).agg(F.min("word").alias("low"), F.max("word").alias("high")).orderBy("low").collect()
+    assert len(parts) > 1 and all(a.high < b.low for a, b in zip(parts, parts[1:]))
+    assert words.count() == words.select("word").distinct().count()
+
+
+def test_letters_of_many_texts_at_once():
+    texts = ["", None, "a", "AB", "ab", "Ünï \U0001F600", " \t", "q" * (lm._BLOCK + 3), "the Same TEXT", "", *(f"w{i} Ab" for i in range(150)), ""]
+    for some in (texts, texts[::-1], texts[8:90], [None], []):
+        rows = [r for block in lm.letter_rows(lm.pa.array(some, lm.pa.string())) for r in block]
+        assert len(rows) == len(some)
+        for text, row in zip(some, rows):
+            pairs = Counter(zip(*(lambda b: (b, b[1:]))((text or "").encode().lower())))
+            expected = np.zeros(512)
+            for (a, b), n in pairs.items():
+                expected[((a * 257 + b) * 0x9E3779B1 & 0xFFFFFFFF) >> 23] += n
+            assert (row == np.sqrt(expected / max(1, expected.sum()))).all()
+
+
+@pytest.mark.parametrize("held", [1, 10**6])
+def test_words_of_many_batches_are_added_up(monkeypatch, held):
+    monkeypatch.setattr(lm, "COUNTED_WORDS", held)
+    texts, learn = ["a B a", " b\tc", None, "", "c c", "A"], [True, True, True, False, False, True]
+    batch = lm.pa.RecordBatch.from_arrays([lm.pa.array(texts), lm.pa.array(learn), lm.pa.array([True] * 6)], ["text", "learn", "ask"])
+    found = Counter()
+    for part in lm._word_counter(np.zeros((lm.CLASSES, lm._LETTERS)))(iter([batch.slice(0, 2), batch.slice(2, 1), batch.slice(3)])):
+        for row in part.to_pylist():
+            found[row["word"]] += row["n0"]
+            assert not any(row[f"n{c}"] for c in range(1, lm.CLASSES)) and row["asked"] in (0, 1)
+    assert found == {"a": 3, "b": 2, "c": 1, "": 4}
