@@ -444,7 +444,8 @@ def benchmark_hits(
     pieces = max(1, -(-size["bytes"] // benchmark_bytes), -(-size["passages"] // BENCHMARK_PASSAGES))
     keyed = docs.select(row_key(docs, doc_id, text).alias("row_key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     documents = docs.count()
-    hits = spark.createDataFrame([], HIT_SCHEMA)
+    # No rows, from the JVM: a list would be read by Python workers of its own.
+    hits = spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in map(str.split, HIT_SCHEMA.split(", "))])
     for piece in range(pieces):
         own = benchmark.where(F.pmod(F.xxhash64(item_id, item_text), F.lit(pieces)) == piece)
         items = read_items([(r[0], r[1]) for r in own.select(F.col(item_id).cast("long"), item_text).collect()])

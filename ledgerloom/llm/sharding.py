@@ -149,11 +149,13 @@ def sharded(
         pa.table({"shard_part": pa.array(range(len(first)), pa.int32()), "shard_first": pa.array(first, pa.int64())})
     )
     inside = Window.partitionBy("shard_part").orderBy("shard_place", F.col(f"shard_row.{doc_id}"))
+    # Every part has its row in ``offsets``. An inner join would ask for parts that are not null in front of the window,
+    # and so compute them twice, in two Python workers of each task.
     shard, slot = (free_name(docs.columns, n) for n in ("shard", "slot"))
     return (
         whole.withColumn("shard_part", _part(cuts)("shard_place"))
         .withColumn("shard_index", F.row_number().over(inside).cast("long") - 1)
-        .join(F.broadcast(offsets), "shard_part")
+        .join(F.broadcast(offsets), "shard_part", "left")
         .select("shard_row.*", F.floor(F.col("shard_part") / inner).cast("int").alias(shard),
                 (F.col("shard_index") + F.col("shard_first")).alias(slot))
     )

@@ -196,3 +196,12 @@ def test_shared_words_bound_the_common_order(monkeypatch):
                     shared = sum(min(region.count(t), words[i].count(t)) for t in set(region))
                     assert hit == (shared >= least)
                     assert hit or dc._common_order(dc._masks(items.words[i]), len(words[i]), region) < least
+
+
+def test_no_rows_need_no_python(spark):
+    docs = table(spark, SF, "documents")
+    hits = dc.benchmark_hits(docs, spark.createDataFrame([(1, "")], ITEMS).where("item_id > 1"))
+    assert "ExistingRDD" not in hits._jdf.queryExecution().executedPlan().toString()
+    assert hits.collect() == [] and hits.schema.simpleString() == (
+        "struct<row_key:bigint,doc_id:bigint,item_id:bigint,cosine:double,order_share:double,answer_share:double>")
+    assert all(f.nullable for f in hits.schema)

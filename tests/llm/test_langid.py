@@ -1,6 +1,9 @@
 """Held-out accuracy, calibration and rejection."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +71,20 @@ def test_awkward_rows(spark):
     empty = li.train(none(spark))
     assert empty.languages == () and li.identified(none(spark), empty).count() == 0
     assert {r.identified.lang for r in li.identified(docs, empty).collect()} == {"und"}
+
+
+def test_features_are_packed_text_by_text():
+    texts = [f"Wort {n} von vielen" for n in range(250)]
+    list(li._featurizer(iter([pa.array(texts[:1])])))  # what is imported on first use does not count
+    tracemalloc.start()
+    try:
+        (packed,) = li._featurizer(iter([pa.array(texts)]))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # The counts of all buckets of 250 texts would be 64 MB.
+    assert most < 16 << 20
+    for text, row in zip(texts, packed.to_pylist()):
+        buckets, often = np.frombuffer(row, "<i4").reshape(2, -1)
+        counts = li.subword_counts(text)
+        assert buckets.tolist() == np.flatnonzero(counts).tolist() and often.tolist() == counts[buckets].tolist()

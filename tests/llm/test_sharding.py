@@ -111,3 +111,9 @@ def test_files(spark, tmp_path):
     path = str(tmp_path / "shards")
     sd.write_shards(sd.sharded(table(spark, SF, "documents").select("doc_id", "text"), shards=4), path)
     assert spark.read.parquet(path).groupBy("shard").count().count() == 4
+
+
+def test_parts_are_found_once_for_each_row(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    plan = sd.sharded(docs, shards=7)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
